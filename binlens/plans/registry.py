@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from binlens.session import checkpoint_dir
+
 from binlens.sources.fixtures import Inputs, with_fixtures
 
 
@@ -36,11 +41,17 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    """Inputs derived once per scale factor and kept as Parquet in the checkpoint folder."""
+    tag = re.sub(r"[^A-Za-z0-9]+", "_", os.path.abspath(sf_dir)).strip("_")
+    return Inputs(spark, sf_dir, cache_dir=os.path.join(checkpoint_dir(spark), "inputs", tag))
+
+
 def spark_callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg = load_all()
 
     def bind(q: Query):
-        return lambda spark, sf_dir: q.plan(Inputs(spark, sf_dir))
+        return lambda spark, sf_dir: q.plan(inputs_for(spark, sf_dir))
 
     return {n: bind(q) for n, q in reg.items()}
 

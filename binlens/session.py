@@ -24,10 +24,12 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "binlens") -> SparkSession:
+              app_name: str = "binlens", driver_memory: str | None = "12g") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:  # local mode: the driver JVM is the executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

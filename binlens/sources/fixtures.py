@@ -285,7 +285,7 @@ class Inputs:
             return self._memo[name]
         if self.cache_dir:
             path = os.path.join(self.cache_dir, name)
-            if not os.path.exists(path):
+            if not os.path.exists(os.path.join(path, "_SUCCESS")):
                 self._derive(name).write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)
         else:
