@@ -230,8 +230,8 @@ def resolve_callee_names(comp: DataFrame, call_graph: DataFrame, function_map: D
                        N.addr_cluster_key("entry_address").alias("prefix")))
     fw = comp.where(F.col("final_category") == "framework").select(
         K, F.col("entry_address").alias("callee_address"), F.col("name").alias("callee_name"))
-    orig = function_map.select(K, F.col("ghidra_address").alias("callee_address"),
-                               F.col("original_name").alias("mapped_name")).dropDuplicates([K, "callee_address"])
+    orig = (function_map.groupBy(K, F.col("ghidra_address").alias("callee_address"))
+            .agg(F.min("original_name").alias("mapped_name")))
     al = aliases.select(K, F.col("ghidra_name").alias("callee_name"), F.col("original_name").alias("alias_name"))
     return (address_edges(call_graph)
             .join(unknown, [K, "caller_address"])
