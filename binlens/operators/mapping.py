@@ -119,16 +119,20 @@ def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame)
 
 def arbitrate(evidence: DataFrame) -> DataFrame:
     """The first file any evidence names wins; its line is the last overwriting
-    evidence for that file, else the line of that first evidence."""
+    evidence for that file, else the line of that first evidence.
+
+    One scan of the evidence: a partial aggregate per (function, file), then one per
+    function picking the file whose first evidence comes first."""
     keys = [B, T, "func_name", "entry_address"]
-    first = (evidence.groupBy(*keys)
-             .agg(F.min_by(F.struct("file", "line"), F.col("seq")).alias("f"))
-             .select(*keys, F.col("f.file").alias("best_file"), F.col("f.line").alias("first_line")))
-    ow = (evidence.where("overwrite").join(first.select(*keys, "best_file"), keys)
-          .where(F.col("file") == F.col("best_file"))
-          .groupBy(*keys).agg(F.max_by("line", "seq").alias("ow_line")))
-    return (first.join(ow, keys, "left")
-            .select(*keys, "best_file", F.coalesce("ow_line", "first_line").alias("best_line")))
+    per_file = (evidence.groupBy(*keys, "file")
+                .agg(F.min("seq").alias("first_seq"),
+                     F.min_by("line", "seq").alias("first_line"),
+                     F.max_by(F.when(F.col("overwrite"), F.col("line")),
+                              F.when(F.col("overwrite"), F.col("seq"))).alias("ow_line")))
+    best = (per_file.groupBy(*keys)
+            .agg(F.min_by(F.struct("file", "first_line", "ow_line"), F.col("first_seq")).alias("b")))
+    return best.select(*keys, F.col("b.file").alias("best_file"),
+                       F.coalesce("b.ow_line", "b.first_line").alias("best_line"))
 
 
 def enclosing_definitions(lines: DataFrame) -> DataFrame:
@@ -226,7 +230,8 @@ def call_graph_propagate(mapped: DataFrame, call_graph: DataFrame, lines: DataFr
     """Up to ``rounds`` rounds; stops when a round adds nothing.  Each round's state
     is checkpointed to the session's checkpoint folder, so lineage stays short and a
     lost executor only costs the current round."""
-    edges = call_graph.select(B, "caller_name", "callee_name").distinct()
+    edges = cut_lineage(call_graph.select(B, "caller_name", "callee_name").distinct())
+    first = cut_lineage(first)
     state = cut_lineage(mapped.select(*MAP_COLS))
     for n in range(1, rounds + 1):
         new = cut_lineage(propagation_round(state, edges, lines, first, n).select(*MAP_COLS))
