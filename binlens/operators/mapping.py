@@ -237,7 +237,8 @@ def call_graph_propagate(mapped: DataFrame, call_graph: DataFrame, lines: DataFr
         new = cut_lineage(propagation_round(state, edges, lines, first, n).select(*MAP_COLS))
         if new.isEmpty():
             break
-        state = cut_lineage(state.unionByName(new))
+        # both sides are checkpointed, so the union's lineage is two scans
+        state = state.unionByName(new)
     return state
 
 
