@@ -259,7 +259,7 @@ def identity(strings: DataFrame, symbols: DataFrame, markers: DataFrame, softwar
           .withColumn("repo_url", F.coalesce("repo_url", "sw_repo_url"))
           .withColumn("source_dir_hint", F.coalesce("source_dir_hint", "sw_source_dir_hint"))
           .drop("sw_repo_url", "sw_source_dir_hint"))
-    df = df.withColumn("n_evidence", F.size("evidence_list"))
+    df = df.withColumn("n_evidence", F.size("evidence_list").cast("bigint"))
     df = df.withColumn("confidence", confidence_level(F.col("name"), F.col("version"), F.col("repo_url"),
                                                       F.col("n_evidence")))
     if remote_tags is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from binlens.functions import names as N
 from binlens.operators import compose as O
 from binlens.plans.registry import query
 
@@ -216,3 +217,52 @@ def function_index(inp):
     f = inp.functions()
     return f.select("binary_id", "name", F.col("entry_address").alias("address"), "size",
                     F.col("param_count").alias("params"), "return_type")
+
+
+@query("scan_functions", """
+SELECT binary_id, tree_id, name, entry_address, end_address, size, param_count, return_type, calling_convention,
+       is_thunk, is_external FROM in_functions
+""")
+def scan_functions(inp):
+    """The function table with its fixed schema."""
+    return inp.functions()
+
+
+@query("function_name_keys", """
+SELECT binary_id, entry_address, name,
+       starts_with(name, 'FUN_') OR starts_with(name, 'thunk_') AS is_auto_name,
+       regexp_replace(name, '^_+', '') AS clean_name,
+       CASE WHEN length(entry_address) > 6 THEN substr(entry_address, 1, 6) ELSE entry_address END AS cluster_key,
+       CASE WHEN length(entry_address) > 3 THEN substr(entry_address, 1, length(entry_address) - 3) ELSE 'misc' END AS dir_key,
+       concat(regexp_replace(name, '[^a-zA-Z0-9_]', '_', 'g'), '_', entry_address, '.c') AS corpus_file
+FROM in_functions
+""")
+def function_name_keys(inp):
+    """P1-P5 on every function: auto name, clean name, cluster and folder keys, file name."""
+    f = inp.functions()
+    return f.select("binary_id", "entry_address", "name", N.is_auto_name("name").alias("is_auto_name"),
+                    N.clean_name("name").alias("clean_name"), N.addr_cluster_key("entry_address").alias("cluster_key"),
+                    N.addr_dir_key("entry_address").alias("dir_key"),
+                    N.corpus_file_name("name", "entry_address").alias("corpus_file"))
+
+
+@query("demangled_tails", """
+SELECT binary_id, name, demangled_name, trim(split_part(string_split(demangled_name, '::')[-1], '(', 1)) AS tail
+FROM in_demangled
+""")
+def demangled_tails(inp):
+    """P9 on the demangled names."""
+    d = inp.table("in_demangled")
+    return d.select("binary_id", "name", "demangled_name", N.symbol_tail("demangled_name").alias("tail"))
+
+
+@query("sorted_modules", """
+SELECT binary_id, CASE WHEN length(entry_address) > 6 THEN substr(entry_address, 1, 6) ELSE entry_address END AS prefix,
+       count(*) AS function_count,
+       CAST(sum(CASE WHEN starts_with(name, 'FUN_') OR starts_with(name, 'thunk_') THEN 0 ELSE 1 END) AS BIGINT) AS named_count,
+       CAST(sum(size) AS BIGINT) AS total_bytes, min(entry_address) AS min_address, max(entry_address) AS max_address
+FROM in_functions GROUP BY 1, 2 ORDER BY 1, 2
+""")
+def sorted_modules(inp):
+    """K3: module chunks in prefix order (a range-partitioned sort, not one task)."""
+    return O.module_chunks(inp.functions()).orderBy("binary_id", "prefix")

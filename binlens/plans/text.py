@@ -86,3 +86,33 @@ def corpus_function_keys(inp):
     """Function key of each per-function corpus file name."""
     files = inp.table("in_corpus_files")
     return files.select("binary_id", "file_name", X.corpus_function_key(F.col("file_name")).alias("func_key"))
+
+
+POLY_CTE = TEXT_CTE.replace("in_source_lines", "in_polyglot_lines")
+
+
+@query("polyglot_definitions", f"""
+WITH {POLY_CTE}
+SELECT tree_id, rel_path, line_no, name, lang, ext FROM defs
+""")
+def polyglot_definitions(inp):
+    """X1 (+ P6, P7) over a tree in all eight languages with excluded folders."""
+    return X.source_definitions(inp.table("in_polyglot_lines"))
+
+
+@query("polyglot_first_posting", f"WITH {POLY_CTE} SELECT * FROM first_def")
+def polyglot_first_posting(inp):
+    return X.first_posting(X.source_definitions(inp.table("in_polyglot_lines")))
+
+
+@query("polyglot_literals", f"WITH {POLY_CTE} SELECT * FROM slit")
+def polyglot_literals(inp):
+    """X4 over the same tree: .hpp files are not in the literal index and bench/ is not
+    excluded from it (Q9)."""
+    return X.source_literals(inp.table("in_polyglot_lines"))
+
+
+@query("scan_source_lines", f"WITH {TEXT_CTE} SELECT tree_id, rel_path, line_no, text, ext FROM src")
+def scan_source_lines(inp):
+    """The source tree as numbered lines with the extension of each file."""
+    return X.with_ext(inp.source_lines())

@@ -194,6 +194,33 @@ UNION ALL
 SELECT concat('app/bundle', bundle_id, '.js') AS rel_path, line_no, text FROM fx_bundle_lines
 """
 
+# A source tree in all eight indexed languages, with excluded folders (vendor/, bench/),
+# a folder that only looks excluded by substring (latest/ contains test/), qualified C++
+# names, keyword-only lines, declarations and literal lines.
+FIXTURE_SQL["fx_polyglot_lines"] = """
+SELECT rel_path, CAST(row_number() OVER (PARTITION BY rel_path ORDER BY p_partkey, k) AS INT) AS line_no, text
+FROM (
+  SELECT p_partkey, k,
+         concat(CASE p_partkey % 5 WHEN 0 THEN 'vendor/' WHEN 1 THEN 'bench/' WHEN 2 THEN 'latest/' ELSE 'src/' END,
+                'm', p_partkey % 13,
+                CASE p_partkey % 8 WHEN 0 THEN '.c' WHEN 1 THEN '.h' WHEN 2 THEN '.hpp' WHEN 3 THEN '.rs'
+                                   WHEN 4 THEN '.go' WHEN 5 THEN '.swift' WHEN 6 THEN '.zig' ELSE '.cpp' END) AS rel_path,
+         CASE WHEN k = 2 THEN concat('    log("', p_name, ' literal");')
+              WHEN k = 3 THEN '    if (ready) {'
+              WHEN p_partkey % 8 = 0 THEN concat('static int ', ident, '(void) {')
+              WHEN p_partkey % 8 = 1 THEN concat('int ', ident, '(int a);')
+              WHEN p_partkey % 8 = 2 THEN concat('std::vector<int> ', ident, '(int a);')
+              WHEN p_partkey % 8 = 3 THEN concat('    pub fn ', ident, '<T>(x: T) {')
+              WHEN p_partkey % 8 = 4 THEN concat('func (s *Server) ', ident, '(x int) {')
+              WHEN p_partkey % 8 = 5 THEN concat('  public func ', ident, '(x: Int) {')
+              WHEN p_partkey % 8 = 6 THEN concat('export fn ', ident, '() void {')
+              WHEN p_size % 2 = 0 THEN concat('void Widget::', ident, '(int a) {')
+              ELSE concat('unsigned long ', ident, ' (char *s) {') END AS text
+  FROM (SELECT *, concat(replace(p_name, ' ', '_'), '_', p_partkey) AS ident FROM part) p
+  CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3) t
+) q
+"""
+
 # ---- keyed inputs -----------------------------------------------------------------
 
 FIXTURE_SQL["in_functions"] = """
@@ -215,6 +242,9 @@ SELECT 0 AS binary_id, ghidra_address FROM fx_mapped
 FIXTURE_SQL["in_demangled"] = """
 SELECT 0 AS binary_id, name, demangled_name FROM fx_demangled
 """
+FIXTURE_SQL["in_polyglot_lines"] = """
+SELECT 1 AS tree_id, rel_path, line_no, text FROM fx_polyglot_lines
+"""
 FIXTURE_SQL["in_produced_lines"] = """
 SELECT 0 AS tree_id, rel_path, line_no, text FROM fx_produced_lines
 """
