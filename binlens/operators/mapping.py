@@ -135,31 +135,30 @@ def arbitrate(evidence: DataFrame) -> DataFrame:
                        F.coalesce("b.ow_line", "b.first_line").alias("best_line"))
 
 
-def enclosing_definitions(lines: DataFrame) -> DataFrame:
-    """Lines that the 'function at line' patterns match: the zig pattern anywhere in .zig
-    files, the anchored C-like pattern in every other file; no name filter."""
-    df = X.with_ext(lines)
-    zig = F.regexp_extract("text", C.ENCLOSING_PATTERN_ZIG, 1)
-    other = F.when(F.instr("text", "(") > 0,
-                   F.regexp_extract(F.concat(F.substring_index("text", "(", 1), F.lit("(")),
+def enclosing_name(ext, text):
+    """Name the 'function at line' patterns capture ('' if none): the zig pattern anywhere
+    in .zig files, the anchored C-like pattern in every other file; no name filter."""
+    zig = F.regexp_extract(text, C.ENCLOSING_PATTERN_ZIG, 1)
+    other = F.when(F.instr(text, "(") > 0,
+                   F.regexp_extract(F.concat(F.substring_index(text, "(", 1), F.lit("(")),
                                     C.ENCLOSING_PATTERN_OTHER, 1)).otherwise("")
-    return (df.withColumn("def_name", F.when(F.col("ext") == ".zig", zig).otherwise(other))
-            .where(F.length("def_name") > 0)
-            .select(T, "rel_path", "line_no", "def_name"))
+    return F.when(ext == ".zig", zig).otherwise(other)
 
 
 def enclosing_definition(anchors: DataFrame, lines: DataFrame) -> DataFrame:
-    """First definition within lines [L-19, L+5] of the anchored file (band join)."""
+    """First definition within lines [L-19, L+5] of the anchored file (band join).
+
+    The band join narrows the lines to the anchor windows first; the pattern then runs
+    only on those lines."""
     keys = [B, T, "func_name", "entry_address"]
     wins = (anchors.select(*keys, F.col("best_file").alias("rel_path"),
                            F.greatest(F.lit(1), F.col("best_line") - 19).alias("lo"),
                            (F.col("best_line") + 5).alias("hi"))
             .where(F.col("hi").isNotNull()))
-    touched = lines.join(anchors.select(T, F.col("best_file").alias("rel_path")).distinct(), [T, "rel_path"],
-                         "left_semi")
-    defs = enclosing_definitions(touched)
-    return (band_join(wins, defs)
-            .groupBy(*keys).agg(F.min_by("def_name", "line_no").alias("enclosing_name")))
+    pairs = band_join(wins, lines.select(T, "rel_path", "line_no", "text"))
+    named = (pairs.withColumn("def_name", enclosing_name(N.path_ext("rel_path"), F.col("text")))
+             .where(F.length("def_name") > 0))
+    return named.groupBy(*keys).agg(F.min_by("def_name", "line_no").alias("enclosing_name"))
 
 
 def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: DataFrame,
@@ -190,8 +189,7 @@ def callee_candidates(callers: DataFrame, lines: DataFrame, first: DataFrame) ->
     wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("source_file").alias("rel_path"),
                           F.greatest(F.lit(1), F.col("source_line") - 4).alias("lo"),
                           (F.col("source_line") + 50).alias("hi"))
-    touched = lines.join(wins.select(T, "rel_path").distinct(), [T, "rel_path"], "left_semi")
-    pairs = band_join(wins, touched.where(F.instr("text", "(") > 0))
+    pairs = band_join(wins, lines.select(T, "rel_path", "line_no", "text").where(F.instr("text", "(") > 0))
     calls = pairs.select(B, T, "caller_name", "line_no",
                          F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE), 1)).alias("pos", "cand_name"))
     return calls.join(first.withColumnRenamed("name", "cand_name"), [T, "cand_name"])
