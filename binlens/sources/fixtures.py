@@ -13,6 +13,7 @@ are binary 0 and source tree 0.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 
@@ -316,7 +317,10 @@ class Inputs:
         if name in self._memo:
             return self._memo[name]
         if self.cache_dir:
-            path = os.path.join(self.cache_dir, name)
+            # keyed by the SQL of the table and everything it reads, so an edited view is
+            # never served from an older copy
+            digest = hashlib.sha1("\n".join(FIXTURE_SQL[d] for d in dependencies(name)).encode()).hexdigest()[:12]
+            path = os.path.join(self.cache_dir, f"{name}_{digest}")
             if not os.path.exists(os.path.join(path, "_SUCCESS")):
                 self._derive(name).write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)

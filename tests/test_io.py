@@ -71,3 +71,25 @@ def test_corpus_writers(spark):
                    for f in sorted(fs) if f.startswith("part-"))
     assert text.startswith("// Ghidra decompilation of: target\n// Functions: 2\n")
     assert text.index("// FUN_1 @ 100001000") < text.index("// op<< @ 100001200")
+
+
+def test_map_alias_report_and_module_writers(spark):
+    d = tempfile.mkdtemp()
+    fm = spark.createDataFrame([(0, "FUN_2", "200", "a.c", 3, "low", "callgraph_iter1", "x", "c"),
+                                (0, "main", "100", "a.c", 1, "high", "direct_symbol", "main", "c")],
+                               "binary_id int, ghidra_function_name string, ghidra_address string, source_file string, "
+                               "source_line int, confidence string, match_method string, original_name string, "
+                               "source_language string")
+    io.write_function_map(fm, os.path.join(d, "fm"))
+    back = io.read_function_map(spark, os.path.join(d, "fm"), binary_id=None)
+    assert sorted(r["ghidra_function_name"] for r in back.collect()) == ["FUN_2", "main"]
+    al = spark.createDataFrame([(0, "FUN_b", "y"), (0, "FUN_a", "z")], "binary_id int, ghidra_name string, original_name string")
+    io.write_aliases(al, os.path.join(d, "al"))
+    rows = spark.read.csv(os.path.join(d, "al"), sep="\t", header=True).collect()
+    assert sorted(r["ghidra_name"] for r in rows) == ["FUN_a", "FUN_b"]
+    io.write_json_report(spark.createDataFrame([(0, 2, 1.5)], "binary_id int, total_functions long, pct double"),
+                         os.path.join(d, "stats"))
+    assert spark.read.json(os.path.join(d, "stats")).first()["total_functions"] == 2
+    mc = spark.createDataFrame([(0, "1000b0", 2), (0, "1000a0", 1)], "binary_id int, prefix string, function_count long")
+    io.write_module_chunks(mc, os.path.join(d, "mc"))
+    assert spark.read.csv(os.path.join(d, "mc"), sep="\t", header=True).count() == 2
