@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
 import os
 import re
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from binlens.session import checkpoint_dir
-
+from binlens.session import apply_defaults, checkpoint_dir
 from binlens.sources.fixtures import Inputs, with_fixtures
 
 
@@ -43,6 +41,7 @@ def load_all() -> dict[str, Query]:
 
 def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
     """Inputs derived once per scale factor and kept as Parquet in the checkpoint folder."""
+    apply_defaults(spark)
     tag = re.sub(r"[^A-Za-z0-9]+", "_", os.path.abspath(sf_dir)).strip("_")
     return Inputs(spark, sf_dir, cache_dir=os.path.join(checkpoint_dir(spark), "inputs", tag))
 
