@@ -107,8 +107,8 @@ def _grab(pat, strip):
     return f"CASE WHEN regexp_matches(head, '{pat}') THEN {v} END"
 
 
-@query("bundle_metadata", f"""
-WITH {SEG_CTE},
+REGISTRY_METADATA_SQL = f"""
+WITH __SEG_CTE__,
 head AS (SELECT bundle_id, string_agg(segment, chr(10) ORDER BY seg_no) AS head
          FROM (SELECT * FROM segc WHERE seg_class = 'app'
                QUALIFY row_number() OVER (PARTITION BY bundle_id ORDER BY seg_no) <= {C.APP_METADATA_SEGMENTS}) s
@@ -121,7 +121,10 @@ tot AS (SELECT bundle_id,
                count(*) FILTER (WHERE seg_class = 'app') AS app_segments,
                count(*) FILTER (WHERE seg_class = 'builtin') AS builtin_segments FROM segc GROUP BY 1)
 SELECT tot.*, meta.app_version, meta.copyright, meta.app_name FROM tot LEFT JOIN meta USING (bundle_id)
-""")
+"""
+
+
+@query("bundle_metadata", REGISTRY_METADATA_SQL.replace("__SEG_CTE__", SEG_CTE))
 def bundle_metadata(inp):
     return U.bundle_metadata(_segments(inp))
 
@@ -154,3 +157,28 @@ FROM total t LEFT JOIN (SELECT bundle_id, count(*) AS chunks FROM chunks GROUP B
 def chunk_index_summary(inp):
     lines = inp.table("fx_bundle_lines")
     return U.chunk_index_summary(lines, U.declaration_chunks(lines))
+
+
+PAYLOAD_SEG_CTE = SEG_CTE.replace("doc_id AS bundle_id", "payload_id AS bundle_id").replace(
+    "SELECT doc_id, regexp_extract_all", "SELECT payload_id, regexp_extract_all").replace(
+    "FROM documents", "FROM fx_bundle_payloads")
+
+
+def _payload_segments(inp):
+    return U.text_segments(inp.table("fx_bundle_payloads"), id_col="payload_id")
+
+
+@query("payload_segments", f"""
+WITH {PAYLOAD_SEG_CTE}
+SELECT bundle_id, seg_no, n_chars, seg_class, md5(segment) AS seg_md5 FROM segc
+""")
+def payload_segments(inp):
+    """X13 + P11 on payloads with builtin segments and control-character separators."""
+    return _payload_segments(inp).select("bundle_id", "seg_no", "n_chars", "seg_class",
+                                         F.md5("segment").alias("seg_md5"))
+
+
+@query("payload_metadata", REGISTRY_METADATA_SQL.replace("__SEG_CTE__", PAYLOAD_SEG_CTE))
+def payload_metadata(inp):
+    """X14 on payloads that carry an app name, a version banner and a copyright line."""
+    return U.bundle_metadata(_payload_segments(inp))

@@ -222,6 +222,21 @@ FROM (
 ) q
 """
 
+# Decoded bundle payloads: per part an app segment with a name comment, a version banner and
+# a copyright line, a second segment (builtin for every seventh part) and a short tail, the
+# three separated by control characters.
+FIXTURE_SQL["fx_bundle_payloads"] = """
+SELECT p_partkey AS payload_id,
+       concat('// ', p_name, ' is a bundled tool', chr(10),
+              'const banner = "Version: 1.', p_size, '.', p_partkey % 10, '";', chr(10),
+              '/* (c) ', p_brand, ' Corp. All rights reserved. */', chr(10), repeat('var x = 1; ', 15),
+              chr(0),
+              CASE WHEN p_partkey % 7 = 0 THEN '@getInternalField ' ELSE '' END,
+              'function helper', p_partkey, '() { return 1; } ', repeat('let y = 2; ', 20),
+              chr(1), 'tail') AS text
+FROM part
+"""
+
 # ---- keyed inputs -----------------------------------------------------------------
 
 FIXTURE_SQL["in_functions"] = """
