@@ -25,6 +25,13 @@ def first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def capped(strings: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` strings per binary; reuses a ``rank`` column computed upstream."""
+    if "rank" in strings.columns:
+        return strings.where(F.col("rank") <= n)
+    return first_n(strings, n)
+
+
 def _py_strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -41,7 +48,7 @@ def repo_mentions(strings: DataFrame) -> DataFrame:
     """Every owner/repo match in the first 100,000 strings, in visiting order
     (ord, pattern, match), repo with trailing '.', 'g', 'i', 't' stripped (Q1), minus the
     ignore list."""
-    s = first_n(strings, C.FIRST_N_STRINGS)
+    s = capped(strings, C.FIRST_N_STRINGS)
     parts = []
     for i, pat in enumerate(C.GITHUB_URL_PATTERNS):
         m = F.arrays_zip(F.regexp_extract_all("s", F.lit(pat), 1).alias("owner"),
@@ -78,7 +85,7 @@ def signature_markers(strings: DataFrame, markers: DataFrame, software: DataFram
     """Per binary and catalog software, the distinct markers present; matched when
     at least ``min_markers``.  The catalog is a fixed table of a few dozen markers,
     broadcast and tested with ``contains``."""
-    s = first_n(strings, C.FIRST_N_STRINGS).select(B, "s")
+    s = capped(strings, C.FIRST_N_STRINGS).select(B, "s")
     hits = (s.join(F.broadcast(markers), F.col("s").contains(F.col("marker")))
             .select(B, "sw_rank", "sw_name", "marker_rank", "marker").distinct())
     per = (hits.groupBy(B, "sw_rank", "sw_name")
@@ -105,7 +112,7 @@ def signature_winner(sig: DataFrame) -> DataFrame:
 
 def version_mentions(strings: DataFrame) -> DataFrame:
     """Per string of the first 50,000 and per pattern, the first match."""
-    s = first_n(strings, C.FIRST_N_VERSION_STRINGS)
+    s = capped(strings, C.FIRST_N_VERSION_STRINGS)
     parts = []
     for i, (pat, kind) in enumerate(C.VERSION_PATTERNS):
         named = kind == "named"
@@ -144,7 +151,7 @@ def first_version(mentions: DataFrame, software: DataFrame) -> DataFrame:
 
 def build_paths(strings: DataFrame) -> DataFrame:
     """Distinct path-like strings per binary with the extension of their last part."""
-    s = first_n(strings, C.FIRST_N_STRINGS)
+    s = capped(strings, C.FIRST_N_STRINGS)
     found = F.array_distinct(F.concat(*[F.regexp_extract_all("s", F.lit(p), 1) for p in C.BUILD_PATH_PATTERNS]))
     paths = s.select(B, F.explode(found).alias("path")).distinct()
     last = F.regexp_extract(F.regexp_replace("path", r"(/\.?)+$", ""), r"([^/]*)$", 1)
@@ -188,7 +195,7 @@ def symbol_families(symbols: DataFrame) -> DataFrame:
 
 def binary_languages(strings: DataFrame, indicators: DataFrame) -> DataFrame:
     """X11: languages with any indicator present, sorted; 'c' only when none is."""
-    s = first_n(strings, C.FIRST_N_STRINGS).select(B, "s")
+    s = capped(strings, C.FIRST_N_STRINGS).select(B, "s")
     hits = (s.join(F.broadcast(indicators), F.col("s").contains(F.col("indicator")))
             .select(B, "language").distinct())
     per = hits.groupBy(B).agg(F.array_sort(F.collect_set(F.when(F.col("language") != "c", F.col("language"))))
@@ -233,6 +240,7 @@ def identity(strings: DataFrame, symbols: DataFrame, markers: DataFrame, softwar
     """A15 (+ J15, P10, J13): the five detectors in order, first non-null wins except that
     a catalog version hit overwrites name and version; evidence in detector order."""
     ids = strings.select(B).unionByName(symbols.select(B)).distinct()
+    strings = first_n(strings, C.FIRST_N_STRINGS)  # ranked once, shared by every detector
     url = top_repo(repo_counts(repo_mentions(strings))).select(
         B, F.col("repo_url").alias("url_repo"), F.col("name").alias("url_name"), F.col("evidence").alias("url_ev"))
     sig = signature_winner(signature_markers(strings, markers, software)).select(
