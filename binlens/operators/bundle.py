@@ -3,7 +3,8 @@ and hints (X12-X16, P11, P15, A14, K7).
 
 Chunking (X15) is a greedy scan in the original: a declaration line opens a new chunk when
 at least 350 lines passed since the last break.  Here every candidate line gets its
-successor (the first candidate >= 350 lines later) from a join on 350-line buckets, and
+successor (the first candidate >= 350 lines later) from a running minimum within
+350-line buckets plus a lead over non-empty buckets, and
 the chain from line 0 is followed by pointer doubling — a logarithmic number of join
 rounds, each checkpointed.  No document is collected into one row.
 """
@@ -104,11 +105,27 @@ def break_candidates(lines: DataFrame) -> DataFrame:
 def successors(nodes: DataFrame, cands: DataFrame) -> DataFrame:
     """For each node x: the first candidate c >= x + 350 (null when none).
 
-    With 350-line buckets, such a c lies in bucket(x) + 1 or in the first non-empty
-    bucket from bucket(x) + 2 on.  The second case needs an ordered scan, done over the
-    distinct non-empty buckets only (350x fewer rows than lines).
+    With 350-line buckets the probe p = x + 350 lies in bucket(x) + 1.  The answer is
+
+    * the smallest candidate >= p in the probe's own bucket: a running minimum over that
+      bucket's candidates and probes in descending position (an incremental frame; a
+      partition holds one bucket, at most ~700 rows, and no pairs are formed), or else
+    * the first candidate of the first non-empty bucket from bucket(x) + 2 on: a ``lead``
+      over the distinct non-empty buckets (350x fewer rows than lines).
     """
+    ityp = cands.schema["i"].dataType
     cb = cands.withColumn("k", F.expr(f"i div {STEP}"))
+    probes = nodes.select(D, F.col("i").alias("x"), (F.col("i") + STEP).alias("pos"))
+    rows = (cb.select(D, "k", F.col("i").alias("pos"), F.lit(1).alias("t"), F.col("i").alias("c"),
+                      F.lit(None).cast(ityp).alias("x"))
+            .unionByName(probes.select(D, F.expr(f"pos div {STEP}").alias("k"), "pos", F.lit(0).alias("t"),
+                                       F.lit(None).cast(ityp).alias("c"), "x")))
+    # descending position, candidates before probes at the same position: the running
+    # minimum at a probe covers exactly the candidates c >= p of its bucket
+    run = (Window.partitionBy(D, "k").orderBy(F.desc("pos"), F.desc("t"))
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = (rows.withColumn("near_c", F.min("c").over(run)).where(F.col("t") == 0)
+            .select(D, F.col("x").alias("i"), "near_c"))
     bucket_min = cb.groupBy(D, "k").agg(F.min("i").alias("kmin"))
     w = Window.partitionBy(D).orderBy("k")
     buckets = (nodes.select(D, F.expr(f"i div {STEP}").alias("k")).unionByName(bucket_min.select(D, "k")).distinct()
@@ -116,9 +133,6 @@ def successors(nodes: DataFrame, cands: DataFrame) -> DataFrame:
     far = (buckets.select(D, "k", F.when(F.col("l1") >= F.col("k") + 2, F.col("l1")).otherwise(F.col("l2")).alias("kf"))
            .join(bucket_min.select(D, F.col("k").alias("kf"), F.col("kmin").alias("far_c")), [D, "kf"], "left"))
     nk = nodes.withColumn("k", F.expr(f"i div {STEP}"))
-    near = (nk.join(cb.select(D, (F.col("k") - 1).alias("k"), F.col("i").alias("c")), [D, "k"])
-            .where(F.col("c") >= F.col("i") + STEP)
-            .groupBy(D, "i").agg(F.min("c").alias("near_c")))
     return (nk.join(near, [D, "i"], "left").join(far.select(D, "k", "far_c"), [D, "k"], "left")
             .select(D, "i", F.coalesce("near_c", "far_c").alias("nxt")))
 
