@@ -57,3 +57,30 @@ def test_direct_symbols_land_on_true_definitions(inputs, spark):
     j = direct.join(truth, direct["original_name"] == truth["ident"])
     assert j.count() == direct.count() > 0
     assert j.where((F.col("source_file") != F.col("rel_path")) | (F.col("source_line") != F.col("line_no"))).count() == 0
+
+
+def _dup(df):
+    return df.unionByName(df.withColumn("binary_id", F.lit(1)))
+
+
+def test_mapping_isolated_per_binary(inputs):
+    from binlens.operators import mapping as M
+    maps = M.map_functions(_dup(inputs.functions()), _dup(inputs.call_graph()), _dup(inputs.decompiled()),
+                           inputs.source_lines(), _dup(inputs.table("in_demangled")))
+    cols = [c for c in maps.columns if c != "binary_id"]
+    rows = maps.collect()
+    b0 = sorted(tuple(r[c] for c in cols) for r in rows if r["binary_id"] == 0)
+    b1 = sorted(tuple(r[c] for c in cols) for r in rows if r["binary_id"] == 1)
+    assert b0 == b1 and len(b0) > 0
+    single = M.map_functions(inputs.functions(), inputs.call_graph(), inputs.decompiled(), inputs.source_lines(),
+                             inputs.table("in_demangled"))
+    assert sorted(tuple(r[c] for c in cols) for r in single.collect()) == b0
+
+
+def test_propagated_mappings_have_a_mapped_caller(inputs):
+    m = load_all()["call_graph_propagate"].plan(inputs)
+    edges = inputs.call_graph().select("binary_id", "caller_name", F.col("callee_name").alias("name"))
+    prop = m.where(F.col("match_method").startswith("callgraph_iter"))
+    callers = m.select("binary_id", F.col("name").alias("caller_name"))
+    ok = prop.join(edges, ["binary_id", "name"]).join(callers, ["binary_id", "caller_name"], "left_semi")
+    assert ok.select("binary_id", "name").distinct().count() == prop.count() > 0
