@@ -9,6 +9,7 @@ from binlens.functions import catalog as C
 from binlens.operators import compose as O
 from binlens.operators import mapping as M
 from binlens.operators import progress as P
+from binlens.operators import text as X
 from binlens.plans.composition import COMP_CTE
 from binlens.plans.registry import query
 from binlens.plans.sqlparts import ALIASES_SQL, EXT, FULL_MAP_CTE, TEXT_CTE
@@ -38,7 +39,7 @@ def _produced(inp):
 
 @query("definition_count", f"WITH {PROD_CTE} SELECT * FROM pdefs")
 def definition_count(inp):
-    return P.X.definition_line_counts(_produced(inp))
+    return X.definition_line_counts(_produced(inp))
 
 
 @query("source_totals", f"WITH {PROD_CTE} SELECT * FROM ptot")

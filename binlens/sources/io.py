@@ -9,6 +9,7 @@ its own folder and is written by many tasks at once.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,17 +114,12 @@ def read_source_tree(spark: SparkSession, directory: str, tree_id: int = 0) -> D
     Undecodable bytes become U+FFFD (the text source decodes with replacement)."""
     df = spark.read.option("recursiveFileLookup", True).text(directory, wholetext=True)
     root = os.path.abspath(directory).rstrip("/") + "/"
-    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:", ""), "^" + _re_escape(root), "")
+    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:", ""), "^" + re.escape(root), "")
     return (df.select(F.lit(tree_id).alias("tree_id"), rel.alias("rel_path"),
                       F.posexplode(split_lines(F.col("value"))).alias("pos", "text"))
             .select("tree_id", "rel_path", (F.col("pos") + 1).cast("int").alias("line_no"), "text"))
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
 def read_binary_strings(spark: SparkSession, path: str, min_len: int = 6) -> DataFrame:
     """Printable ASCII runs (space..~ and tab) of at least ``min_len`` bytes, in file
     order, with the binary's file name as key."""
