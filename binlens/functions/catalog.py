@@ -132,6 +132,10 @@ CATEGORY_RULES = [
 LIBC_STYLE_MAX_LEN = 30
 AUTO_NAME_PREFIXES = ["FUN_", "thunk_"]
 
+# ---- fixed values: per-function corpus formats (header line, combined-file header) ----
+CORPUS_DOC_HEADER = "// %s @ %s\n"  # name, address
+CORPUS_COMBINED_HEADER = "// Ghidra decompilation of: %s\n// Functions: %d\n"  # target name, count
+
 # ---- fixed values: bundle chunking ----
 CHUNK_TARGET_LINES = 500
 CHUNK_BREAK_FRACTION = 0.7  # a break needs >= 0.7 * 500 = 350 lines since the last one

@@ -1,5 +1,5 @@
 """Composition of a binary: categories, propagation, address clusters (A1-A5, A7, J8, J9,
-P8, P12, K2, K3, J12, J16-J18, K6).
+P8, P12, K2, K3, J12, J16, J18, S2-S4).
 
 Every operator is keyed by ``binary_id``; all aggregates are partial (map-side) so a
 binary holding a third of all functions is still spread over every task.

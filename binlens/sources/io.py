@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from binlens.functions import catalog as C
 from binlens.functions import names as N
 from binlens.operators import text as X
 
@@ -183,7 +184,7 @@ def corpus_documents(functions_text: DataFrame) -> DataFrame:
     return functions_text.select(
         "binary_id", N.addr_dir_key("entry_address").alias("addr_prefix"),
         N.corpus_file_name("name", "entry_address").alias("file_name"),
-        F.concat(F.lit("// "), F.col("name"), F.lit(" @ "), F.col("entry_address"), F.lit("\n"), F.col("code"))
+        F.concat(F.format_string(C.CORPUS_DOC_HEADER, F.col("name"), F.col("entry_address")), F.col("code"))
         .alias("document"))
 
 
@@ -200,8 +201,7 @@ def write_combined_corpus(functions_text: DataFrame, names: DataFrame, path: str
     counts = docs.groupBy("binary_id").agg(F.count(F.lit(1)).alias("n"))
     header = (counts.join(names, ["binary_id"])
               .select("binary_id", F.lit("").alias("addr_prefix"), F.lit("").alias("file_name"), F.lit(0).alias("part"),
-                      F.format_string("// Ghidra decompilation of: %s\n// Functions: %d\n", F.col("target_name"),
-                                      F.col("n")).alias("value")))
+                      F.format_string(C.CORPUS_COMBINED_HEADER, F.col("target_name"), F.col("n")).alias("value")))
     body = docs.select("binary_id", "addr_prefix", "file_name", F.lit(1).alias("part"),
                        F.concat(F.col("document"), F.lit("\n")).alias("value"))
     out = header.unionByName(body)
