@@ -29,14 +29,20 @@ MAP_COLS = [B, T, "name", "source_file", "source_line", "confidence", "match_met
             "original_name", "source_language", "order_key"]
 
 
+def bucketed_lines(lines: DataFrame) -> DataFrame:
+    """Lines keyed for band joins: (tree_id, rel_path, line_no div BUCKET)."""
+    return lines.select(T, "rel_path", "line_no", "text").withColumn("_b", F.expr(f"line_no div {BUCKET}"))
+
+
 def band_join(windows: DataFrame, lines: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Pairs (window, line) with ``lo <= line_no <= hi`` on the same (tree_id, rel_path).
 
     Both sides are keyed by ``line_no div BUCKET`` as well, so one very large file is
     spread over many join keys; a window explodes into the (at most two) buckets it spans.
+    ``lines`` may come already bucketed (and partitioned on the keys) by ``bucketed_lines``.
     """
     w = windows.withColumn("_b", F.explode(F.sequence(F.expr(f"{lo} div {BUCKET}"), F.expr(f"{hi} div {BUCKET}"))))
-    ln = lines.withColumn("_b", F.expr(f"line_no div {BUCKET}"))
+    ln = lines if "_b" in lines.columns else bucketed_lines(lines)
     return (w.join(ln, [T, "rel_path", "_b"])
             .where((F.col("line_no") >= F.col(lo)) & (F.col("line_no") <= F.col(hi)))
             .drop("_b"))
@@ -186,11 +192,13 @@ def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: Da
 def callee_candidates(callers: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
     """Calls in lines [L-4, L+50] of each caller's mapped file that name a known
     definition, with that definition's first posting, ordered by (line, pos)."""
-    wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("source_file").alias("rel_path"),
+    wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("order_key").alias("caller_key"),
+                          F.col("source_file").alias("rel_path"),
                           F.greatest(F.lit(1), F.col("source_line") - 4).alias("lo"),
                           (F.col("source_line") + 50).alias("hi"))
-    pairs = band_join(wins, lines.select(T, "rel_path", "line_no", "text").where(F.instr("text", "(") > 0))
-    calls = pairs.select(B, T, "caller_name", "line_no",
+    ln = lines if "_b" in lines.columns else lines.where(F.instr("text", "(") > 0)
+    pairs = band_join(wins, ln)
+    calls = pairs.select(B, T, "caller_name", "caller_key", "line_no",
                          F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE), 1)).alias("pos", "cand_name"))
     return calls.join(first.withColumnRenamed("name", "cand_name"), [T, "cand_name"])
 
@@ -206,12 +214,10 @@ def propagation_round(mapped: DataFrame, edges: DataFrame, lines: DataFrame, fir
     used = mapped.select(B, F.col("original_name").alias("cand_name")).distinct()
     cands = callee_candidates(callers, lines, first).join(used, [B, "cand_name"], "left_anti")
     # each caller offers its first unused candidate to all its unmapped FUN_ callees
-    offer = (cands.groupBy(B, "caller_name")
+    offer = (cands.groupBy(B, T, "caller_name", "caller_key")
              .agg(F.min_by(F.struct("cand_name", "def_file", "def_line", "def_lang"),
                            F.struct("line_no", "pos")).alias("o")))
-    ranked = (fun_edges.join(offer, [B, "caller_name"])
-              .join(callers.select(B, T, F.col("name").alias("caller_name"), F.col("order_key").alias("caller_key")),
-                    [B, "caller_name"]))
+    ranked = fun_edges.join(offer, [B, "caller_name"])
     # each callee takes the offer of the first mapped caller (in mapping order)
     best = (ranked.groupBy(B, T, "callee_name")
             .agg(F.min_by(F.struct("o", "caller_key"), F.col("caller_key")).alias("b")))
@@ -229,7 +235,10 @@ def call_graph_propagate(mapped: DataFrame, call_graph: DataFrame, lines: DataFr
     is checkpointed to the session's checkpoint folder, so lineage stays short and a
     lost executor only costs the current round."""
     edges = cut_lineage(call_graph.select(B, "caller_name", "callee_name").distinct())
-    first = cut_lineage(first)
+    # the two large inputs of every round are keyed and partitioned once: the band join
+    # and the index lookup then shuffle only the small per-round side
+    first = cut_lineage(first.repartition(T, "name"))
+    lines = cut_lineage(bucketed_lines(lines.where(F.instr("text", "(") > 0)).repartition(T, "rel_path", "_b"))
     state = cut_lineage(mapped.select(*MAP_COLS))
     for n in range(1, rounds + 1):
         new = cut_lineage(propagation_round(state, edges, lines, first, n).select(*MAP_COLS))

@@ -92,7 +92,7 @@ def callee_candidates(inp):
     stage12 = _direct(inp).unionByName(
         M.string_anchor_matches(inp.functions(), inp.decompiled(), inp.source_lines(), _direct(inp))
         .select(*M.MAP_COLS))
-    return M.callee_candidates(stage12, inp.source_lines(), first)
+    return M.callee_candidates(stage12, inp.source_lines(), first).drop("caller_key")
 
 
 @query("call_graph_propagate", f"WITH {FULL_MAP_CTE} SELECT * FROM mm3")
