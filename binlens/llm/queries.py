@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import language_id
+from binlens.llm import language_id, quality_rules
 from binlens.llm.common import split_remainder, table
 
 
@@ -16,7 +16,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.withColumn("held_out", rest == 0), models, passthrough=("doc_id", "held_out"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.clean(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_quality_rules": op2_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
