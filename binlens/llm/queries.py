@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import language_id, quality_rules
+from binlens.llm import language_id, packing, quality_rules
 from binlens.llm.common import split_remainder, table
 
 
@@ -20,8 +20,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
+    "op3_packing": op3_packing,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
