@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from binlens.llm.words import U, code_points, mix, per_text, sub_batches
+from binlens.llm.words import letter_numbers, letter_words, per_text, sub_batches
 
 UNKNOWN = "und"
 # bounds of the labelled sample: texts and letters per language; longer texts are taken last
@@ -127,11 +127,7 @@ class Parser:
         alphabet = {c: i + 2 for i, c in enumerate(letters_seen)}
         self.blank = alphabet[32]
         self.tables = [models[n].table(alphabet) for n in self.names]
-        self.number = np.zeros(0x110000, np.uint16)
-        for c in range(0x110000):
-            if (ch := chr(c)).isalpha():
-                self.number[c] = alphabet.get(ord(ch.lower()[0]), 1)
-        self.number[[9, 10, 11, 12, 13, 32]] = self.blank
+        self.number = letter_numbers(alphabet, self.blank)
 
     def pieces(self, letters_of: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Pieces per word and language; every word gets a blank before and after."""
@@ -160,33 +156,12 @@ class Parser:
 
     def costs(self, texts: pa.Array) -> np.ndarray:
         """Of every text: letters, cost in bits in each language, normalised cost in each language."""
-        points, offsets = code_points(texts)
-        stream = self.number[points]
-        # each text ends with a blank of its own; what is no letter is taken out
-        stream = np.insert(stream, offsets[1:], self.blank)
-        offsets = offsets + np.arange(len(offsets))
-        keep = stream != 0
-        before = np.concatenate([[0], np.cumsum(keep)])
-        stream, offsets = stream[keep], before[offsets]
-        gaps = np.flatnonzero(stream == self.blank)
-        starts = np.concatenate([[0], gaps[:-1] + 1])
-        lengths = gaps - starts
-        if lengths.max(initial=0) > PART:
-            parts = np.maximum(1, -(-lengths // PART))
-            nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            starts, lengths = np.repeat(starts, parts) + nth * PART, np.repeat(lengths, parts) - nth * PART
-            lengths = np.minimum(lengths, PART)
-        starts, lengths = starts[lengths > 0], lengths[lengths > 0]
-        key = np.zeros(len(starts), U)
-        alive = np.arange(len(starts))
-        for p in range(int(lengths.max(initial=0))):
-            alive = alive[lengths[alive] > p]
-            key[alive] = mix(key[alive] * U(31) + stream[starts[alive] + p])
-        _, first, back = np.unique(key, return_index=True, return_inverse=True)
-        cost = self.pieces(stream, starts[first], lengths[first])[back] * self.bits
-        ptr = np.searchsorted(starts, offsets)
-        share = cost / cost.sum(axis=1)[:, None] * lengths[:, None]
-        return per_text(np.concatenate([lengths[:, None], cost, share], axis=1), ptr)
+        w = letter_words(texts, self.number, self.blank, PART)
+        pieces = self.pieces(w.stream, w.starts[w.first], w.lengths[w.first])
+        cost = (pieces * self.bits)[w.back]
+        lengths = w.lengths[:, None]
+        share = cost / cost.sum(axis=1)[:, None] * lengths
+        return per_text(np.concatenate([lengths, cost, share], axis=1), w.ptr)
 
 
 def identify(docs: DataFrame, models: dict[str, Automaton], text: str = "text",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import language_id, packing, quality_rules
+from binlens.llm import language_id, packing, quality_rules, toxicity
 from binlens.llm.common import split_remainder, table
 
 
@@ -30,9 +30,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rest = split_remainder("doc_id", 3)
+    labelled = docs.where(rest != 1).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    return toxicity.score(docs.withColumn("held_out", rest == 1), toxicity.fit(labelled), passthrough=("doc_id", "held_out"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}

@@ -155,3 +155,51 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         parts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
         return (np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32),
                 np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
+
+
+def letter_numbers(numbered: dict[int, int], blank: int) -> np.ndarray:
+    """Number of every code point: that of its lower case, 1 for other letters, ``blank`` for white space, else 0."""
+    out = np.zeros(0x110000, np.uint16)
+    for c in range(0x110000):
+        if (ch := chr(c)).isalpha():
+            out[c] = numbered.get(ord(ch.lower()[0]), 1)
+    out[[9, 10, 11, 12, 13, 32]] = blank
+    return out
+
+
+@dataclass
+class LetterWords:
+    """Words as runs of letters: ``stream[starts[j]:starts[j] + lengths[j]]`` holds the numbers of word j."""
+
+    stream: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    ptr: np.ndarray    # text i has words ptr[i] to ptr[i + 1]
+    first: np.ndarray  # first[k] is a word of the k-th spelling
+    back: np.ndarray   # word j has spelling back[j]
+
+
+def letter_words(texts: pa.Array, number: np.ndarray, blank: int, part: int) -> LetterWords:
+    """White space parts words, other characters that are no letters are left out, longer words fall into parts."""
+    points, offsets = code_points(texts)
+    stream = np.insert(number[points], offsets[1:], blank)  # each text ends with a blank of its own
+    offsets = offsets + np.arange(len(offsets))
+    keep = stream != 0
+    offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
+    stream = stream[keep]
+    gaps = np.flatnonzero(stream == blank)
+    starts = np.concatenate([[0], gaps[:-1] + 1])[:len(gaps)]
+    lengths = gaps - starts
+    if lengths.max(initial=0) > part:
+        parts = np.maximum(1, -(-lengths // part))
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        starts, lengths = np.repeat(starts, parts) + nth * part, np.repeat(lengths, parts) - nth * part
+        lengths = np.minimum(lengths, part)
+    starts, lengths = starts[lengths > 0], lengths[lengths > 0]
+    key = np.zeros(len(starts), U)
+    alive = np.arange(len(starts))
+    for p in range(int(lengths.max(initial=0))):
+        alive = alive[lengths[alive] > p]
+        key[alive] = mix(key[alive] * U(31) + stream[starts[alive] + p])
+    _, first, back = np.unique(key, return_index=True, return_inverse=True)
+    return LetterWords(stream, starts, lengths, np.searchsorted(starts, offsets), first, back)
