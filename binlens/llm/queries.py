@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import language_id, packing, quality_rules, toxicity
+from binlens.llm import html_extraction, language_id, packing, quality_rules, toxicity
 from binlens.llm.common import split_remainder, table
 
 
@@ -37,10 +37,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", rest == 1), toxicity.fit(labelled), passthrough=("doc_id", "held_out"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = html_extraction.train(html_extraction.labelled_pages())
+    return html_extraction.extract(table(spark, sf_dir, "pages"), field)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_html_extraction": op5_html_extraction,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
