@@ -158,7 +158,7 @@ def path_features(path: tuple) -> list[str]:
 
 
 # ---- labelled pages -------------------------------------------------------------------------------------------
-PAGES = 240
+PAGES = 400
 _SYLLABLES = "ka lo mi ren tas vel dor an ish pel gra su on ti bar que fo nem ul ze".split()
 
 
@@ -235,6 +235,7 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[str]:
             (f"<article{cls(GROUPS['main'])}>", "</article>"), (f"<div{cls('content post entry story article prose')}>", "</div>"),
             (f"<div id=main><div{cls('body text articlebody content')}>", "</div></div>"), ("<div>", "</div>"), ("", ""),
             (f"<section{cls('content entry article')}>", "</section>")])
+        para = r.choice(["p", "p", "p", "p", "div"])
         title = put(r.choice(["h1", "h1", "h2"]), words(2, 12), 1)
         if "article" in opening and r.random() < 0.2:
             title = f"<header>{title}</header>"
@@ -244,9 +245,9 @@ def labelled_pages(pages: int = PAGES, seed: int = 7) -> list[str]:
         for _ in range(r.randint(1, 9)):
             kind = r.random()
             if kind < 0.74:
-                body.append(put("p", prose(), 1))
+                body.append(put(para, prose(), 1))
             elif kind < 0.80:
-                body.append(put("p", words(1, 6) + r.choice(["", "."]), 1))
+                body.append(put(para, words(1, 6) + r.choice(["", "."]), 1))
             elif kind < 0.86:
                 body.append(put(r.choice(["h2", "h3"]), words(1, 6), 1))
             elif kind < 0.91:
