@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import html_extraction, language_id, packing, quality_rules, toxicity
+from binlens.llm import html_extraction, language_id, packing, quality_rules, toxicity, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -42,11 +42,16 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"), field)
 
 
+def op6_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zip_archive.round_trip(table(spark, sf_dir, "pages"), spark)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_html_extraction": op5_html_extraction,
+    "op6_zip_archive": op6_zip_archive,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
