@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import html_extraction, language_id, packing, quality_rules, toxicity, zip_archive
+from binlens.llm import html_extraction, language_id, packing, quality_rules, sharding, toxicity, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -46,6 +46,10 @@ def op6_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_archive.round_trip(table(spark, sf_dir, "pages"), spark)
 
 
+def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shuffle_into_shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -53,5 +57,6 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_html_extraction": op5_html_extraction,
     "op6_zip_archive": op6_zip_archive,
+    "op7_feistel_sharding": op7_feistel_sharding,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
