@@ -33,13 +33,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def by_name(schema: str, batch_columns: dict):
-    """A record batch with the columns in the order of ``schema`` (``a long, b string``)."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c := batch_columns[f.name], pa.Array) and c.type == f.type else pa.array(c, type=f.type)
-         for f in arrow], schema=arrow)
+_HASH_RANGE = 1 << 30
+
+
+def hashed_sample(df: DataFrame, key: str, target: int, rows: int | None = None) -> DataFrame:
+    """About ``target`` rows, at most four times as many, chosen by a hash of ``key``; nothing is shuffled."""
+    rows = df.count() if rows is None else rows
+    share = min(1.0, target / max(1, rows))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(_HASH_RANGE)) < int(share * _HASH_RANGE)).limit(4 * target)
+
+
+def hashed_sample_by_class(df: DataFrame, label: str, key: str, target: int, classes: int = 500) -> DataFrame:
+    """About ``target`` rows of each of the ``classes`` most frequent classes, chosen by a hash of ``key``."""
+    counts = df.groupBy(label).count().orderBy(F.desc("count"), label).limit(classes).collect()
+    keep = F.lit(False)
+    for row in counts:
+        bar = int(min(1.0, target / row["count"]) * _HASH_RANGE)
+        keep = F.when(F.col(label) == F.lit(row[label]), F.pmod(F.xxhash64(key), F.lit(_HASH_RANGE)) < bar).otherwise(keep)
+    return df.where(keep).limit(4 * target * max(1, len(counts)))

@@ -21,13 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from binlens.llm.common import hashed_sample_by_class
 from binlens.llm.words import letter_numbers, letter_words, per_text, sub_batches
 
 UNKNOWN = "und"
-# bounds of the labelled sample: texts and letters per language; longer texts are taken last
+# bounds of the labelled sample: texts and letters per language; texts of over LONG_TEXT characters are not taken
 SAMPLE_TEXTS = 64
 SAMPLE_LETTERS = 40_000
 LONG_TEXT = 20_000
@@ -88,32 +89,31 @@ class Automaton:
         return out
 
 
-def sample_rows(labelled: DataFrame, text: str, lang: str, texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """At most ``texts`` labelled texts per language, chosen by a hash of the text."""
-    t = F.col(text)
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), t.cast("string").alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.length("text") > LONG_TEXT, F.xxhash64("text"), "text")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= texts).drop("rank")
+def sample_rows(labelled: DataFrame, text: str, lang: str, key: str, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """About ``texts`` labelled texts per language, chosen by a hash of the id; nothing but counts is shuffled."""
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return hashed_sample_by_class(rows.where(F.col("lang").isNotNull()), "lang", "key", texts).where(
+        (F.length("text") <= LONG_TEXT) & F.col("text").rlike(r"\p{L}"))
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Automaton]:
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, Automaton]:
     """One automaton per language from the bounded sample (``SAMPLE_TEXTS``, ``SAMPLE_LETTERS``)."""
     by: dict[str, list[str]] = {}
-    for row in sample_rows(labelled, text, lang).collect():  # at most SAMPLE_TEXTS per language
+    for row in sample_rows(labelled, text, lang, key).collect():  # at most four times SAMPLE_TEXTS per language
         by.setdefault(row["lang"], []).append(row["text"])
     models = {}
     for name in sorted(by):
         seen: dict[str, None] = {}
         total = 0
-        for t in sorted(set(by[name]), key=lambda t: (len(t) > LONG_TEXT, t)):
+        for t in sorted(set(by[name])):
             for w in t.split():
                 if (w := letters(w)) and w not in seen:
                     seen[w] = None
                     total += len(w) + 1
             if total >= SAMPLE_LETTERS:
                 break
-        models[name] = Automaton(" " + " ".join(seen) + " ")
+        if seen:
+            models[name] = Automaton(" " + " ".join(seen) + " ")
     return models
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import html_extraction, language_id, packing, quality_rules, sharding, toxicity, zip_archive
+from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, quality_rules, sharding, toxicity, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -23,7 +23,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokenizer_path() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    # the vocabulary of byte_bpe_50k.json as ranks: the same ids, tested in tests/llm
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,8 +34,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     rest = split_remainder("doc_id", 3)
-    labelled = docs.where(rest != 1).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    return toxicity.score(docs.withColumn("held_out", rest == 1), toxicity.fit(labelled), passthrough=("doc_id", "held_out"))
+    return toxicity.score(docs.withColumn("held_out", rest == 1), toxicity.fit(docs.where(rest != 1), labels),
+                          passthrough=("doc_id", "held_out"))
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,14 @@ def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -58,5 +67,7 @@ QUERIES = {
     "op5_html_extraction": op5_html_extraction,
     "op6_zip_archive": op6_zip_archive,
     "op7_feistel_sharding": op7_feistel_sharding,
+    "op8_decontamination": op8_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}

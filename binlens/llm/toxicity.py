@@ -23,9 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from binlens.llm.common import hashed_sample_by_class, shared_table
 from binlens.llm.words import LetterWords, letter_numbers, letter_words, per_text, sub_batches
 
 CONTEXT = 5
@@ -33,20 +34,21 @@ CLASS_CONTEXT = 2
 DISCOUNT = 0.75
 TELLING = 2.5
 THRESHOLD = 0.7
-# bound of the labelled sample: texts per class, those of over LONG_TEXT characters last
-SAMPLE_TEXTS = 1500
-LONG_TEXT = 6_000
+# bound of the labelled sample: about so many texts per class, none of over LONG_TEXT characters
+SAMPLE_TEXTS = 2_000
+LONG_TEXT = 8_000
 PART = 48
 _LETTERS = 61  # frequent letters told apart; numbers: 1 other letters, 2 start of a word, 3 end of a word
 _OTHER, _START, _END, _WIDTH = 1, 2, 3, 65
 
 
-def sample_rows(labelled: DataFrame, text: str, label: str, texts: int = SAMPLE_TEXTS) -> DataFrame:
-    """At most ``texts`` labelled texts per class, chosen by a hash of the text."""
-    rows = labelled.select(F.col(label).cast("int").alias("label"), F.col(text).cast("string").alias("text")).where(
-        F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    order = Window.partitionBy("label").orderBy(F.length("text") > LONG_TEXT, F.xxhash64("text"), "text")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= texts).drop("rank")
+def sample_rows(docs: DataFrame, labels: DataFrame, text: str, label: str, key: str, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """label, text of about ``texts`` documents per class, chosen by a hash of the id; only labels are shuffled."""
+    marked = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).distinct()
+    chosen = shared_table(hashed_sample_by_class(marked, "label", "key", texts), "labelled-sample")
+    # a few thousand ids, so within what Spark broadcasts
+    return docs.where(F.length(text) <= LONG_TEXT).join(chosen, docs[key] == chosen["key"]).select(
+        "label", F.col(text).cast("string").alias("text")).limit(8 * texts)
 
 
 @dataclass
@@ -207,9 +209,9 @@ def train(texts_by_label: dict[int, list[str]]) -> Model | None:
     return whole
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Model | None:
     by: dict[int, list[str]] = {}
-    for row in sample_rows(labelled, text, label).collect():  # at most SAMPLE_TEXTS per class
+    for row in sample_rows(docs, labels, text, label, key).collect():  # at most SAMPLE_TEXTS per class
         by.setdefault(row["label"], []).append(row["text"])
     return train(by)
 

@@ -17,6 +17,9 @@ import pyarrow.compute as pc
 U = np.uint64
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# white space, ASCII punctuation and symbols
+MARKS = WHITE.copy()
+MARKS[[c for c in range(128) if not chr(c).isalnum()]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -96,9 +99,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix(spans + (ends - starts).astype(U))
 
 
-def words(texts: pa.Array, lower: bool = False) -> Words:
+def words(texts: pa.Array, lower: bool = False, breaks: np.ndarray = WHITE) -> Words:
+    """Words of every text; ``breaks`` marks the bytes that part words."""
     data, offsets = raw_bytes(texts)
-    inside = ~WHITE[data]
+    inside = ~breaks[data]
     before = np.empty_like(inside)
     before[1:] = inside[:-1]
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
