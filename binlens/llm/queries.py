@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, quality_rules, sharding, toxicity, zip_archive
+from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, toxicity, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -59,6 +59,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"), split_remainder("doc_id", 10) == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -69,5 +73,6 @@ QUERIES = {
     "op7_feistel_sharding": op7_feistel_sharding,
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_pitman_yor": op10_pitman_yor,
 }
 ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from binlens.llm.common import hashed_sample_by_class, shared_table
 from binlens.llm.words import LetterWords, letter_numbers, letter_words, per_text, sub_batches
 
-CONTEXT = 5
+CONTEXT = 4
 CLASS_CONTEXT = 2
 DISCOUNT = 0.75
 TELLING = 2.5
@@ -136,7 +136,8 @@ def _kneser_ney(words_of_class: list[tuple[LetterWords, np.ndarray]]) -> tuple[n
                 count[:, at_start] = raw[:, at_start]
         if size < CLASS_CONTEXT:
             count = np.repeat(count.sum(axis=0, keepdims=True), 2, axis=0)
-        total, kinds = count.sum(axis=2, keepdims=True), (count > 0).sum(axis=2, keepdims=True)
+        total = count.sum(axis=2, keepdims=True)
+        kinds = (count > 0).sum(axis=2, keepdims=True).astype(np.float32)
         below = np.full((2, len(levels[size]), _WIDTH), 1 / _WIDTH, np.float32) if size == 0 else probability[-1][:, suffix[size]]
         probability.append(np.where(total > 0, (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * below) / np.maximum(total, 1), below))
     first = np.concatenate([[0], np.cumsum([len(x) for x in levels])])
