@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from binlens.session import checkpoint_dir
 
@@ -19,6 +20,11 @@ def split_remainder(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % mod
 
 
+def with_fields(rows: DataFrame, ddl: str) -> StructType:
+    """The fields of ``rows`` but the last (the text), then those of ``ddl``."""
+    return StructType([*rows.schema.fields[:-1], *StructType.fromDDL(ddl).fields])
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 

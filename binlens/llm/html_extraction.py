@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from binlens.llm.common import with_fields
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|title|iframe|svg)\b[^>]*+(?:>|\Z).*?(?:</(?P=raw)\s*+[^>]*+(?:>|\Z)|\Z)"
@@ -372,5 +374,4 @@ def extract(pages: DataFrame, field: Field, page: str = "html", passthrough: tup
                     [*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                     names=[*part.schema.names[:-1], "text", "n_chars"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "text string", "n_chars long"])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, with_fields(rows, "text string, n_chars long"))

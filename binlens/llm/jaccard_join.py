@@ -34,7 +34,7 @@ WINDOW = 5
 THRESHOLD = (4, 5)  # 0.8 as a ratio
 TREES = 16
 FULL_DEPTH = 12
-TARGET_RECALL = 0.995
+TARGET_RECALL = 0.9995
 BLOCK = 1024
 SEED = 5
 

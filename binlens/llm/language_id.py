@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binlens.llm.common import hashed_sample_by_class
+from binlens.llm.common import hashed_sample_by_class, with_fields
 from binlens.llm.words import letter_numbers, letter_words, per_text, sub_batches
 
 UNKNOWN = "und"
@@ -190,6 +190,4 @@ def identify(docs: DataFrame, models: dict[str, Automaton], text: str = "text",
                     names=[*part.schema.names[:-1], "lang_pred", "score", "bits_per_letter"])
 
     kept = docs.select(*passthrough, F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]),
-                        "lang_pred string", "score double", "bits_per_letter double"])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, with_fields(kept, "lang_pred string, score double, bits_per_letter double"))

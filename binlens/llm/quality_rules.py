@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from binlens.llm.common import with_fields
 from binlens.llm.words import U, mix, per_text, raw_bytes, span_hashes, sub_batches, windows, words
 
 MIN_WORDS = 20
@@ -147,10 +148,9 @@ def clean(docs: DataFrame, text: str = "text", passthrough: tuple[str, ...] = ("
                     names.append("cleaned_text")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
-                        *(f"{c} long" for c in COUNTS), "base_failed boolean", "kept boolean", "lost_words long",
-                        *(["cleaned_text string"] if with_text else [])])
-    return rows.mapInArrow(run, schema)
+    counts = ", ".join(f"{c} long" for c in COUNTS)
+    return rows.mapInArrow(run, with_fields(rows, f"{counts}, base_failed boolean, kept boolean, lost_words long"
+                                            + ", cleaned_text string" * with_text))
 
 
 def _sql_list(values: list[str]) -> str:

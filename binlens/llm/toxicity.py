@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binlens.llm.common import hashed_sample_by_class, shared_table
+from binlens.llm.common import hashed_sample_by_class, shared_table, with_fields
 from binlens.llm.words import LetterWords, letter_numbers, letter_words, per_text, sub_batches
 
 CONTEXT = 4
@@ -231,6 +231,4 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", passthrough:
                     [*part.columns[:-1], pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))],
                     names=[*part.schema.names[:-1], "score", "predicted"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
-                        "score double", "predicted int"])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, with_fields(rows, "score double, predicted int"))
