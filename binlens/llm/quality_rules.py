@@ -62,8 +62,8 @@ def judge(texts: pa.Array) -> dict[str, np.ndarray | list]:
     hashes, first = windows(w, WINDOW, short_whole=False)
     key = mix(hashes + (doc[first].astype(U) + U(1)) * U(0x9E3779B97F4A7C15))
     order = np.argsort(key, kind="stable")
-    same = np.concatenate([[False], key[order][1:] == key[order][:-1], [False]])
-    twice = first[order[same[:-1] | same[1:]]]
+    again = key[order][1:] == key[order][:-1]
+    twice = first[order[np.append(again, False) | np.append(False, again)]] if len(order) else first
     cover = np.zeros(len(doc) + 1, np.int64)
     np.add.at(cover, twice, 1)
     np.add.at(cover, np.minimum(twice + WINDOW, len(doc)), -1)

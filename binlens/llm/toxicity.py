@@ -8,8 +8,8 @@ nearly the same likelihood from both.  Both models are tabulated over one trie o
 distinct words of a batch walk it side by side.
 
 A text is compared by its toxic less its ordinary log-likelihood per word, over the whole text and
-over its most telling words (the greatest one, and the share above ``TELLING``).  A logistic fit of
-these figures on the same sample gives the score.
+over its most telling words (the greatest one, and those above each bar of ``TELLING``, against its
+length).  A logistic fit of these figures on the same sample gives the score.
 
 Null and empty texts, and texts with no letter, get the score of no evidence.  Without sampled rows
 of both classes every score is 0.  A document labelled both ways counts for both.  Rows with null
@@ -32,7 +32,7 @@ from binlens.llm.words import LetterWords, letter_numbers, letter_words, per_tex
 CONTEXT = 4
 CLASS_CONTEXT = 2
 DISCOUNT = 0.75
-TELLING = 2.5
+TELLING = (2.0, 3.0, 4.0, 6.0)
 THRESHOLD = 0.7
 # bound of the labelled sample: about so many texts per class, none of over LONG_TEXT characters
 SAMPLE_TEXTS = 2_000
@@ -76,7 +76,7 @@ class Model:
         return out
 
     def figures(self, texts: pa.Array) -> np.ndarray:
-        """Of every text: evidence per word, greatest evidence of a word, share of telling words."""
+        """Of every text: evidence per word, greatest evidence of a word, and how many words tell how much."""
         w = letter_words(texts, self.number, self.blank, PART)
         e = self.word_evidence(w)[w.back]
         n = np.diff(w.ptr)
@@ -85,8 +85,9 @@ class Model:
         if has.any():
             top[has] = np.maximum.reduceat(e, w.ptr[:-1][has])
         per = np.maximum(n, 1)
-        return np.stack([per_text(e, w.ptr) / per, np.maximum(top, 0),
-                         np.sqrt(per_text((e > TELLING).astype(np.int64), w.ptr) / per)], axis=1)
+        above = [per_text((e > x).astype(np.int64), w.ptr) for x in TELLING]
+        return np.stack([per_text(e, w.ptr) / per, np.log1p(np.maximum(top, 0)), *(a / np.sqrt(per) for a in above),
+                         np.sqrt(above[2] / per)], axis=1)
 
     def score(self, texts: pa.Array) -> np.ndarray:
         z = np.concatenate([self.figures(texts), np.ones((len(texts), 1))], axis=1) @ self.weights
