@@ -8,7 +8,6 @@ few dozen rows, so it is broadcast by size) or a literal expression.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 # ---- fixed values: known software catalog (order matters: first match wins) ----
 KNOWN_SOFTWARE = [
@@ -111,14 +110,37 @@ BUILD_PATH_PATTERNS = [
     r"(\w+/src/[\w/.+-]+)",
 ]
 
-# first-N caps on the ordered string / symbol lists
+# The same matches in linear time for Java's engine: a run of word or path characters is
+# entered at its start only (or where the match before ended) and never given back.
+CALL_SITE_LINEAR = r"(?<!\w)(\w++)\s*+\("
+PATH_LINE_REF_LINEAR = r"(?:\G|(?<![\w./+-]))([\w./+-]++(?<=[\w./+-]\.\w{1,4}):\d+)"
+VERSION_PATTERNS_LINEAR = [
+    VERSION_PATTERNS[0],
+    (r"(?<!\w)(\w++)-v?(\d+\.\d+\.\d+)", "named"),
+    VERSION_PATTERNS[2],
+]
+BUILD_PATH_PATTERNS_LINEAR = [
+    BUILD_PATH_PATTERNS[0],
+    BUILD_PATH_PATTERNS[1],
+    r"(?<!\w)(\w++/src/[\w/.+-]+)",
+]
+
+# ---- fixed values: first-N sizes of the ordered string / symbol lists (P13 only) ----
 FIRST_N_STRINGS = 100_000
-FIRST_N_VERSION_STRINGS = 50_000
 FIRST_N_SYMBOLS = 5_000
+# ---- fixed values: symbol families ----
 NAPI_PREFIX, NAPI_MIN = "_napi_", 50
 UV_PREFIX, UV_MIN = "_uv_", 20
 
-# git tag spellings tried for a version, in order ({name}, {version})
+# ---- fixed values: evidence texts ----
+REPO_EVIDENCE = "GitHub URL found: %s (%d refs)"
+SIGNATURE_EVIDENCE = "Signature match: %s (%d markers: %s)"
+VERSION_EVIDENCE = "Version string: "
+BUILD_PATH_EVIDENCE = "Build paths found: %d paths, %d extensions"
+NAPI_EVIDENCE = "N-API symbols: %d (Node.js compatible runtime)"
+UV_EVIDENCE = "libuv symbols: %d"
+
+# ---- fixed values: git tag spellings tried for a version, in order ({name}, {version})
 TAG_FORMATS = ["v{version}", "{name}-v{version}", "{name}-{version}", "{version}", "release-{version}"]
 
 # ---- fixed values: function categories (first rule that holds) ----
@@ -147,41 +169,31 @@ HINT_KEYWORDS = ["config", "init", "handler", "route", "service", "model", "auth
 HINT_LIMIT = 5
 BUILTIN_SEGMENT_MARKERS = ["@getInternalField", "@createInternalModuleById"]
 SEGMENT_MIN_LEN = 200  # runs strictly longer than this are kept
-APP_METADATA_SEGMENTS = 5
 
 # ---- fixed values: produced-source checks ----
 PRODUCED_EXTENSIONS = [".cpp", ".c", ".zig", ".rs", ".h", ".js", ".ts"]
 C_DEFINITION_LINE = r"^(static\s+)?(const\s+)?(unsigned\s+)?(struct\s+)?[a-zA-Z_]\w*[\w *]+\w+\s*\([^;]*\)\s*\{?$"
+# the same line in two parts that each take linear time: up to the first '(', and from there on
+C_DEFINITION_HEAD = r"^(static\s+)?(const\s+)?(unsigned\s+)?(struct\s+)?[a-zA-Z_][\w *]+\w\s*$"
+C_DEFINITION_REST = r"^\([^;]*\)\s*\{?$"
 ZIG_DEFINITION_LINE = r"^\s*(pub\s+)?(export\s+)?fn\s+"
 JS_DEFINITION_LINE = r"^\s*(export\s+)?(async\s+)?function\s+|^\s*(const|let|var)\s+\w+\s*=\s*(async\s+)?\("
 GATE_MIN_LOC = 500
 GATE_MIN_DEFINITIONS = 10
+# ---- fixed values: gate messages ----
+GATE_A_MESSAGE = "No source files found in output/src/."
+GATE_B_MESSAGE = "QUALITY: Only %d lines of code across %d files. Minimum 500 LOC required."
+GATE_C_MESSAGE = "QUALITY: Only %d function definitions found."
+# ---- fixed values: run logs, composition, clusters ----
 RATE_LIMIT_PATTERN = r"(?i)rate.limit|429|too many requests|overloaded"
 COMPLETION_MARKER = "<promise>CYCLE_DONE</promise>"
 LOG_TAIL_LINES = 30
 FRAMEWORK_MODE_SHARE = 0.1
 TOP_CLUSTERS = 30
 CLUSTER_PREFIX_LEN = 6
-PROPAGATION_ROUNDS = 3
 
 
 def software_catalog(spark: SparkSession) -> DataFrame:
     rows = [(i, n, url, hint, m) for i, (n, url, _, m, hint) in enumerate(KNOWN_SOFTWARE)]
     schema = "sw_rank INT, sw_name STRING, sw_repo_url STRING, sw_source_dir_hint STRING, min_markers INT"
     return spark.createDataFrame(rows, schema)
-
-
-def marker_catalog(spark: SparkSession) -> DataFrame:
-    rows = [(i, n, j, mk) for i, (n, _, markers, _, _) in enumerate(KNOWN_SOFTWARE)
-            for j, mk in enumerate(markers)]
-    return spark.createDataFrame(rows, "sw_rank INT, sw_name STRING, marker_rank INT, marker STRING")
-
-
-def language_indicators(spark: SparkSession) -> DataFrame:
-    rows = [(lang, ind) for lang, inds in LANGUAGE_INDICATORS for ind in inds]
-    rows += [("c", ind) for ind in C_INDICATORS]
-    return spark.createDataFrame(rows, "language STRING, indicator STRING")
-
-
-def ignore_repos(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(r,) for r in IGNORE_REPOS], T.StructType([T.StructField("repo", T.StringType())]))

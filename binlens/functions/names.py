@@ -19,7 +19,7 @@ def _col(c) -> Column:
 def is_auto_name(name) -> Column:
     """Names the disassembler invented (FUN_..., thunk_...)."""
     n = _col(name)
-    return n.startswith("FUN_") | n.startswith("thunk_")
+    return n.startswith(C.AUTO_NAME_PREFIXES[0]) | n.startswith(C.AUTO_NAME_PREFIXES[1])
 
 
 def clean_name(name) -> Column:

@@ -31,12 +31,12 @@ PRINTABLE_RUN = r"[ \n\r\t[\P{C}&&\P{Z}]]{%d,}" % (C.SEGMENT_MIN_LEN + 1)
 # ---- X12 --------------------------------------------------------------------------
 
 def bundle_format(strings: DataFrame, segments: DataFrame) -> DataFrame:
-    """Bun when a __BUN segment exists, else the first format whose pattern occurs in
+    """Bun when a segment's name contains __BUN, else the first format whose pattern occurs in
     the strings, else native (no bundled language)."""
     B = "binary_id"
     flags = strings.groupBy(B).agg(*[
         F.max(F.col("s").rlike(pat).cast("int")).alias(fmt) for fmt, _, pat in C.BUNDLE_FORMATS if pat])
-    bun = segments.groupBy(B).agg(F.max((F.col("segment_name") == C.BUN_SEGMENT).cast("int")).alias("bun"))
+    bun = segments.groupBy(B).agg(F.max((F.col("segment_name").contains(C.BUN_SEGMENT)).cast("int")).alias("bun"))
     ids = strings.select(B).unionByName(segments.select(B)).distinct()
     df = ids.join(bun, [B], "left").join(flags, [B], "left")
     fmt_expr = None
@@ -69,13 +69,15 @@ COPYRIGHT_RE = r"(?d)\(c\)" + WS + r"*(.+?)\."
 APP_NAME_RE = r"//" + WS + r"*(\w[\w \t\n\r\f\x0B]+)" + WS + r"*is a"
 
 
-def bundle_metadata(segments: DataFrame) -> DataFrame:
-    """Version, copyright holder and app name from the first five app segments
-    joined by newlines; character and segment totals per class."""
+def bundle_metadata(segments: DataFrame, first_segments: int | None = None) -> DataFrame:
+    """Version, copyright holder and app name from the payload's app segments joined by
+    newlines (together no longer than the payload, which is one row); character and segment
+    totals per class.  ``first_segments`` reads only so many (the analysed pipeline uses 5)."""
     app = segments.where(F.col("seg_class") == "app")
-    w = Window.partitionBy(D).orderBy("seg_no")
-    head = (app.withColumn("r", F.row_number().over(w)).where(F.col("r") <= C.APP_METADATA_SEGMENTS)
-            .groupBy(D).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_no", "segment"))),
+    if first_segments is not None:
+        w = Window.partitionBy(D).orderBy("seg_no")
+        app = app.withColumn("r", F.row_number().over(w)).where(F.col("r") <= first_segments)
+    head = (app.groupBy(D).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_no", "segment"))),
                                                       lambda x: x["segment"]), "\n").alias("head")))
 
     def grab(pat, strip=False):

@@ -31,11 +31,11 @@ def module_chunks(functions: DataFrame, prefix_len: int = C.CLUSTER_PREFIX_LEN)
 def by_address(functions: DataFrame, order_col: str | None = None) -> DataFrame:
     """Function table keyed by address; with duplicate addresses the last row wins (Q18).
 
-    Without an ordering column the row with the greatest name is kept, a declared
-    deterministic choice.
+    The order is that of ``order_col``, or of ``row_no`` if the reader carried it; a table
+    without either keeps the row with the greatest name, a declared deterministic choice.
     """
     cols = [c for c in functions.columns if c not in (K, "entry_address")]
-    order = F.col(order_col) if order_col else F.col("name")
+    order = F.col(order_col or ("row_no" if "row_no" in functions.columns else "name"))
     return (functions.groupBy(K, "entry_address")
             .agg(F.max_by(F.struct(*cols), order).alias("r"))
             .select(K, "entry_address", "r.*"))

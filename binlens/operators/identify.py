@@ -1,8 +1,8 @@
 """Which software a binary is.
 
-Each detector is one aggregate per ``binary_id`` over the binary's ordered strings or
-symbols; catalogs (markers, indicators) are fixed small tables joined by broadcast.  The
-detectors are independent and joined once per binary in ``identity``.
+Each detector is one aggregate per ``binary_id`` over all of the binary's strings or symbols;
+nothing is ranked or cut.  Catalogs (markers, indicators) are literal arrays tested inside the
+scan.  The detectors are independent and joined once per binary in ``identity``.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlens.functions import catalog as C
+from binlens.functions import names as N
 
 B = "binary_id"
 
 
 def first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
-    """The first ``n`` rows per binary by ``order`` (re-ranked densely).
+    """The first ``n`` rows per binary by ``order`` (re-ranked densely).  The cut is its
+    feature; no detector uses it.
 
     ``row_number() <= n`` is planned with a group limit before the shuffle, so each task
     forwards at most ``n`` rows per binary.
@@ -25,13 +27,6 @@ def first_n(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def capped(strings: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` strings per binary; reuses a ``rank`` column computed upstream."""
-    if "rank" in strings.columns:
-        return strings.where(F.col("rank") <= n)
-    return first_n(strings, n)
-
-
 def _py_strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
@@ -45,15 +40,13 @@ def _py_list_repr(arr: Column) -> Column:
 # ---- X6 / K1: repository URLs ------------------------------------------------------
 
 def repo_mentions(strings: DataFrame) -> DataFrame:
-    """Every owner/repo match in the first 100,000 strings, in visiting order
-    (ord, pattern, match), repo with trailing '.', 'g', 'i', 't' stripped (Q1), minus the
-    ignore list."""
-    s = capped(strings, C.FIRST_N_STRINGS)
+    """Every owner/repo match, in visiting order (ord, pattern, match), repo with
+    trailing '.', 'g', 'i', 't' stripped (Q1), minus the ignore list."""
     parts = []
     for i, pat in enumerate(C.GITHUB_URL_PATTERNS):
         m = F.arrays_zip(F.regexp_extract_all("s", F.lit(pat), 1).alias("owner"),
                          F.regexp_extract_all("s", F.lit(pat), 2).alias("repo"))
-        parts.append(s.where(F.col("s").contains("github"))
+        parts.append(strings.where(F.col("s").contains("github"))
                      .select(B, "ord", F.lit(i).alias("pat_no"), F.posexplode(m).alias("m_pos", "m")))
     df = parts[0].unionByName(parts[1])
     df = df.select(B, "ord", "pat_no", "m_pos",
@@ -75,30 +68,31 @@ def top_repo(counts: DataFrame) -> DataFrame:
     return best.select(B, F.col("t.repo").alias("repo"), F.col("t.n_refs").alias("n_refs"),
                        F.concat(F.lit("https://github.com/"), F.col("t.repo"), F.lit(".git")).alias("repo_url"),
                        F.lower(F.element_at(F.split(F.col("t.repo"), "/"), 2)).alias("name"),
-                       F.format_string("GitHub URL found: %s (%d refs)", F.col("t.repo"), F.col("t.n_refs"))
+                       F.format_string(C.REPO_EVIDENCE, F.col("t.repo"), F.col("t.n_refs"))
                        .alias("evidence"))
 
 
 # ---- X8: signature markers ----------------------------------------------------------
 
-def signature_markers(strings: DataFrame, markers: DataFrame, software: DataFrame) -> DataFrame:
+def signature_markers(strings: DataFrame, software: DataFrame, catalog=C.KNOWN_SOFTWARE) -> DataFrame:
     """Per binary and catalog software, the distinct markers present; matched when
-    at least ``min_markers``.  The catalog is a fixed table of a few dozen markers,
-    broadcast and tested with ``contains``."""
-    s = capped(strings, C.FIRST_N_STRINGS).select(B, "s")
-    hits = (s.join(F.broadcast(markers), F.col("s").contains(F.col("marker")))
-            .select(B, "sw_rank", "sw_name", "marker_rank", "marker").distinct())
+    at least ``min_markers``.  Every string is tested against the catalog's markers in the
+    scan; only hits leave it."""
+    markers = F.array(*[F.struct(F.lit(i).alias("sw_rank"), F.lit(name).alias("sw_name"), F.lit(j).alias("marker_rank"),
+                                 F.lit(m).alias("marker"))
+                        for i, (name, _, found, _, _) in enumerate(catalog) for j, m in enumerate(found)])
+    hits = (strings.select(B, F.explode(F.filter(markers, lambda m: F.col("s").contains(m["marker"]))).alias("h"))
+            .select(B, "h.*").distinct())
     per = (hits.groupBy(B, "sw_rank", "sw_name")
            .agg(F.count(F.lit(1)).alias("n_markers"),
                 F.array_sort(F.collect_list(F.struct("marker_rank", "marker"))).alias("ms")))
-    per = per.join(F.broadcast(software.select("sw_rank", "min_markers", "sw_repo_url", "sw_source_dir_hint")),
-                   ["sw_rank"])
-    first3 = F.slice(F.transform("ms", lambda x: x["marker"]), 1, 3)
+    per = per.join(software.select("sw_rank", "min_markers", "sw_repo_url", "sw_source_dir_hint"), ["sw_rank"])
+    found = F.transform("ms", lambda x: x["marker"])
     return (per.where(F.col("n_markers") >= F.col("min_markers"))
             .select(B, "sw_rank", "sw_name", "n_markers", "sw_repo_url", "sw_source_dir_hint",
-                    F.array_join(first3, ",").alias("first_markers"),
-                    F.format_string("Signature match: %s (%d markers: %s)", F.col("sw_name"), F.col("n_markers"),
-                                    _py_list_repr(first3)).alias("evidence")))
+                    F.array_join(found, ",").alias("markers"),
+                    F.format_string(C.SIGNATURE_EVIDENCE, F.col("sw_name"), F.col("n_markers"),
+                                    _py_list_repr(found)).alias("evidence")))
 
 
 def signature_winner(sig: DataFrame) -> DataFrame:
@@ -111,12 +105,11 @@ def signature_winner(sig: DataFrame) -> DataFrame:
 # ---- X7 / K8: version strings -------------------------------------------------------
 
 def version_mentions(strings: DataFrame) -> DataFrame:
-    """Per string of the first 50,000 and per pattern, the first match."""
-    s = capped(strings, C.FIRST_N_VERSION_STRINGS)
+    """Per string and per pattern, the first match."""
     parts = []
-    for i, (pat, kind) in enumerate(C.VERSION_PATTERNS):
+    for i, (pat, kind) in enumerate(C.VERSION_PATTERNS_LINEAR):
         named = kind == "named"
-        parts.append(s.where(F.col("s").rlike(pat)).select(
+        parts.append(strings.where(F.col("s").contains("Version:" if not named else ".") & F.col("s").rlike(pat)).select(
             B, "ord", F.lit(i).alias("pat_no"), F.lit(kind).alias("kind"),
             (F.lower(F.regexp_extract("s", pat, 1)) if named else F.lit(None).cast("string")).alias("name_candidate"),
             F.regexp_extract("s", pat, 2 if named else 1).alias("version"), "s"))
@@ -131,7 +124,7 @@ def first_version(mentions: DataFrame, software: DataFrame) -> DataFrame:
     version; the earliest bare 'Version:' hit before it (or anywhere, with no stop) sets
     the version and is kept as evidence."""
     seq = F.struct("ord", "pat_no")
-    cat = F.broadcast(software.select(F.col("sw_name").alias("name_candidate")))
+    cat = software.select(F.col("sw_name").alias("name_candidate"))
     stop = (mentions.where(F.col("kind") == "named").join(cat, ["name_candidate"], "left_semi")
             .groupBy(B).agg(F.min_by(F.struct("name_candidate", "version"), seq).alias("h"), F.min(seq).alias("stop_seq"))
             .select(B, F.col("h.name_candidate").alias("stop_name"), F.col("h.version").alias("stop_version"), "stop_seq"))
@@ -139,11 +132,11 @@ def first_version(mentions: DataFrame, software: DataFrame) -> DataFrame:
             .where(F.col("stop_seq").isNull() | (seq < F.col("stop_seq")))
             .groupBy(B).agg(F.min_by(F.struct("version", "s"), seq).alias("h"))
             .select(B, F.col("h.version").alias("bare_version"),
-                    F.concat(F.lit("Version string: "), F.substring(_py_strip(F.col("h.s")), 1, 80)).alias("bare_evidence")))
+                    F.concat(F.lit(C.VERSION_EVIDENCE), _py_strip(F.col("h.s"))).alias("bare_evidence")))
     return (stop.join(bare, [B], "full")
             .select(B, "stop_name", "stop_version", "bare_version", "bare_evidence",
                     F.when(F.col("stop_name").isNotNull(),
-                           F.concat(F.lit("Version string: "), F.col("stop_name"), F.lit(" "), F.col("stop_version")))
+                           F.concat(F.lit(C.VERSION_EVIDENCE), F.col("stop_name"), F.lit(" "), F.col("stop_version")))
                     .alias("stop_evidence")))
 
 
@@ -151,24 +144,20 @@ def first_version(mentions: DataFrame, software: DataFrame) -> DataFrame:
 
 def build_paths(strings: DataFrame) -> DataFrame:
     """Distinct path-like strings per binary with the extension of their last part."""
-    s = capped(strings, C.FIRST_N_STRINGS)
-    found = F.array_distinct(F.concat(*[F.regexp_extract_all("s", F.lit(p), 1) for p in C.BUILD_PATH_PATTERNS]))
-    paths = s.select(B, F.explode(found).alias("path")).distinct()
+    found = F.array_distinct(F.concat(*[F.regexp_extract_all("s", F.lit(p), 1) for p in C.BUILD_PATH_PATTERNS_LINEAR]))
+    paths = strings.where(F.col("s").contains("/")).select(B, F.explode(found).alias("path")).distinct()
     last = F.regexp_extract(F.regexp_replace("path", r"(/\.?)+$", ""), r"([^/]*)$", 1)
     return paths.withColumn("ext", F.regexp_extract(last, r"^.+(\.[^.]+)$", 1))
 
 
 def build_path_summary(paths: DataFrame) -> DataFrame:
-    """Per binary: number of paths and the extension histogram as Python prints a dict
-    (keys in ascending order; the reference's order is set iteration order)."""
-    hist = (paths.where(F.length("ext") > 0).groupBy(B, "ext").agg(F.count(F.lit(1)).alias("n")))
-    hist_s = (hist.groupBy(B).agg(F.array_sort(F.collect_list(F.struct("ext", "n"))).alias("h"))
-              .select(B, F.concat(F.lit("{"), F.array_join(F.transform(
-                  "h", lambda x: F.format_string("'%s': %d", x["ext"], x["n"])), ", "), F.lit("}")).alias("ext_counts")))
+    """Per binary: number of paths and of extensions.  The histogram of a binary may be of any
+    size; it is returned as rows (``build_path_extensions``), not inside the evidence text."""
+    hist = build_path_extensions(paths).groupBy(B).agg(F.count(F.lit(1)).alias("n_ext"))
     n = paths.groupBy(B).agg(F.count(F.lit(1)).alias("n_paths"))
-    return (n.join(hist_s, [B], "left")
-            .select(B, "n_paths", F.format_string("Build paths found: %d paths, extensions: %s", F.col("n_paths"),
-                                                  F.coalesce("ext_counts", F.lit("{}"))).alias("evidence")))
+    return (n.join(hist, [B], "left")
+            .select(B, "n_paths", F.format_string(C.BUILD_PATH_EVIDENCE, F.col("n_paths"),
+                                                  F.coalesce("n_ext", F.lit(0))).alias("evidence")))
 
 
 def build_path_extensions(paths: DataFrame) -> DataFrame:
@@ -178,8 +167,8 @@ def build_path_extensions(paths: DataFrame) -> DataFrame:
 # ---- X10: symbol families -----------------------------------------------------------
 
 def symbol_families(symbols: DataFrame) -> DataFrame:
-    """Distinct symbols of the first 5,000 by prefix family; node count kept (Q4)."""
-    s = first_n(symbols, C.FIRST_N_SYMBOLS).select(B, "symbol").distinct()
+    """Distinct symbols by prefix family; node count kept (Q4)."""
+    s = symbols.select(B, "symbol").distinct()
     agg = s.groupBy(B).agg(
         F.sum(F.col("symbol").startswith(C.NAPI_PREFIX).cast("int")).cast("bigint").alias("napi_count"),
         F.sum(F.col("symbol").startswith(C.UV_PREFIX).cast("int")).cast("bigint").alias("uv_count"),
@@ -187,22 +176,23 @@ def symbol_families(symbols: DataFrame) -> DataFrame:
     return agg.select(
         "*",
         F.when(F.col("napi_count") > C.NAPI_MIN,
-               F.format_string("N-API symbols: %d (Node.js compatible runtime)", F.col("napi_count"))).alias("napi_evidence"),
-        F.when(F.col("uv_count") > C.UV_MIN, F.format_string("libuv symbols: %d", F.col("uv_count"))).alias("uv_evidence"))
+               F.format_string(C.NAPI_EVIDENCE, F.col("napi_count"))).alias("napi_evidence"),
+        F.when(F.col("uv_count") > C.UV_MIN, F.format_string(C.UV_EVIDENCE, F.col("uv_count"))).alias("uv_evidence"))
 
 
 # ---- X11: languages -----------------------------------------------------------------
 
-def binary_languages(strings: DataFrame, indicators: DataFrame) -> DataFrame:
-    """X11: languages with any indicator present, sorted; 'c' only when none is."""
-    s = capped(strings, C.FIRST_N_STRINGS).select(B, "s")
-    hits = (s.join(F.broadcast(indicators), F.col("s").contains(F.col("indicator")))
-            .select(B, "language").distinct())
-    per = hits.groupBy(B).agg(F.array_sort(F.collect_set(F.when(F.col("language") != "c", F.col("language"))))
-                              .alias("langs"), F.max((F.col("language") == "c").cast("int")).alias("has_c"))
-    return per.select(B, F.when(F.size("langs") > 0, F.col("langs"))
-                      .when(F.col("has_c") == 1, F.array(F.lit("c"))).otherwise(F.array().cast("array<string>"))
-                      .alias("languages"))
+def binary_languages(strings: DataFrame, indicators=C.LANGUAGE_INDICATORS, c_indicators=C.C_INDICATORS) -> DataFrame:
+    """X11: languages with any indicator present, sorted; 'c' only when none is.  One aggregate
+    with a flag per language."""
+    def any_of(words):
+        return F.max(N.contains_any("s", words))
+
+    names = sorted(lang for lang, _ in indicators)
+    flags = strings.groupBy(B).agg(*[any_of(dict(indicators)[lang]).alias(lang) for lang in names], any_of(c_indicators).alias("c"))
+    found = F.array_compact(F.array(*[F.when(F.col(lang), F.lit(lang)) for lang in names]))
+    return (flags.select(B, F.when(F.size(found) > 0, found).when(F.col("c"), F.array(F.lit("c"))).alias("languages"))
+            .where(F.col("languages").isNotNull()))
 
 
 # ---- P10, P14, J13, J15, A15 ---------------------------------------------------------
@@ -235,21 +225,20 @@ def resolve_tag(identity: DataFrame, remote_tags: DataFrame) -> DataFrame:
                                  F.col("cand_pos"))).alias("tag")))
 
 
-def identity(strings: DataFrame, symbols: DataFrame, markers: DataFrame, software: DataFrame,
-             indicators: DataFrame, remote_tags: DataFrame | None = None) -> DataFrame:
+def identity(strings: DataFrame, symbols: DataFrame, software: DataFrame,
+             remote_tags: DataFrame | None = None) -> DataFrame:
     """A15 (+ J15, P10, J13): the five detectors in order, first non-null wins except that
     a catalog version hit overwrites name and version; evidence in detector order."""
     ids = strings.select(B).unionByName(symbols.select(B)).distinct()
-    strings = first_n(strings, C.FIRST_N_STRINGS)  # ranked once, shared by every detector
     url = top_repo(repo_counts(repo_mentions(strings))).select(
         B, F.col("repo_url").alias("url_repo"), F.col("name").alias("url_name"), F.col("evidence").alias("url_ev"))
-    sig = signature_winner(signature_markers(strings, markers, software)).select(
+    sig = signature_winner(signature_markers(strings, software)).select(
         B, F.col("sw_name").alias("sig_name"), F.col("sw_repo_url").alias("sig_repo"),
         F.col("sw_source_dir_hint").alias("sig_hint"), F.col("evidence").alias("sig_ev"))
     ver = first_version(version_mentions(strings), software)
     paths = build_path_summary(build_paths(strings)).select(B, F.col("evidence").alias("path_ev"))
     sym = symbol_families(symbols).select(B, "napi_evidence", "uv_evidence", "node_count")
-    langs = binary_languages(strings, indicators)
+    langs = binary_languages(strings)
     df = (ids.join(url, [B], "left").join(sig, [B], "left").join(ver, [B], "left")
           .join(paths, [B], "left").join(sym, [B], "left").join(langs, [B], "left"))
     name = F.coalesce("stop_name", "url_name", "sig_name")
@@ -262,7 +251,7 @@ def identity(strings: DataFrame, symbols: DataFrame, markers: DataFrame, softwar
                    F.coalesce("languages", F.array().cast("array<string>")).alias("languages"),
                    evidence.alias("evidence_list"), F.coalesce("node_count", F.lit(0).cast("bigint")).alias("node_count"))
     # Fill repo and hint from the catalog when the name is a catalog name
-    cat = F.broadcast(software.select(F.col("sw_name").alias("name"), "sw_repo_url", "sw_source_dir_hint"))
+    cat = software.select(F.col("sw_name").alias("name"), "sw_repo_url", "sw_source_dir_hint")
     df = (df.join(cat, ["name"], "left")
           .withColumn("repo_url", F.coalesce("repo_url", "sw_repo_url"))
           .withColumn("source_dir_hint", F.coalesce("source_dir_hint", "sw_source_dir_hint"))
@@ -274,7 +263,5 @@ def identity(strings: DataFrame, symbols: DataFrame, markers: DataFrame, softwar
         df = df.join(resolve_tag(df, remote_tags), [B], "left")
     else:
         df = df.withColumn("tag", F.lit(None).cast("string"))
-    return df.select(B, "name", "version", "repo_url", "tag",
-                     F.array_join("languages", ",").alias("languages"), "confidence",
-                     F.array_join("evidence_list", " | ").alias("evidence"), "n_evidence", "source_dir_hint",
-                     "node_count")
+    return df.select(B, "name", "version", "repo_url", "tag", "languages", "confidence",
+                     F.col("evidence_list").alias("evidence"), "n_evidence", "source_dir_hint", "node_count")

@@ -5,8 +5,9 @@ Three evidence stages, each a set of joins keyed by (binary_id, name) or (tree_i
 * direct symbols (J1/J2): equi-join of function names with the first definition (A9);
 * string anchors (J3-J6): function literals joined with source literals and files, then
   arbitrated per function and placed with a band join on (file, line bucket);
-* call-graph propagation (J10): at most three rounds of joins; each round is a set
-  operation because the used-name filter is fixed at round start.
+* call-graph propagation (J10): rounds of joins until one adds nothing; each round is a set
+  operation because the used-name filter is fixed at round start.  Source text is read once,
+  for the table of calls; the rounds move only names, lines and positions.
 
 Precedence (U3): a later stage never replaces an earlier mapping.  Ordering ties use a
 declared total order carried in ``order_key`` (stage digit, address or caller key, name),
@@ -15,7 +16,7 @@ compared bytewise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binlens.functions import catalog as C
@@ -25,29 +26,35 @@ from binlens.session import cut_lineage
 
 B, T = "binary_id", "tree_id"
 BUCKET = 64  # lines per band-join bucket; windows here span at most 55 lines
+FARTHEST_LINE = 1 << 62  # line numbers come from text; beyond this the window's end would overflow
 MAP_COLS = [B, T, "name", "source_file", "source_line", "confidence", "match_method",
             "original_name", "source_language", "order_key"]
 
 
-def bucketed_lines(lines: DataFrame) -> DataFrame:
-    """Lines keyed for band joins: (tree_id, rel_path, line_no div BUCKET)."""
-    return lines.select(T, "rel_path", "line_no", "text").withColumn("_b", F.expr(f"line_no div {BUCKET}"))
+def bucketed(rows: DataFrame) -> DataFrame:
+    """Rows of source lines keyed for band joins: (tree_id, rel_path, line_no div BUCKET)."""
+    return rows.withColumn("_b", F.expr(f"line_no div {BUCKET}"))
 
 
-def band_join(windows: DataFrame, lines: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """Pairs (window, line) with ``lo <= line_no <= hi`` on the same (tree_id, rel_path).
+def band_join(windows: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (window, row) with ``lo <= line_no <= hi`` on the same (tree_id, rel_path).
 
     Both sides are keyed by ``line_no div BUCKET`` as well, so one very large file is
     spread over many join keys; a window explodes into the (at most two) buckets it spans.
-    ``lines`` may come already bucketed (and partitioned on the keys) by ``bucketed_lines``.
+    ``rows`` holds what was found in the lines, never their text.
     """
-    w = windows.withColumn("_b", F.explode(F.sequence(F.expr(f"{lo} div {BUCKET}"), F.expr(f"{hi} div {BUCKET}"))))
-    ln = lines if "_b" in lines.columns else bucketed_lines(lines)
-    return (w.join(ln, [T, "rel_path", "_b"])
-            .where((F.col("line_no") >= F.col(lo)) & (F.col("line_no") <= F.col(hi)))
+    w = windows.withColumn("_b", F.explode(F.sequence(F.expr(f"lo div {BUCKET}"), F.expr(f"hi div {BUCKET}"))))
+    return (w.join(bucketed(rows), [T, "rel_path", "_b"])
+            .where((F.col("line_no") >= F.col("lo")) & (F.col("line_no") <= F.col("hi")))
             .drop("_b"))
 
 
+def window_around(line: str, before: int, after: int) -> tuple[Column, Column]:
+    """(lo, hi) of the lines from ``before`` above to ``after`` below; null for a null line."""
+    at = F.least(F.col(line).cast("bigint"), F.lit(FARTHEST_LINE))
+    return F.greatest(F.lit(1), at - before).alias("lo"), (at + after).alias("hi")
+
+
 def binary_trees(functions: DataFrame) -> DataFrame:
     return functions.select(B, T).distinct()
 
@@ -79,25 +86,28 @@ def direct_matches(functions: DataFrame, first: DataFrame, demangled: DataFrame
 
 # ---- stage 2: string anchors -------------------------------------------------------
 
-def rare_literal_postings(source_lits: DataFrame, max_postings: int = 3) -> DataFrame:
-    """Postings of literals that occur at most ``max_postings`` times, ranked in index order.
+def first_literal_postings(source_lits: DataFrame, max_postings: int | None = None) -> DataFrame:
+    """First posting (in index order) of every literal, with the number of its postings.
 
-    The count is a partial aggregate; the rank window only ever sees <= 3 rows per key.
+    Later postings of a literal can neither be a function's first evidence nor overwrite one,
+    so the first is all that arbitration needs; both are partial aggregates, however often
+    a literal occurs.  ``max_postings`` leaves out literals that occur more often (the analysed
+    pipeline uses 3); by default none is left out.
     """
-    counts = (source_lits.groupBy(T, "literal").agg(F.count(F.lit(1)).alias("n_postings"))
-              .where(F.col("n_postings") <= max_postings))
-    ext_rank = N.ext_rank("ext", tuple(C.LITERAL_EXTENSIONS))
-    w = Window.partitionBy(T, "literal").orderBy(ext_rank, "rel_path", "line_no", "pos")
-    return (source_lits.join(counts, [T, "literal"])
-            .withColumn("posting_rank", F.row_number().over(w)))
+    order = F.struct(N.ext_rank("ext", tuple(C.LITERAL_EXTENSIONS)).alias("e"), F.col("rel_path"), F.col("line_no"), F.col("pos"))
+    first = (source_lits.groupBy(T, "literal")
+             .agg(F.count(F.lit(1)).alias("n_postings"), F.min_by(F.struct("rel_path", "line_no"), order).alias("p"))
+             .select(T, "literal", "n_postings", "p.*"))
+    return first if max_postings is None else first.where(F.col("n_postings") <= max_postings)
 
 
-def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame) -> DataFrame:
+def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame,
+                    max_postings: int | None = None) -> DataFrame:
     """J4 (path refs resolved to files) and J3 (literal postings) as evidence rows.
 
     Each row: (binary_id, tree_id, func_name, entry_address, seq, file, line, overwrite).
     ``seq`` orders rows as the reference visits them: by literal position, a path ref
-    before the literal match of the same string, postings in index order.
+    before the literal match of the same string.
     """
     files = lines.select(T, "rel_path").distinct()
     by_base = (files.groupBy(T, N.path_basename("rel_path").alias("base"))
@@ -113,12 +123,10 @@ def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame)
                .select(B, T, "func_name", "entry_address",
                        F.struct(F.col("pos"), F.lit(0).alias("k"), F.lit(0).alias("r")).alias("seq"),
                        "file", F.col("ref_line").alias("line"), F.lit(True).alias("overwrite")))
-    rare = rare_literal_postings(source_lits)
-    lit_ev = (cands.join(rare.select(T, "literal", "rel_path", "line_no", "n_postings", "posting_rank"),
-                         [T, "literal"])
+    lit_ev = (cands.join(first_literal_postings(source_lits, max_postings), [T, "literal"])
               .select(B, T, "func_name", "entry_address",
-                      F.struct(F.col("pos"), F.lit(1).alias("k"), F.col("posting_rank").alias("r")).alias("seq"),
-                      F.col("rel_path").alias("file"), F.col("line_no").alias("line"),
+                      F.struct(F.col("pos"), F.lit(1).alias("k"), F.lit(1).alias("r")).alias("seq"),
+                      F.col("rel_path").alias("file"), F.col("line_no").cast("bigint").alias("line"),
                       (F.col("n_postings") == 1).alias("overwrite")))
     return path_ev.unionByName(lit_ev)
 
@@ -154,17 +162,14 @@ def enclosing_name(ext, text):
 def enclosing_definition(anchors: DataFrame, lines: DataFrame) -> DataFrame:
     """First definition within lines [L-19, L+5] of the anchored file (band join).
 
-    The band join narrows the lines to the anchor windows first; the pattern then runs
-    only on those lines."""
+    The pattern runs in the scan, on the head of each line; the join moves the names of the
+    lines that define something, never text."""
     keys = [B, T, "func_name", "entry_address"]
-    wins = (anchors.select(*keys, F.col("best_file").alias("rel_path"),
-                           F.greatest(F.lit(1), F.col("best_line") - 19).alias("lo"),
-                           (F.col("best_line") + 5).alias("hi"))
-            .where(F.col("hi").isNotNull()))
-    pairs = band_join(wins, lines.select(T, "rel_path", "line_no", "text"))
-    named = (pairs.withColumn("def_name", enclosing_name(N.path_ext("rel_path"), F.col("text")))
+    lo, hi = window_around("best_line", 19, 5)
+    wins = anchors.where(F.col("best_line").isNotNull()).select(*keys, F.col("best_file").alias("rel_path"), lo, hi)
+    named = (lines.select(T, "rel_path", "line_no", enclosing_name(N.path_ext("rel_path"), F.col("text")).alias("def_name"))
              .where(F.length("def_name") > 0))
-    return named.groupBy(*keys).agg(F.min_by("def_name", "line_no").alias("enclosing_name"))
+    return band_join(wins, named).groupBy(*keys).agg(F.min_by("def_name", "line_no").alias("enclosing_name"))
 
 
 def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: DataFrame,
@@ -189,71 +194,70 @@ def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: Da
 
 # ---- stage 3: call-graph propagation ----------------------------------------------
 
-def callee_candidates(callers: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
-    """Calls in lines [L-4, L+50] of each caller's mapped file that name a known
-    definition, with that definition's first posting, ordered by (line, pos)."""
-    wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("order_key").alias("caller_key"),
-                          F.col("source_file").alias("rel_path"),
-                          F.greatest(F.lit(1), F.col("source_line") - 4).alias("lo"),
-                          (F.col("source_line") + 50).alias("hi"))
-    ln = lines if "_b" in lines.columns else lines.where(F.instr("text", "(") > 0)
-    pairs = band_join(wins, ln)
-    calls = pairs.select(B, T, "caller_name", "caller_key", "line_no",
-                         F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE), 1)).alias("pos", "cand_name"))
+def known_calls(lines: DataFrame, first: DataFrame) -> DataFrame:
+    """Every call in the source that names a known definition, with that definition's first
+    posting: (tree_id, rel_path, line_no, pos, cand_name, def_*), without text."""
+    calls = X.call_sites(lines.select(T, "rel_path", "line_no", "text")).withColumnRenamed("callee_name", "cand_name")
     return calls.join(first.withColumnRenamed("name", "cand_name"), [T, "cand_name"])
 
 
-def propagation_round(mapped: DataFrame, edges: DataFrame, lines: DataFrame, first: DataFrame,
-                      n: int) -> DataFrame:
-    """One round of J10; returns the new mappings only."""
-    names = mapped.select(B, F.col("name"))
-    fun_edges = (edges.where(F.col("callee_name").startswith("FUN_"))
-                 .join(names.withColumnRenamed("name", "callee_name"), [B, "callee_name"], "left_anti")
-                 .join(names.withColumnRenamed("name", "caller_name"), [B, "caller_name"], "left_semi"))
-    callers = mapped.join(fun_edges.select(B, F.col("caller_name").alias("name")).distinct(), [B, "name"], "left_semi")
+def callee_candidates(callers: DataFrame, calls: DataFrame) -> DataFrame:
+    """The known calls in lines [L-4, L+50] of each caller's mapped file, ordered by (line, pos)."""
+    lo, hi = window_around("source_line", 4, 50)
+    wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("order_key").alias("caller_key"),
+                          F.col("source_file").alias("rel_path"), lo, hi).where(F.col("hi").isNotNull())
+    return band_join(wins, calls).drop("lo", "hi", "rel_path")
+
+
+def propagation_round(mapped: DataFrame, edges: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
+    """One round of J10; returns the new mappings only.  ``edges`` lead to FUN_ callees,
+    ``candidates`` are those of every mapped caller."""
+    open_edges = edges.join(mapped.select(B, F.col("name").alias("callee_name")), [B, "callee_name"], "left_anti")
     used = mapped.select(B, F.col("original_name").alias("cand_name")).distinct()
-    cands = callee_candidates(callers, lines, first).join(used, [B, "cand_name"], "left_anti")
     # each caller offers its first unused candidate to all its unmapped FUN_ callees
-    offer = (cands.groupBy(B, T, "caller_name", "caller_key")
+    offer = (candidates.join(used, [B, "cand_name"], "left_anti").groupBy(B, T, "caller_name", "caller_key")
              .agg(F.min_by(F.struct("cand_name", "def_file", "def_line", "def_lang"),
                            F.struct("line_no", "pos")).alias("o")))
-    ranked = fun_edges.join(offer, [B, "caller_name"])
     # each callee takes the offer of the first mapped caller (in mapping order)
-    best = (ranked.groupBy(B, T, "callee_name")
+    best = (open_edges.join(offer, [B, "caller_name"]).groupBy(B, T, "callee_name")
             .agg(F.min_by(F.struct("o", "caller_key"), F.col("caller_key")).alias("b")))
     return best.select(
         B, T, F.col("callee_name").alias("name"), F.col("b.o.def_file").alias("source_file"),
-        F.col("b.o.def_line").alias("source_line"), F.lit("low").alias("confidence"),
+        F.col("b.o.def_line").cast("bigint").alias("source_line"), F.lit("low").alias("confidence"),
         F.lit(f"callgraph_iter{n}").alias("match_method"), F.col("b.o.cand_name").alias("original_name"),
         F.col("b.o.def_lang").alias("source_language"),
-        F.concat(F.lit(str(n + 1)), F.col("b.caller_key"), F.lit("\x02"), F.col("callee_name")).alias("order_key"))
+        F.concat(F.lit(f"2{n:06d}"), F.col("b.caller_key"), F.lit("\x02"), F.col("callee_name")).alias("order_key"))
 
 
 def call_graph_propagate(mapped: DataFrame, call_graph: DataFrame, lines: DataFrame, first: DataFrame,
-                         rounds: int = C.PROPAGATION_ROUNDS) -> DataFrame:
-    """Up to ``rounds`` rounds; stops when a round adds nothing.  Each round's state
-    is checkpointed to the session's checkpoint folder, so lineage stays short and a
-    lost executor only costs the current round."""
-    edges = cut_lineage(call_graph.select(B, "caller_name", "callee_name").distinct())
-    # the two large inputs of every round are keyed and partitioned once: the band join
-    # and the index lookup then shuffle only the small per-round side
-    first = cut_lineage(first.repartition(T, "name"))
-    lines = cut_lineage(bucketed_lines(lines.where(F.instr("text", "(") > 0)).repartition(T, "rel_path", "_b"))
-    state = cut_lineage(mapped.select(*MAP_COLS))
-    for n in range(1, rounds + 1):
-        new = cut_lineage(propagation_round(state, edges, lines, first, n).select(*MAP_COLS))
-        if new.isEmpty():
+                         rounds: int | None = None) -> DataFrame:
+    """Rounds until one adds nothing (``rounds`` stops earlier; the analysed pipeline uses 3).
+
+    The calls are found once, and a caller's candidates once, when it is mapped; a round joins
+    small tables.  Each round's state is written to the session's checkpoint folder, so lineage
+    stays short and a lost executor only costs the current round."""
+    edges = cut_lineage(call_graph.where(F.col("callee_name").startswith("FUN_")).select(B, "caller_name", "callee_name").distinct())
+    calls = cut_lineage(known_calls(lines, first))
+    callers = edges.select(B, F.col("caller_name").alias("name")).distinct()
+    state = fresh = cut_lineage(mapped.select(*MAP_COLS).withColumn("source_line", F.col("source_line").cast("bigint")))
+    candidates = None
+    n = 0
+    while rounds is None or n < rounds:
+        n += 1
+        more = cut_lineage(callee_candidates(fresh.join(callers, [B, "name"], "left_semi"), calls))
+        candidates = more if candidates is None else candidates.unionByName(more)
+        fresh = cut_lineage(propagation_round(state, edges, candidates, n).select(*MAP_COLS))
+        if fresh.isEmpty():
             break
-        # both sides are checkpointed, so the union's lineage is two scans
-        state = state.unionByName(new)
+        state = state.unionByName(fresh)
     return state
 
 
 def map_functions(functions: DataFrame, call_graph: DataFrame, decompiled: DataFrame, lines: DataFrame,
-                  demangled: DataFrame | None = None, rounds: int = C.PROPAGATION_ROUNDS) -> DataFrame:
+                  demangled: DataFrame | None = None, rounds: int | None = None) -> DataFrame:
     """All mappings by precedence: symbols > string anchors > call graph."""
-    first = X.first_posting(X.source_definitions(lines))
-    direct = direct_matches(functions, first, demangled)
+    first = cut_lineage(X.first_posting(X.source_definitions(lines)))
+    direct = cut_lineage(direct_matches(functions, first, demangled))
     anchored = string_anchor_matches(functions, decompiled, lines, direct)
     stage12 = direct.unionByName(anchored.select(*MAP_COLS))
     return call_graph_propagate(stage12, call_graph, lines, first, rounds)

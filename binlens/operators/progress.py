@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlens.functions import catalog as C
+from binlens.functions import names as N
 from binlens.operators import text as X
 
 T = "tree_id"
@@ -25,19 +26,23 @@ def definition_total(produced: DataFrame) -> DataFrame:
             .agg(F.sum("definitions").cast("bigint").alias("definitions")))
 
 
-def quality_gates(produced: DataFrame) -> DataFrame:
-    """Gate A (files exist), B (>= 500 LOC), C (>= 10 definitions); first failure."""
-    df = source_totals(produced).join(definition_total(produced), [T], "left")
-    defs = F.coalesce("definitions", F.lit(0))
+def quality_gates(produced: DataFrame, trees: DataFrame | None = None) -> DataFrame:
+    """Gate A (files exist), B (>= 500 LOC), C (>= 10 definitions); first failure.
+
+    ``trees`` lists the trees to judge (tree_id); one without any produced source fails gate A.
+    Without it, the trees that occur in ``produced`` are judged."""
+    trees = (produced if trees is None else trees).select(T).distinct()
+    df = (trees.join(source_totals(produced), [T], "left").join(definition_total(produced), [T], "left")
+          .withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("total_files", "total_loc")}))
+    defs = F.coalesce("definitions", F.lit(0).cast("bigint"))
     gate = (F.when(F.col("total_files") == 0, "A")
             .when(F.col("total_loc") < C.GATE_MIN_LOC, "B")
             .when(defs < C.GATE_MIN_DEFINITIONS, "C"))
-    msg = (F.when(F.col("total_files") == 0, F.lit("No source files found in output/src/."))
+    msg = (F.when(F.col("total_files") == 0, F.lit(C.GATE_A_MESSAGE))
            .when(F.col("total_loc") < C.GATE_MIN_LOC,
-                 F.format_string("QUALITY: Only %d lines of code across %d files. Minimum 500 LOC required.",
-                                 F.col("total_loc"), F.col("total_files")))
+                 F.format_string(C.GATE_B_MESSAGE, F.col("total_loc"), F.col("total_files")))
            .when(defs < C.GATE_MIN_DEFINITIONS,
-                 F.format_string("QUALITY: Only %d function definitions found.", defs)))
+                 F.format_string(C.GATE_C_MESSAGE, defs)))
     return df.select(T, "total_files", "total_loc", defs.alias("definitions"), gate.alias("failed_gate"),
                      gate.isNull().alias("passed"), msg.alias("message"))
 
@@ -104,10 +109,13 @@ def coverage_metric(binaries: DataFrame, produced: DataFrame, tasks: DataFrame |
                                                F.expr("numerator * 100 div denominator")).otherwise(F.lit(0).cast("bigint")))
 
 
-def uncovered_functions(functions: DataFrame, produced: DataFrame) -> DataFrame:
-    """Functions with no definition of their name in the produced source."""
-    defs = X.source_definitions(produced).select(T, "name").distinct()
-    return functions.join(defs, [T, "name"], "left_anti")
+def uncovered_functions(functions: DataFrame, produced: DataFrame, mappings: DataFrame) -> DataFrame:
+    """Functions with no definition in the produced source.  A function is looked up by the
+    name it is mapped to (aliases are mappings, too), else by its own without leading underscores."""
+    defs = X.source_definitions(produced).select(T, F.col("name").alias("wanted")).distinct()
+    named = functions.join(mappings.select("binary_id", "name", "original_name"), ["binary_id", "name"], "left")
+    return (named.withColumn("wanted", F.coalesce("original_name", N.clean_name("name")))
+            .join(defs, [T, "wanted"], "left_anti").select(*functions.columns))
 
 
 def task_order(function_map: DataFrame, clusters: DataFrame) -> DataFrame:

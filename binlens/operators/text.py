@@ -90,7 +90,7 @@ def call_sites(lines: DataFrame) -> DataFrame:
     """Every ``word(`` in a line, in order."""
     return (lines.where(F.instr("text", "(") > 0)
             .select(*[c for c in lines.columns if c != "text"],
-                    F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE), 1)).alias("pos", "callee_name")))
+                    F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE_LINEAR), 1)).alias("pos", "callee_name")))
 
 
 def function_literals(decompiled: DataFrame) -> DataFrame:
@@ -101,7 +101,8 @@ def function_literals(decompiled: DataFrame) -> DataFrame:
     literal (the per-name index of the text corpus; SURVEY Q11).
     """
     lit = F.regexp_extract_all("text", F.lit(C.FUNCTION_LITERAL), 1)
-    refs = F.regexp_extract_all("text", F.lit(C.PATH_LINE_REF), 1)
+    refs = F.when(F.instr("text", ":") > 0, F.regexp_extract_all("text", F.lit(C.PATH_LINE_REF_LINEAR), 1)).otherwise(
+        F.array().cast("array<string>"))
     df = (decompiled.select(B, "func_name", "entry_address", F.concat(lit, refs).alias("lits"))
           .where(F.size("lits") > 0))
     keep = df.groupBy(B, "func_name").agg(F.min("entry_address").alias("entry_address"))
@@ -113,7 +114,7 @@ def path_line_refs(literals: DataFrame) -> DataFrame:
     """An anchored ``path.ext:line`` at the start of a literal -> (ref_path, ref_line)."""
     return (literals.where(F.col("literal").rlike(C.PATH_LINE_ANCHORED))
             .withColumn("ref_path", F.regexp_extract("literal", C.PATH_LINE_ANCHORED, 1))
-            .withColumn("ref_line", F.regexp_extract("literal", C.PATH_LINE_ANCHORED, 2).try_cast("int")))
+            .withColumn("ref_line", F.regexp_extract("literal", C.PATH_LINE_ANCHORED, 2).try_cast("bigint")))
 
 
 def corpus_function_key(file_name: Column) -> Column:
@@ -128,7 +129,10 @@ def definition_line_counts(lines: DataFrame) -> DataFrame:
     c_like = F.col("ext").isin(".cpp", ".c", ".h")
     zig = F.col("ext") == ".zig"
     js = F.col("ext").isin(".js", ".ts")
-    is_def = (F.when(c_like, F.col("text").rlike(C.C_DEFINITION_LINE))
+    head = F.substring_index("text", "(", 1)
+    c_def = ((F.instr("text", "(") > 0) & head.rlike(C.C_DEFINITION_HEAD)
+             & F.substring(F.col("text"), F.length(head) + 1, F.length("text")).rlike(C.C_DEFINITION_REST))
+    is_def = (F.when(c_like, c_def)
               .when(zig, F.col("text").rlike(C.ZIG_DEFINITION_LINE))
               .when(js, F.col("text").rlike(C.JS_DEFINITION_LINE))
               .otherwise(False))

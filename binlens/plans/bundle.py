@@ -72,7 +72,7 @@ firsts AS (SELECT bundle_id, idx, kind, string_agg(lit, ' | ' ORDER BY i, pos) A
 
 @query("bundle_format", f"""
 WITH fl AS (SELECT binary_id, {_FLAGS} FROM fx_format_strings GROUP BY 1),
-bn AS (SELECT binary_id, bool_or(segment_name = '{C.BUN_SEGMENT}') AS bun FROM fx_segments GROUP BY 1),
+bn AS (SELECT binary_id, bool_or(contains(segment_name, '{C.BUN_SEGMENT}')) AS bun FROM fx_segments GROUP BY 1),
 ids AS (SELECT binary_id FROM fx_format_strings UNION SELECT binary_id FROM fx_segments)
 SELECT ids.binary_id, CASE WHEN coalesce(bn.bun, false) THEN 'bun' {_FMT_CASE} ELSE 'native' END AS bundled_format,
        CASE WHEN coalesce(bn.bun, false) THEN 'javascript' {_LANG_CASE} END AS bundled_language
@@ -110,8 +110,7 @@ def _grab(pat, strip):
 REGISTRY_METADATA_SQL = f"""
 WITH __SEG_CTE__,
 head AS (SELECT bundle_id, string_agg(segment, chr(10) ORDER BY seg_no) AS head
-         FROM (SELECT * FROM segc WHERE seg_class = 'app'
-               QUALIFY row_number() OVER (PARTITION BY bundle_id ORDER BY seg_no) <= {C.APP_METADATA_SEGMENTS}) s
+         FROM (SELECT * FROM segc WHERE seg_class = 'app') s
          GROUP BY 1),
 meta AS (SELECT bundle_id, {_grab(_VER_RE2, False)} AS app_version, {_grab(_COPY_RE2, True)} AS copyright,
                 {_grab(_NAME_RE2, True)} AS app_name FROM head),

@@ -27,9 +27,7 @@ ID_CTE = f"""
 mk AS (SELECT * FROM (VALUES {_MK}) t(sw_rank, sw_name, marker_rank, marker)),
 sw AS (SELECT * FROM (VALUES {_SW}) t(sw_rank, sw_name, sw_repo_url, sw_source_dir_hint, min_markers)),
 ind AS (SELECT * FROM (VALUES {_IND}) t(language, indicator)),
-s100 AS (SELECT *, row_number() OVER (PARTITION BY binary_id ORDER BY ord) AS rank FROM fx_strings
-         QUALIFY rank <= {C.FIRST_N_STRINGS}),
-s50 AS (SELECT * FROM s100 WHERE rank <= {C.FIRST_N_VERSION_STRINGS}),
+s100 AS (SELECT * FROM fx_strings),
 um AS (SELECT binary_id, ord, 0 AS pat_no, unnest(o) AS owner, unnest(r) AS repo, generate_subscripts(o, 1) AS m_pos
        FROM (SELECT binary_id, ord, regexp_extract_all(s, '{_P[0]}', 1) AS o, regexp_extract_all(s, '{_P[0]}', 2) AS r
              FROM s100) a
@@ -52,24 +50,24 @@ hits AS (SELECT DISTINCT s.binary_id, mk.sw_rank, mk.sw_name, mk.marker_rank, mk
 per AS (SELECT binary_id, sw_rank, sw_name, count(*) AS n_markers, list(marker ORDER BY marker_rank) AS ms
         FROM hits GROUP BY ALL),
 sigm AS (SELECT per.binary_id, per.sw_rank, per.sw_name, per.n_markers, sw.sw_repo_url, sw.sw_source_dir_hint,
-                array_to_string(ms[1:3], ',') AS first_markers,
+                array_to_string(ms, ',') AS markers,
                 concat('Signature match: ', per.sw_name, ' (', per.n_markers, ' markers: [',
-                       array_to_string(list_transform(ms[1:3], lambda x: concat('''', x, '''')), ', '), '])') AS evidence
+                       array_to_string(list_transform(ms, lambda x: concat('''', x, '''')), ', '), '])') AS evidence
          FROM per JOIN sw USING (sw_rank, sw_name) WHERE per.n_markers >= sw.min_markers),
 sigw AS (SELECT * FROM sigm QUALIFY row_number() OVER (PARTITION BY binary_id ORDER BY sw_rank) = 1),
 vm AS (SELECT binary_id, ord, 0 AS pat_no, 'named' AS kind, lower(regexp_extract(s, '{_V[0]}', 1)) AS name_candidate,
-              regexp_extract(s, '{_V[0]}', 2) AS version, s FROM s50 WHERE regexp_matches(s, '{_V[0]}')
+              regexp_extract(s, '{_V[0]}', 2) AS version, s FROM s100 WHERE regexp_matches(s, '{_V[0]}')
        UNION ALL
        SELECT binary_id, ord, 1, 'named', lower(regexp_extract(s, '{_V[1]}', 1)), regexp_extract(s, '{_V[1]}', 2), s
-       FROM s50 WHERE regexp_matches(s, '{_V[1]}')
+       FROM s100 WHERE regexp_matches(s, '{_V[1]}')
        UNION ALL
        SELECT binary_id, ord, 2, 'version_only', NULL, regexp_extract(s, '{_V[2]}', 1), s
-       FROM s50 WHERE regexp_matches(s, '{_V[2]}')),
+       FROM s100 WHERE regexp_matches(s, '{_V[2]}')),
 vstop AS (SELECT binary_id, name_candidate AS stop_name, version AS stop_version, ord AS s_ord, pat_no AS s_pat
           FROM vm WHERE kind = 'named' AND name_candidate IN (SELECT sw_name FROM sw)
           QUALIFY row_number() OVER (PARTITION BY binary_id ORDER BY ord, pat_no) = 1),
 vbare AS (SELECT v.binary_id, v.version AS bare_version,
-                 concat('Version string: ', left(regexp_replace(v.s, '^\\s+|\\s+$', '', 'g'), 80)) AS bare_evidence
+                 concat('Version string: ', regexp_replace(v.s, '^\\s+|\\s+$', '', 'g')) AS bare_evidence
           FROM vm v LEFT JOIN vstop t USING (binary_id)
           WHERE v.kind = 'version_only' AND (t.s_ord IS NULL OR v.ord < t.s_ord OR (v.ord = t.s_ord AND v.pat_no < t.s_pat))
           QUALIFY row_number() OVER (PARTITION BY v.binary_id ORDER BY v.ord, v.pat_no) = 1),
@@ -83,13 +81,10 @@ bp AS (SELECT DISTINCT binary_id, path,
                     regexp_extract_all(s, '{_BP[1]}', 1)), regexp_extract_all(s, '{_BP[2]}', 1)))) AS path FROM s100) x),
 bph AS (SELECT binary_id, ext, count(*) AS n_paths FROM bp WHERE length(ext) > 0 GROUP BY ALL),
 bps AS (SELECT n.binary_id, n.n_paths,
-               concat('Build paths found: ', n.n_paths, ' paths, extensions: {{',
-                      coalesce(h.hs, ''), '}}') AS evidence
+               concat('Build paths found: ', n.n_paths, ' paths, ', coalesce(h.n_ext, 0), ' extensions') AS evidence
         FROM (SELECT binary_id, count(*) AS n_paths FROM bp GROUP BY 1) n
-        LEFT JOIN (SELECT binary_id, string_agg(concat('''', ext, ''': ', n_paths), ', ' ORDER BY ext) AS hs
-                   FROM bph GROUP BY 1) h USING (binary_id)),
-sy AS (SELECT DISTINCT binary_id, symbol FROM fx_symbols
-       QUALIFY row_number() OVER (PARTITION BY binary_id ORDER BY ord) <= {C.FIRST_N_SYMBOLS}),
+        LEFT JOIN (SELECT binary_id, count(*) AS n_ext FROM bph GROUP BY 1) h USING (binary_id)),
+sy AS (SELECT DISTINCT binary_id, symbol FROM fx_symbols),
 fam AS (SELECT binary_id, count(*) FILTER (WHERE starts_with(symbol, '{C.NAPI_PREFIX}')) AS napi_count,
                count(*) FILTER (WHERE starts_with(symbol, '{C.UV_PREFIX}')) AS uv_count,
                count(*) FILTER (WHERE contains(lower(symbol), 'node')) AS node_count FROM sy GROUP BY 1),
@@ -99,7 +94,7 @@ lh AS (SELECT DISTINCT s.binary_id, ind.language FROM s100 s JOIN ind ON contain
 lang AS (SELECT binary_id,
                 CASE WHEN count(*) FILTER (WHERE language <> 'c') > 0
                      THEN array_to_string(list_sort(list(language) FILTER (WHERE language <> 'c')), ',')
-                     WHEN bool_or(language = 'c') THEN 'c' ELSE '' END AS languages
+                     ELSE 'c' END AS languages
          FROM lh GROUP BY 1),
 ids AS (SELECT binary_id FROM fx_strings UNION SELECT binary_id FROM fx_symbols),
 idn0 AS (SELECT ids.binary_id, coalesce(v.stop_name, u.name, g.sw_name) AS name,
@@ -138,13 +133,8 @@ def _software(inp):
     return C.software_catalog(inp.spark)
 
 
-def _markers(inp):
-    return C.marker_catalog(inp.spark)
-
-
 def _identity(inp):
-    return I.identity(inp.strings(), inp.symbols(), _markers(inp), _software(inp),
-                      C.language_indicators(inp.spark), inp.table("fx_remote_tags"))
+    return I.identity(inp.strings(), inp.symbols(), _software(inp), inp.table("fx_remote_tags"))
 
 
 @query("first_n_strings", f"""
@@ -176,10 +166,10 @@ def top_repo(inp):
 
 @query("signature_markers", f"""
 WITH {ID_CTE}
-SELECT binary_id, sw_rank, sw_name, n_markers, sw_repo_url, sw_source_dir_hint, first_markers, evidence FROM sigm
+SELECT binary_id, sw_rank, sw_name, n_markers, sw_repo_url, sw_source_dir_hint, markers, evidence FROM sigm
 """)
 def signature_markers(inp):
-    return I.signature_markers(inp.strings(), _markers(inp), _software(inp))
+    return I.signature_markers(inp.strings(), _software(inp))
 
 
 @query("version_mentions", f"WITH {ID_CTE} SELECT * FROM vm")
@@ -209,13 +199,13 @@ def symbol_families(inp):
 
 @query("binary_languages", f"WITH {ID_CTE} SELECT * FROM lang")
 def binary_languages(inp):
-    df = I.binary_languages(inp.strings(), C.language_indicators(inp.spark))
+    df = I.binary_languages(inp.strings())
     return df.select("binary_id", F.array_join("languages", ",").alias("languages"))
 
 
 @query("identity_assemble", f"WITH {ID_CTE} {ID_SELECT}")
 def identity_assemble(inp):
-    return _identity(inp)
+    return _identity(inp).withColumns({"languages": F.array_join("languages", ","), "evidence": F.array_join("evidence", " | ")})
 
 
 @query("confidence_level", f"""
@@ -236,11 +226,11 @@ def catalog_fill(inp):
 
 @query("tag_candidates", f"WITH {ID_CTE} SELECT binary_id, name, version, repo_url, cand_pos, tag FROM tcand")
 def tag_candidates(inp):
-    base = I.identity(inp.strings(), inp.symbols(), _markers(inp), _software(inp), C.language_indicators(inp.spark))
+    base = I.identity(inp.strings(), inp.symbols(), _software(inp))
     return I.tag_candidates(base)
 
 
 @query("resolve_tag", f"WITH {ID_CTE} SELECT * FROM tres")
 def resolve_tag(inp):
-    base = I.identity(inp.strings(), inp.symbols(), _markers(inp), _software(inp), C.language_indicators(inp.spark))
+    base = I.identity(inp.strings(), inp.symbols(), _software(inp))
     return I.resolve_tag(base, inp.table("fx_remote_tags"))

@@ -31,8 +31,8 @@ def _evidence(inp):
 
 
 def _all_mappings(inp):
-    return M.map_functions(inp.functions(), inp.call_graph(), inp.decompiled(), inp.source_lines(),
-                           inp.table("in_demangled"))
+    return inp.derived("all_mappings", lambda: M.map_functions(
+        inp.functions(), inp.call_graph(), inp.decompiled(), inp.source_lines(), inp.table("in_demangled")))
 
 
 EV_COLS = ["binary_id", "tree_id", "func_name", "entry_address", "pos", "k", "r", "file", "line", "overwrite"]
@@ -92,10 +92,10 @@ def callee_candidates(inp):
     stage12 = _direct(inp).unionByName(
         M.string_anchor_matches(inp.functions(), inp.decompiled(), inp.source_lines(), _direct(inp))
         .select(*M.MAP_COLS))
-    return M.callee_candidates(stage12, inp.source_lines(), first).drop("caller_key")
+    return M.callee_candidates(stage12, M.known_calls(inp.source_lines(), first)).drop("caller_key")
 
 
-@query("call_graph_propagate", f"WITH {FULL_MAP_CTE} SELECT * FROM mm3")
+@query("call_graph_propagate", f"WITH {FULL_MAP_CTE} SELECT * FROM mmx")
 def call_graph_propagate(inp):
     return _all_mappings(inp)
 
@@ -104,7 +104,7 @@ def call_graph_propagate(inp):
 WITH {FULL_MAP_CTE}
 SELECT f.binary_id, f.name AS ghidra_function_name, f.entry_address AS ghidra_address, m.source_file,
        m.source_line, m.confidence, m.match_method, m.original_name, m.source_language
-FROM fn f JOIN mm3 m ON m.binary_id = f.binary_id AND m.name = f.name
+FROM fn f JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name
 """)
 def function_map_full(inp):
     return M.function_map(inp.functions(), _all_mappings(inp))
@@ -128,7 +128,7 @@ SELECT t.binary_id, t.total_functions, coalesce(m.n, 0) AS mapped_functions,
        round(coalesce(m.n, 0) / greatest(t.total_functions, 1) * 100, 2) AS coverage_percent,
        coalesce(a.n, 0) AS aliases
 FROM (SELECT binary_id, count(*) AS total_functions FROM fn GROUP BY 1) t
-LEFT JOIN (SELECT binary_id, count(*) AS n FROM mm3 GROUP BY 1) m USING (binary_id)
+LEFT JOIN (SELECT binary_id, count(*) AS n FROM mmx GROUP BY 1) m USING (binary_id)
 LEFT JOIN (SELECT binary_id, count(*) AS n FROM al GROUP BY 1) a USING (binary_id)
 """)
 def mapping_stats(inp):
@@ -137,9 +137,9 @@ def mapping_stats(inp):
 
 @query("mapping_breakdown", f"""
 WITH {FULL_MAP_CTE}
-SELECT binary_id, 'by_method' AS dimension, match_method AS value, count(*) AS n FROM mm3 GROUP BY ALL
-UNION ALL SELECT binary_id, 'by_confidence', confidence, count(*) FROM mm3 GROUP BY ALL
-UNION ALL SELECT binary_id, 'by_language', source_language, count(*) FROM mm3 GROUP BY ALL
+SELECT binary_id, 'by_method' AS dimension, match_method AS value, count(*) AS n FROM mmx GROUP BY ALL
+UNION ALL SELECT binary_id, 'by_confidence', confidence, count(*) FROM mmx GROUP BY ALL
+UNION ALL SELECT binary_id, 'by_language', source_language, count(*) FROM mmx GROUP BY ALL
 """)
 def mapping_breakdown(inp):
     return M.mapping_breakdown(_all_mappings(inp))

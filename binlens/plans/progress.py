@@ -11,8 +11,9 @@ from binlens.operators import mapping as M
 from binlens.operators import progress as P
 from binlens.operators import text as X
 from binlens.plans.composition import COMP_CTE
+from binlens.plans.mapping import _all_mappings as all_mappings
 from binlens.plans.registry import query
-from binlens.plans.sqlparts import ALIASES_SQL, EXT, FULL_MAP_CTE, TEXT_CTE
+from binlens.plans.sqlparts import ALIASES_SQL, DEF_EXTS, DEF_NAME, EXCLUDED, EXT, FULL_MAP_CTE, NOT_NAMES
 
 _PE = ", ".join(f"'{x}'" for x in C.PRODUCED_EXTENSIONS)
 
@@ -58,10 +59,14 @@ SELECT t.tree_id, t.total_files, t.total_loc, coalesce(d.definitions, 0) AS defi
                  t.total_files, ' files. Minimum 500 LOC required.')
             WHEN coalesce(d.definitions, 0) < {C.GATE_MIN_DEFINITIONS}
                  THEN concat('QUALITY: Only ', coalesce(d.definitions, 0), ' function definitions found.') END AS message
-FROM ptot t LEFT JOIN pdtot d USING (tree_id)
+FROM (SELECT x.tree_id, coalesce(p.total_files, 0) AS total_files, coalesce(p.total_loc, 0) AS total_loc
+      FROM (SELECT tree_id FROM in_functions UNION SELECT tree_id FROM in_polyglot_lines) x LEFT JOIN ptot p USING (tree_id)) t
+LEFT JOIN pdtot d USING (tree_id)
 """)
 def quality_gates(inp):
-    return P.quality_gates(_produced(inp))
+    """The trees that should have been produced: the functions' and the polyglot one, of which nothing was."""
+    trees = inp.functions().select("tree_id").union(inp.table("in_polyglot_lines").select("tree_id"))
+    return P.quality_gates(_produced(inp), trees)
 
 
 @query("plan_progress", """
@@ -135,19 +140,23 @@ def coverage_metric(inp):
 
 
 @query("uncovered_functions", f"""
-WITH {TEXT_CTE.replace('in_source_lines', 'in_produced_lines')}
-SELECT f.* FROM in_functions f
-WHERE NOT EXISTS (SELECT 1 FROM defs d WHERE d.tree_id = f.tree_id AND d.name = f.name)
+WITH {FULL_MAP_CTE},
+psrc AS (SELECT tree_id, rel_path, line_no, text, {EXT.format(c='rel_path')} AS ext FROM in_produced_lines),
+pdef AS (SELECT DISTINCT tree_id, name FROM (SELECT *, {DEF_NAME} AS name FROM psrc WHERE ext IN ({DEF_EXTS}) AND NOT {EXCLUDED}) d
+         WHERE length(name) > 2 AND name NOT IN ({NOT_NAMES}))
+SELECT f.* FROM in_functions f LEFT JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name
+WHERE NOT EXISTS (SELECT 1 FROM pdef d WHERE d.tree_id = f.tree_id
+                  AND d.name = coalesce(m.original_name, regexp_replace(f.name, '^_+', '')))
 """)
 def uncovered_functions(inp):
-    return P.uncovered_functions(inp.functions(), _produced(inp))
+    return P.uncovered_functions(inp.functions(), _produced(inp), all_mappings(inp))
 
 
 @query("resolve_callee_names", f"""
 WITH {FULL_MAP_CTE}, {COMP_CTE},
 al AS ({ALIASES_SQL}),
 fm AS (SELECT f.binary_id, f.entry_address AS ghidra_address, m.original_name
-       FROM fn f JOIN mm3 m ON m.binary_id = f.binary_id AND m.name = f.name
+       FROM fn f JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name
        QUALIFY row_number() OVER (PARTITION BY f.binary_id, f.entry_address ORDER BY m.original_name) = 1)
 SELECT DISTINCT ae.binary_id, substr(ae.caller_address, 1, 6) AS prefix,
        coalesce(al.original_name, fm.original_name, fw.name) AS api_name
@@ -158,15 +167,14 @@ LEFT JOIN fm ON fm.binary_id = ae.binary_id AND fm.ghidra_address = ae.callee_ad
 """)
 def resolve_callee_names(inp):
     comp = O.composition(inp.functions(), inp.mapped(), inp.call_graph())
-    maps = M.map_functions(inp.functions(), inp.call_graph(), inp.decompiled(), inp.source_lines(),
-                           inp.table("in_demangled"))
+    maps = all_mappings(inp)
     fmap = M.function_map(inp.functions(), maps)
     return O.resolve_callee_names(comp, inp.call_graph(), fmap, M.helper_aliases(maps))
 
 
 @query("task_order", f"""
 WITH {FULL_MAP_CTE}, {COMP_CTE},
-fmap AS (SELECT f.binary_id, m.source_file, m.confidence FROM fn f JOIN mm3 m ON m.binary_id = f.binary_id AND m.name = f.name),
+fmap AS (SELECT f.binary_id, m.source_file, m.confidence FROM fn f JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name),
 tfiles AS (SELECT binary_id, min(CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END) AS tier,
                  source_file AS group_key, count(*) AS n_functions FROM fmap GROUP BY binary_id, source_file),
 cl AS (SELECT c.binary_id, 3 AS tier, c.prefix AS group_key, c.function_count AS n_functions
@@ -179,6 +187,5 @@ SELECT *, concat(tier, '|', CASE WHEN tier = 3 THEN lpad(CAST(1000000000000 - n_
 def task_order(inp):
     comp = O.composition(inp.functions(), inp.mapped(), inp.call_graph())
     clusters = O.triaged_clusters(O.cluster_summary(comp, inp.call_graph()), inp.table("in_triage"))
-    maps = M.map_functions(inp.functions(), inp.call_graph(), inp.decompiled(), inp.source_lines(),
-                           inp.table("in_demangled"))
+    maps = all_mappings(inp)
     return P.task_order(M.function_map(inp.functions(), maps), clusters)

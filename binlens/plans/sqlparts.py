@@ -2,7 +2,8 @@
 
 They restate the operators in plain SQL over the fixture views: per-line regex
 extraction, QUALIFY row_number() for "first", band joins as BETWEEN conditions, and
-the three propagation rounds unrolled.
+the propagation rounds unrolled.  ``ROUNDS`` is more than the fixtures need; a test checks that
+the last one adds nothing.
 """
 
 from __future__ import annotations
@@ -34,6 +35,11 @@ def lang_no_hpp(col: str) -> str:
     return _case(EXT.format(c=col), pairs, "'unknown'")
 
 
+DEF_EXTS = _in(x for x, _ in C.DEFINITION_EXTENSIONS)
+EXCLUDED = _excluded("rel_path", C.EXCLUDED_FRAGMENTS)
+NOT_NAMES = _in(C.NOT_DEFINITION_NAMES)
+ROUNDS = 8
+
 TEXT_CTE = f"""
 src AS (SELECT tree_id, rel_path, line_no, text, {EXT.format(c='rel_path')} AS ext FROM in_source_lines),
 defs AS (SELECT tree_id, rel_path, line_no, name, {LANG_HPP} AS lang, ext
@@ -84,7 +90,7 @@ files AS (SELECT DISTINCT tree_id, rel_path FROM src),
 bybase AS (SELECT tree_id, regexp_extract(rel_path, '([^/]*)$', 1) AS base, min(rel_path) AS alt_path
            FROM files GROUP BY ALL),
 refs AS (SELECT *, regexp_extract(literal, '{C.PATH_LINE_ANCHORED}', 1) AS ref_path,
-                TRY_CAST(regexp_extract(literal, '{C.PATH_LINE_ANCHORED}', 2) AS INTEGER) AS ref_line
+                TRY_CAST(regexp_extract(literal, '{C.PATH_LINE_ANCHORED}', 2) AS BIGINT) AS ref_line
          FROM cands WHERE regexp_matches(literal, '{C.PATH_LINE_ANCHORED}')),
 pev AS (SELECT c.binary_id, c.tree_id, c.func_name, c.entry_address, c.pos, 0 AS k, CAST(0 AS BIGINT) AS r,
                CASE WHEN fx.rel_path IS NOT NULL THEN c.ref_path ELSE b.alt_path END AS file,
@@ -93,12 +99,11 @@ pev AS (SELECT c.binary_id, c.tree_id, c.func_name, c.entry_address, c.pos, 0 AS
         LEFT JOIN files fx ON fx.tree_id = c.tree_id AND fx.rel_path = c.ref_path
         LEFT JOIN bybase b ON b.tree_id = c.tree_id AND b.base = regexp_extract(c.ref_path, '([^/]*)$', 1)
         WHERE (fx.rel_path IS NOT NULL OR b.alt_path IS NOT NULL) AND c.ref_line IS NOT NULL),
-rare AS (SELECT *, count(*) OVER (PARTITION BY tree_id, literal) AS n_postings,
-                row_number() OVER (PARTITION BY tree_id, literal ORDER BY {LIT_RANK}, rel_path, line_no, pos) AS posting_rank
-         FROM slit QUALIFY n_postings <= 3),
-lev AS (SELECT c.binary_id, c.tree_id, c.func_name, c.entry_address, c.pos, 1 AS k, r.posting_rank AS r,
-               r.rel_path AS file, r.line_no AS line, r.n_postings = 1 AS overwrite
-        FROM cands c JOIN rare r ON r.tree_id = c.tree_id AND r.literal = c.literal),
+fpost AS (SELECT *, count(*) OVER (PARTITION BY tree_id, literal) AS n_postings FROM slit
+          QUALIFY row_number() OVER (PARTITION BY tree_id, literal ORDER BY {LIT_RANK}, rel_path, line_no, pos) = 1),
+lev AS (SELECT c.binary_id, c.tree_id, c.func_name, c.entry_address, c.pos, 1 AS k, CAST(1 AS BIGINT) AS r,
+               r.rel_path AS file, CAST(r.line_no AS BIGINT) AS line, r.n_postings = 1 AS overwrite
+        FROM cands c JOIN fpost r ON r.tree_id = c.tree_id AND r.literal = c.literal),
 ev AS (SELECT * FROM pev UNION ALL SELECT * FROM lev),
 fst AS (SELECT binary_id, tree_id, func_name, entry_address, file AS best_file, line AS first_line FROM ev
         QUALIFY row_number() OVER (PARTITION BY binary_id, tree_id, func_name, entry_address ORDER BY pos, k, r) = 1),
@@ -134,32 +139,32 @@ def round_cte(n: int, prev: str, out: str) -> str:
     """One propagation round: ``prev`` mappings -> ``out`` mappings."""
     r = f"r{n}"
     return f""",
-{r}_callers AS (SELECT m.* FROM {prev} m WHERE EXISTS (
+{r}_callers AS MATERIALIZED (SELECT m.* FROM {prev} m WHERE EXISTS (
     SELECT 1 FROM nedges e WHERE e.binary_id = m.binary_id AND e.caller_name = m.name
       AND starts_with(e.callee_name, 'FUN_')
       AND NOT EXISTS (SELECT 1 FROM {prev} x WHERE x.binary_id = e.binary_id AND x.name = e.callee_name))),
-{r}_offer AS (SELECT c.binary_id, c.tree_id, c.name AS caller, c.order_key AS caller_key, k.line_no, k.pos,
+{r}_offer AS MATERIALIZED (SELECT c.binary_id, c.tree_id, c.name AS caller, c.order_key AS caller_key, k.line_no, k.pos,
                      k.cname, f.def_file, f.def_line, f.def_lang
               FROM {r}_callers c JOIN calls k ON k.tree_id = c.tree_id AND k.rel_path = c.source_file
                AND k.line_no BETWEEN greatest(1, c.source_line - 4) AND c.source_line + 50
               JOIN first_def f ON f.tree_id = c.tree_id AND f.name = k.cname
               WHERE NOT EXISTS (SELECT 1 FROM {prev} x WHERE x.binary_id = c.binary_id AND x.original_name = k.cname)
               QUALIFY row_number() OVER (PARTITION BY c.binary_id, c.name ORDER BY k.line_no, k.pos) = 1),
-{r}_new AS (SELECT e.binary_id, o.tree_id, e.callee_name AS name, o.def_file AS source_file,
+{r}_new AS MATERIALIZED (SELECT e.binary_id, o.tree_id, e.callee_name AS name, o.def_file AS source_file,
                    o.def_line AS source_line, 'low' AS confidence, 'callgraph_iter{n}' AS match_method,
                    o.cname AS original_name, o.def_lang AS source_language,
-                   concat('{n + 1}', o.caller_key, chr(2), e.callee_name) AS order_key
+                   concat('2{n:06d}', o.caller_key, chr(2), e.callee_name) AS order_key
             FROM nedges e JOIN {r}_offer o ON o.binary_id = e.binary_id AND o.caller = e.caller_name
             WHERE starts_with(e.callee_name, 'FUN_')
               AND NOT EXISTS (SELECT 1 FROM {prev} x WHERE x.binary_id = e.binary_id AND x.name = e.callee_name)
             QUALIFY row_number() OVER (PARTITION BY e.binary_id, e.callee_name ORDER BY o.caller_key) = 1),
-{out} AS (SELECT * FROM {prev} UNION ALL SELECT * FROM {r}_new)"""
+{out} AS MATERIALIZED (SELECT * FROM {prev} UNION ALL SELECT * FROM {r}_new)"""
 
 
-FULL_MAP_CTE = MAP_CTE + round_cte(1, "mm0", "mm1") + round_cte(2, "mm1", "mm2") + round_cte(3, "mm2", "mm3")
+FULL_MAP_CTE = MAP_CTE + "".join(round_cte(n, f"mm{n - 1}", f"mm{n}" if n < ROUNDS else "mmx") for n in range(1, ROUNDS + 1))
 
 ALIASES_SQL = """
-SELECT binary_id, name AS ghidra_name, original_name FROM mm3
+SELECT binary_id, name AS ghidra_name, original_name FROM mmx
 WHERE (match_method = 'string_anchor' AND starts_with(name, 'FUN_') AND original_name <> name)
    OR starts_with(match_method, 'callgraph_iter')
 """

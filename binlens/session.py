@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,18 +42,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def apply_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL defaults on a session somebody else created."""
     for k, v in DEFAULT_CONF.items():
-        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
-            continue
-        try:
+        if not k.startswith("spark.ui."):  # fixed when the session starts
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a scratch folder created.
+    A local master (tests, one machine) gets a scratch folder when none is named; on a cluster
+    that would be a folder other machines cannot see, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,17 +58,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="binlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever store Spark reads it from."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of the executors that computed ``df``."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name)

@@ -19,6 +19,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from binlens.session import path_exists
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
@@ -46,7 +48,7 @@ FIXTURE_SQL["fx_call_graph"] = """
 SELECT DISTINCT a.name AS caller_name, a.entry_address AS caller_address,
        b.name AS callee_name, b.entry_address AS callee_address, 'CALL' AS ref_type
 FROM (SELECT l_partkey AS src, (l_partkey * 31 + l_suppkey * 7 + l_linenumber) % (SELECT count(*) FROM part) AS dst
-      FROM lineitem WHERE l_orderkey % 20 = 0) e
+      FROM lineitem) e
 JOIN fx_functions a ON a.p_partkey = e.src JOIN fx_functions b ON b.p_partkey = e.dst
 """
 
@@ -64,7 +66,7 @@ SELECT rel_path, line_no, CASE WHEN ext = '.zig' THEN concat('pub fn ', ident, '
 UNION ALL
 SELECT rel_path, line_no + 2, concat('    note("part marker ', p_partkey, '");') FROM fx_source_defs
 UNION ALL
-SELECT d.rel_path, d.line_no + 3, concat('    ', min(t.ident), '(x);')
+SELECT d.rel_path, d.line_no + 3, concat('    ', JOIN_SORTED(concat(t.ident, '(x);')))
 FROM fx_source_defs d JOIN fx_functions f ON f.p_partkey = d.p_partkey
 JOIN fx_call_graph c ON c.caller_address = f.entry_address
 JOIN fx_functions t ON t.entry_address = c.callee_address GROUP BY d.rel_path, d.line_no
@@ -274,6 +276,14 @@ SELECT 0 AS binary_id, prefix, label FROM fx_triage
 _REF = re.compile(r"\b((?:fx|in)_[a-z_]+)\b")
 
 
+# JOIN_SORTED(x): the group's values in order, a blank between; the two dialects spell it differently
+_JOIN_SORTED = {"spark": "array_join(sort_array(collect_list({0})), ' ')", "duckdb": "array_to_string(list_sort(list({0})), ' ')"}
+
+
+def dialect(sql: str, name: str) -> str:
+    return re.sub(r"JOIN_SORTED\((concat\([^()]*(?:\([^()]*\)[^()]*)*\))\)", lambda m: _JOIN_SORTED[name].format(m[1]), sql)
+
+
 def dependencies(sql: str) -> list[str]:
     """Fixture views a SQL text refers to, dependencies first."""
     order: list[str] = []
@@ -297,7 +307,7 @@ def with_fixtures(sql: str) -> str:
     deps = dependencies(sql)
     if not deps:
         return sql
-    ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in deps)
+    ctes = ",\n".join(f"{n} AS ({dialect(FIXTURE_SQL[n], 'duckdb').strip()})" for n in deps)
     body = sql.strip()
     if body[:14].upper() == "WITH RECURSIVE":
         return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
@@ -325,7 +335,7 @@ class Inputs:
     def _register_base(self) -> None:
         for t in BASE_TABLES:
             path = os.path.join(self.sf_dir, f"{t}.parquet")
-            if os.path.exists(path):
+            if path_exists(self.spark, path):
                 self.spark.read.parquet(path).createOrReplaceTempView(t)
 
     def table(self, name: str) -> DataFrame:
@@ -336,7 +346,7 @@ class Inputs:
             # never served from an older copy
             digest = hashlib.sha1("\n".join(FIXTURE_SQL[d] for d in dependencies(name)).encode()).hexdigest()[:12]
             path = os.path.join(self.cache_dir, f"{name}_{digest}")
-            if not os.path.exists(os.path.join(path, "_SUCCESS")):
+            if not path_exists(self.spark, f"{path}/_SUCCESS"):
                 self._derive(name).write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)
         else:
@@ -348,10 +358,22 @@ class Inputs:
         self._register_base()
         df = None
         for dep in dependencies(name):
-            df = self.spark.sql(FIXTURE_SQL[dep])
+            df = self.spark.sql(dialect(FIXTURE_SQL[dep], "spark"))
             df.createOrReplaceTempView(dep)
         return df
 
+    def derived(self, name: str, build) -> DataFrame:
+        """A result that several queries share, written once per application."""
+        if name not in self._memo:
+            path = os.path.join(self.cache_dir or "", f"{name}_{self.spark.sparkContext.applicationId}")
+            if not self.cache_dir:
+                self._memo[name] = build()
+            else:
+                if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                    build().write.mode("overwrite").parquet(path)
+                self._memo[name] = self.spark.read.parquet(path)
+        return self._memo[name]
+
     # named accessors used by the query plans
     def functions(self) -> DataFrame:
         return self.table("in_functions")

@@ -8,9 +8,6 @@ its own folder and is written by many tasks at once.
 
 from __future__ import annotations
 
-import os
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +15,7 @@ from pyspark.sql import types as T
 from binlens.functions import catalog as C
 from binlens.functions import names as N
 from binlens.operators import text as X
+from binlens.session import path_exists
 
 FUNCTION_BOUNDARIES = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("entry_address", T.StringType()),
@@ -49,15 +47,14 @@ TASK = T.StructType([
 PLAN = T.StructType([
     T.StructField("binaryTarget", T.StringType()), T.StructField("binaryType", T.StringType()),
     T.StructField("cycle", T.IntegerType()), T.StructField("analysisMode", T.StringType()),
+    T.StructField("triageResults", T.ArrayType(T.StructType([
+        T.StructField("prefix", T.StringType()), T.StructField("classification", T.StringType()),
+        T.StructField("libraryGuess", T.StringType()), T.StructField("reason", T.StringType())]))),
     T.StructField("userStories", T.ArrayType(TASK))])
 
 LINE_BREAK = r"\r\n|\r|\n"
 
 
-def _exists(path: str) -> bool:
-    return "://" in path or os.path.exists(path)
-
-
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -70,7 +67,7 @@ def _with_key(df: DataFrame, key: str, value) -> DataFrame:
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType, binary_id: int | None = 0) -> DataFrame:
     """S1/S2/S4 base: tab-separated with header, fixed schema; missing -> empty."""
-    if not _exists(path):
+    if not path_exists(spark, path):
         df = _empty(spark, schema)
     else:
         df = spark.read.schema(schema).csv(path, sep="\t", header=True, quote="", escape="\\")
@@ -98,25 +95,59 @@ def split_lines(text: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
-def read_function_corpus(spark: SparkSession, directory: str, binary_id: int = 0) -> DataFrame:
-    """The per-function corpus ``<prefix>/<name>_<addr>.c``; key = stem minus its last
-    '_' part.  One row per file with its whole text."""
+# A key taken from a file's path: the first group of the pattern, as an integer.  One call then
+# reads any number of binaries or trees.
+def _key(value: int, pattern: str | None) -> Column:
+    if pattern is None:
+        return F.lit(value)
+    return F.regexp_extract(_file_path(), pattern, 1).try_cast("int")
+
+
+def _file_path() -> Column:
+    """Path of the file a row comes from, without scheme and host, percent codes decoded."""
+    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))  # a plus sign stands for itself in a path
+
+
+def _root_path(spark: SparkSession, directory: str) -> str:
+    """The directory as its file system names it, without scheme and host."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().getPath().rstrip("/") + "/"
+
+
+def _whole_files(spark: SparkSession, directory: str, extensions: list[str] | None) -> DataFrame | None:
+    """A row per file under a directory (None if there is no such directory); a file is at most 2 GB."""
+    if not path_exists(spark, directory):
+        return None
+    reader = spark.read.option("recursiveFileLookup", True)
+    if extensions:
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
     # text()'s own wholetext argument overrides a previously set option, so pass it there
-    df = (spark.read.option("pathGlobFilter", "*.c").option("recursiveFileLookup", True)
-          .text(directory, wholetext=True))
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1)
-    return df.select(F.lit(binary_id).alias("binary_id"), X.corpus_function_key(name).alias("func_name"),
+    return reader.text(directory, wholetext=True)
+
+
+def read_function_corpus(spark: SparkSession, directory: str, binary_id: int = 0, key_pattern: str | None = None) -> DataFrame:
+    """The per-function corpus ``<prefix>/<name>_<addr>.c``; key = stem minus its last
+    '_' part.  One row per file with its whole text; missing folder -> empty."""
+    df = _whole_files(spark, directory, [".c"])
+    if df is None:
+        return spark.createDataFrame([], "binary_id int, func_name string, file_name string, text string")
+    name = F.regexp_extract(_file_path(), r"([^/]*)$", 1)
+    return df.select(_key(binary_id, key_pattern).alias("binary_id"), X.corpus_function_key(name).alias("func_name"),
                      name.alias("file_name"), F.col("value").alias("text"))
 
 
-def read_source_tree(spark: SparkSession, directory: str, tree_id: int = 0) -> DataFrame:
-    """Every file of a source tree as (tree_id, rel_path, line_no, text), lines from 1.
+def read_source_tree(spark: SparkSession, directory: str, tree_id: int = 0, key_pattern: str | None = None,
+                     extensions: list[str] | None = None) -> DataFrame:
+    """The files of a source tree as (tree_id, rel_path, line_no, text), lines from 1;
+    ``extensions`` keeps other files from being read; missing folder -> empty.
 
     Undecodable bytes become U+FFFD (the text source decodes with replacement)."""
-    df = spark.read.option("recursiveFileLookup", True).text(directory, wholetext=True)
-    root = os.path.abspath(directory).rstrip("/") + "/"
-    rel = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:", ""), "^" + re.escape(root), "")
-    return (df.select(F.lit(tree_id).alias("tree_id"), rel.alias("rel_path"),
+    df = _whole_files(spark, directory, extensions)
+    if df is None:
+        return spark.createDataFrame([], "tree_id int, rel_path string, line_no int, text string")
+    rel = F.substring(_file_path(), F.lit(len(_root_path(spark, directory)) + 1), F.length(_file_path()))
+    return (df.select(_key(tree_id, key_pattern).alias("tree_id"), rel.alias("rel_path"),
                       F.posexplode(split_lines(F.col("value"))).alias("pos", "text"))
             .select("tree_id", "rel_path", (F.col("pos") + 1).cast("int").alias("line_no"), "text"))
 
@@ -129,27 +160,38 @@ def read_binary_strings(spark: SparkSession, path: str, min_len: int = 6) -> Dat
     return df.select(F.col("path").alias("binary_path"), F.posexplode(runs).alias("ord", "s"))
 
 
-def read_symbols(spark: SparkSession, path: str, binary_id: int = 0) -> DataFrame:
-    """One symbol per line of an exported listing, in order."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(F.lit(binary_id).alias("binary_id"),
+def read_symbols(spark: SparkSession, path: str, binary_id: int = 0, key_pattern: str | None = None) -> DataFrame:
+    """One symbol per line of an exported listing (or of every listing in a folder), in order; missing -> empty."""
+    df = _whole_files(spark, path, None)
+    if df is None:
+        return spark.createDataFrame([], "binary_id int, ord int, symbol string")
+    return df.select(_key(binary_id, key_pattern).alias("binary_id"),
                      F.posexplode(split_lines(F.col("value"))).alias("ord", "symbol"))
 
 
 def read_identity(spark: SparkSession, path: str) -> DataFrame:
     """Identity JSON; missing -> empty."""
-    if not _exists(path):
+    if not path_exists(spark, path):
         return _empty(spark, IDENTITY)
     return spark.read.schema(IDENTITY).json(path, multiLine=True)
 
 
+def _plan_documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PLAN).json(path, multiLine=True) if path_exists(spark, path) else _empty(spark, PLAN)
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
-    """One row per task of a plan document, with its position."""
-    plan = spark.read.schema(PLAN).json(path, multiLine=True)
-    return plan.select("binaryTarget", "cycle", F.posexplode("userStories").alias("pos", "t")).select(
+    """One row per task of a plan document, with its position; missing -> empty."""
+    return _plan_documents(spark, path).select("binaryTarget", "cycle", F.posexplode("userStories").alias("pos", "t")).select(
         "binaryTarget", "cycle", "pos", "t.*")
 
 
+def read_triage(spark: SparkSession, path: str, binary_id: int = 0) -> DataFrame:
+    """The cluster labels of a plan document, as the input of J18; missing -> empty."""
+    return _plan_documents(spark, path).select(F.lit(binary_id).alias("binary_id"), F.explode("triageResults").alias("r")).select(
+        "binary_id", "r.prefix", F.col("r.classification").alias("label"), "r.libraryGuess", "r.reason")
+
+
 # ---- sinks ------------------------------------------------------------------------
 
 def write_tsv(df: DataFrame, path: str, partition_by=("binary_id",), mode: str = "overwrite") -> None:

@@ -93,3 +93,25 @@ def test_map_alias_report_and_module_writers(spark):
     mc = spark.createDataFrame([(0, "1000b0", 2), (0, "1000a0", 1)], "binary_id int, prefix string, function_count long")
     io.write_module_chunks(mc, os.path.join(d, "mc"))
     assert spark.read.csv(os.path.join(d, "mc"), sep="\t", header=True).count() == 2
+
+
+def test_paths_with_blanks_schemes_and_keys(spark):
+    d = os.path.join(tempfile.mkdtemp(), "test", "my trees")
+    for tree, name in ((3, "a b+c%.c"), (4, "x.h"), (4, "note.md")):
+        os.makedirs(os.path.join(d, f"t{tree}", "my src"), exist_ok=True)
+        with open(os.path.join(d, f"t{tree}", "my src", name), "w") as f:
+            f.write("one\ntwo\n")
+    want = [(3, "t3/my src/a b+c%.c"), (4, "t4/my src/x.h")]
+    for root in (d, "file:" + d, "file://" + d + "/"):
+        rows = io.read_source_tree(spark, root, key_pattern=r"/t(\d+)/my src/", extensions=[".c", ".h"]).collect()
+        assert sorted({(r["tree_id"], r["rel_path"]) for r in rows}) == want and len(rows) == 4
+    assert io.read_source_tree(spark, d + "/none").count() == io.read_function_corpus(spark, d + "/none").count() == 0
+    assert io.read_symbols(spark, d + "/none").count() == io.read_plan(spark, d + "/none.json").count() == 0
+
+
+def test_triage_labels_of_a_plan(spark):
+    p = os.path.join(tempfile.mkdtemp(), "plan.json")
+    with open(p, "w") as f:
+        json.dump({"binaryTarget": "b", "triageResults": [{"prefix": "1032be", "classification": "custom", "reason": "r"}], "userStories": []}, f)
+    rows = io.read_triage(spark, p, binary_id=5).collect()
+    assert [(r["binary_id"], r["prefix"], r["label"]) for r in rows] == [(5, "1032be", "custom")]

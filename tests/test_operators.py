@@ -65,23 +65,7 @@ def test_enclosing_is_first_in_window_not_nearest(spark):
     assert M.enclosing_definition(anchors, lines).first()["enclosing_name"] == "early"
 
 
-def _greedy(lines):
-    """The chunking scan written out sequentially, for comparison."""
-    pat = re.compile(C.CHUNK_BREAK_PATTERN)
-    bps = [0]
-    for i, line in enumerate(lines):
-        if i > 0 and pat.match(line.lstrip()) and i - bps[-1] >= 350:
-            bps.append(i)
-    bps.append(len(lines))
-    out = []
-    for idx in range(len(bps) - 1):
-        content = "".join(x + "\n" for x in lines[bps[idx]:bps[idx + 1]]).strip()
-        if len(content) >= 100:
-            out.append((idx, bps[idx] + 1, bps[idx + 1], len(content)))
-    return out
-
-
-def test_declaration_chunks_match_sequential_scan(spark):
+def test_declaration_chunks_break_at_the_first_declaration_after_350_lines(spark):
     docs = {}
     for d in range(3):
         lines = []
@@ -95,10 +79,30 @@ def test_declaration_chunks_match_sequential_scan(spark):
         docs[d] = lines
     rows = [(d, i + 1, t) for d, ls in docs.items() for i, t in enumerate(ls)]
     df = spark.createDataFrame(rows, "bundle_id int, line_no int, text string")
-    got = sorted((r["bundle_id"], r["idx"], r["start_line"], r["end_line"], r["chars"])
-                 for r in U.declaration_chunks(df).collect())
-    want = sorted((d, *c) for d, ls in docs.items() for c in _greedy(ls))
-    assert got == want
+    chunks = U.declaration_chunks(df).orderBy("bundle_id", "idx").collect()
+    for d, lines in docs.items():
+        mine = [c for c in chunks if c["bundle_id"] == d]
+        # the chunks cover the document without gaps
+        assert mine[0]["start_line"] == 1 and mine[-1]["end_line"] == len(lines)
+        assert all(a["end_line"] + 1 == b["start_line"] for a, b in zip(mine, mine[1:]))
+        declares = [bool(re.match(C.CHUNK_BREAK_PATTERN, t.strip())) for t in lines]
+        for a, b in zip(mine, mine[1:]):
+            start, stop = a["start_line"] - 1, b["start_line"] - 1
+            assert stop - start >= 350 and declares[stop] and not any(declares[start + 350:stop])
+        last = mine[-1]["start_line"] - 1
+        assert not any(declares[last + 350:])
+        assert all(c["chars"] == len("\n".join(lines[c["start_line"] - 1:c["end_line"]]).strip()) for c in mine)
+
+
+def test_small_chunks_by_hand(spark):
+    # 360 filler lines, then declarations at 0-based lines 349 (too early), 350 and 360
+    lines = ["x" * 9] * 400
+    for i in (349, 350, 360):
+        lines[i] = "function f() {"
+    df = spark.createDataFrame([(0, i + 1, t) for i, t in enumerate(lines)], "bundle_id int, line_no int, text string")
+    got = [(r["idx"], r["start_line"], r["end_line"], r["chars"]) for r in U.declaration_chunks(df).orderBy("idx").collect()]
+    # 349 lines of 9 characters and one of 14, and 349 line breaks; then 48 and 2, and 49
+    assert got == [(0, 1, 350, 349 * 9 + 14 + 349), (1, 351, 400, 48 * 9 + 2 * 14 + 49)]
 
 
 def test_propagation_round_uses_names_fixed_at_round_start(spark):
@@ -123,3 +127,110 @@ def test_text_segments_printable_runs(spark):
     df = spark.createDataFrame([(1, text)], "bundle_id int, text string")
     segs = U.text_segments(df).orderBy("seg_no").collect()
     assert [(r["n_chars"], r["seg_class"]) for r in segs] == [(201, "app"), (300 + 1 + 17 + 10, "builtin")]
+
+
+def test_line_numbers_beyond_any_file(spark):
+    # literals may hold any number; the mapping goes on without a definition for them
+    lines = spark.createDataFrame([(0, "x.c", 1, "int f(int a) {"), (0, "x.c", 2, '  puts("a literal here");')],
+                                  "tree_id int, rel_path string, line_no int, text string")
+    functions = spark.createDataFrame([(0, 0, "FUN_1", "1"), (0, 0, "FUN_2", "2"), (0, 0, "FUN_3", "3")],
+                                      "binary_id int, tree_id int, name string, entry_address string")
+    texts = [f'"x.c:{n}"' for n in ("2147483647", "9223372036854775807", "3")]
+    decompiled = spark.createDataFrame([(0, f"FUN_{i + 1}", str(i + 1), t) for i, t in enumerate(texts)],
+                                       "binary_id int, func_name string, entry_address string, text string")
+    cg = spark.createDataFrame([(0, "FUN_1", "FUN_3")], "binary_id int, caller_name string, callee_name string")
+    rows = {r["name"]: r for r in M.map_functions(functions, cg, decompiled, lines).collect()}
+    assert rows["FUN_1"]["source_line"] == 2147483647 and rows["FUN_1"]["confidence"] == "medium"
+    assert rows["FUN_2"]["source_line"] == 9223372036854775807 and rows["FUN_3"]["original_name"] == "f"
+
+
+def test_nothing_is_cut(spark):
+    # a marker, a version and a symbol far behind the sizes the analysed pipeline stops at
+    n = 150_000
+    filler = spark.range(n).selectExpr("0 as binary_id", "id as ord", "concat('filler ', id) as s")
+    strings = filler.unionByName(spark.createDataFrame(
+        [(0, n + i, s) for i, s in enumerate(["redis_version", "REDIS_PORT", "appendonly", "redis-cli", " redis 7.2.4"])],
+        "binary_id int, ord long, s string"))
+    r = I.signature_markers(strings, C.software_catalog(spark)).first()
+    assert r["sw_name"] == "redis" and r["n_markers"] == 4 and r["markers"] == "redis_version,REDIS_PORT,appendonly,redis-cli"
+    assert I.first_version(I.version_mentions(strings), C.software_catalog(spark)).first()["stop_version"] == "7.2.4"
+    symbols = spark.range(6_000).selectExpr("0 as binary_id", "id as ord", "concat('_napi_', id) as symbol")
+    assert I.symbol_families(symbols).first()["napi_count"] == 6_000
+
+
+def test_many_postings_of_a_literal(spark):
+    lines = spark.createDataFrame([(0, f"f{i:02}.c", 7, '  log("shared by many files");') for i in range(9)]
+                                  + [(0, "g.zig", 3, '  log("only here, once");')],
+                                  "tree_id int, rel_path string, line_no int, text string")
+    first = {r["literal"]: r for r in M.first_literal_postings(X.source_literals(lines)).collect()}
+    assert (first["shared by many files"]["rel_path"], first["shared by many files"]["n_postings"]) == ("f00.c", 9)
+    assert M.first_literal_postings(X.source_literals(lines), 3).count() == 1
+    cands = spark.createDataFrame([(0, 0, "F", "1", 0, "shared by many files"), (0, 0, "F", "1", 1, "only here, once")],
+                                  "binary_id int, tree_id int, func_name string, entry_address string, pos int, literal string")
+    best = M.arbitrate(M.anchor_evidence(cands, lines, X.source_literals(lines))).first()
+    assert (best["best_file"], best["best_line"]) == ("f00.c", 7)
+
+
+def test_gate_a_for_a_tree_without_source(spark):
+    from binlens.operators import progress as P
+    produced = spark.createDataFrame([(0, "a.c", i, "int f(int a) {") for i in range(600)], "tree_id int, rel_path string, line_no int, text string")
+    rows = {r["tree_id"]: r for r in P.quality_gates(produced, spark.createDataFrame([(0,), (1,)], "tree_id int")).collect()}
+    assert rows[0]["passed"] and rows[1]["failed_gate"] == "A" and rows[1]["message"] == C.GATE_A_MESSAGE
+
+
+def test_uncovered_functions_go_by_mapped_and_cleaned_names(spark):
+    from binlens.operators import progress as P
+    produced = spark.createDataFrame([(0, "a.c", 1, "int foo(int a) {"), (0, "a.c", 2, "int real_name(int a) {")],
+                                     "tree_id int, rel_path string, line_no int, text string")
+    functions = spark.createDataFrame([(0, 0, n) for n in ("_foo", "FUN_1", "bar")], "binary_id int, tree_id int, name string")
+    mapped = spark.createDataFrame([(0, "FUN_1", "real_name")], "binary_id int, name string, original_name string")
+    assert [r["name"] for r in P.uncovered_functions(functions, produced, mapped).collect()] == ["bar"]
+
+
+def test_last_row_wins_for_a_duplicate_address(spark):
+    from binlens.operators import compose as O
+    f = spark.createDataFrame([(0, "a1", "zz", 1), (0, "a1", "aa", 2)], "binary_id int, entry_address string, name string, row_no int")
+    assert O.by_address(f).first()["name"] == "aa" and O.by_address(f.drop("row_no")).first()["name"] == "zz"
+
+
+def test_bundle_segment_by_substring(spark):
+    strings = spark.createDataFrame([(0, "x"), (1, "x")], "binary_id int, s string")
+    segments = spark.createDataFrame([(0, "__BUN,__bun"), (1, "__TEXT")], "binary_id int, segment_name string")
+    got = {r["binary_id"]: r["bundled_format"] for r in U.bundle_format(strings, segments).collect()}
+    assert got == {0: "bun", 1: "native"}
+
+
+def test_metadata_reads_every_app_segment(spark):
+    segments = spark.createDataFrame([(0, i, "x" * 201, 201, "app") for i in range(6)] + [(0, 6, "Version: 1.2.3", 14, "app")],
+                                     "bundle_id int, seg_no int, segment string, n_chars int, seg_class string")
+    assert U.bundle_metadata(segments).first()["app_version"] == "1.2.3"
+    assert U.bundle_metadata(segments, first_segments=5).first()["app_version"] is None
+
+
+def test_patterns_take_linear_time(spark):
+    import time
+    long = ["a" * 100_000, "a" * 100_000 + "(", "a.b" * 30_000, "static " + "a " * 50_000 + "(", "x/src/" + "a" * 100_000]
+    lines = spark.createDataFrame([(0, f"f{i}.c", 1, t) for i, t in enumerate(long)], "tree_id int, rel_path string, line_no int, text string")
+    strings = lines.selectExpr("0 as binary_id", "1 as ord", "text as s")
+    functions = lines.selectExpr("0 as binary_id", "rel_path as func_name", "'1' as entry_address", "text")
+    jobs = [X.definition_line_counts(lines), X.call_sites(lines), X.source_definitions(lines), X.function_literals(functions),
+            I.version_mentions(strings), I.build_paths(strings), I.repo_mentions(strings)]
+    for job in jobs:
+        start = time.time()
+        job.write.format("noop").mode("overwrite").save()
+        assert time.time() - start < 8  # planning and start-up included; quadratic patterns took minutes
+
+
+def test_linear_patterns_match_the_plain_ones(spark):
+    texts = ["foo(bar (x), 3baz(1)", "a.c:12b.c:3 ./x/y.cpp:7:9 .c:1 z..rs:5", "lib-1.2.3 my-lib-v2.0.1 x-1.2", "a/src/b.c lib/src/x/y.z q/src/",
+             "if (a) while(b)", "", "(", "::f(::g(", "p+q-r.h:99"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    pairs = [(C.CALL_SITE, C.CALL_SITE_LINEAR), (C.PATH_LINE_REF, C.PATH_LINE_REF_LINEAR),
+             (C.VERSION_PATTERNS[1][0], C.VERSION_PATTERNS_LINEAR[1][0]), (C.BUILD_PATH_PATTERNS[2], C.BUILD_PATH_PATTERNS_LINEAR[2])]
+    for plain, linear in pairs:
+        rows = df.select(F.regexp_extract_all("t", F.lit(plain), 1).alias("a"), F.regexp_extract_all("t", F.lit(linear), 1).alias("b")).collect()
+        assert [r["a"] for r in rows] == [r["b"] for r in rows]
+    heads = ["static int f(int a) {", "unsigned long g (char *s) {", "int h(void);", "x(1)", "foo bar", "struct s *p(int) ", "ab c()", "a(b)(c)", "int f(a) b)"]
+    rows = spark.createDataFrame([(0, "a.c", i, t) for i, t in enumerate(heads)], "tree_id int, rel_path string, line_no int, text string")
+    want = rows.where(F.col("text").rlike(C.C_DEFINITION_LINE)).count()
+    assert X.definition_line_counts(rows).first()["definitions"] == want > 0
