@@ -209,32 +209,26 @@ def declaration_chunks(lines: DataFrame) -> DataFrame:
 
 # ---- X16 / K7 --------------------------------------------------------------------------
 
+def chunk_documents(lines: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Text of each kept chunk; as one row, since a chunk is one file of the output."""
+    ranges = chunks.select(D, "idx", (F.col("start_line") - 1).alias("start"), F.col("end_line").alias("end"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"])
+    return assign_chunks(lines, ranges).groupBy(D, "idx").agg(F.array_join(parts, "\n").alias("content"))
+
+
 def chunk_hints(lines: DataFrame, chunks: DataFrame) -> DataFrame:
-    """X16 + K7: the first five error / url / keyword literals of each kept chunk.
+    """X16 + K7: the first five error / url / keyword literals of each kept chunk, as arrays.
 
-    Literals are found per line (a literal spanning two lines is not found)."""
-    ranges = chunks.select(D, "idx", (F.col("start_line") - 1).alias("start"), F.col("end_line").alias("end"))
-    assigned = assign_chunks(lines.where(F.instr("text", '"') > 0), ranges)
-    lits = assigned.select(D, "idx", "i", F.posexplode(F.regexp_extract_all("text", F.lit(C.SOURCE_LITERAL), 1))
-                           .alias("pos", "lit"))
-    low = F.lower("lit")
+    Literals are found in the chunk's whole text, so they may span lines."""
+    lits = F.regexp_extract_all("content", F.lit(C.SOURCE_LITERAL), 1)
     kinds = {
-        "hint_errors": N.contains_any(low, C.HINT_ERROR_WORDS),
-        "hint_urls": (F.instr("lit", "/") > 0) & N.contains_any("lit", C.HINT_URL_WORDS),
-        "hint_keywords": N.contains_any(low, C.HINT_KEYWORDS),
+        "hint_errors": lambda x: N.contains_any(F.lower(x), C.HINT_ERROR_WORDS),
+        "hint_urls": lambda x: (F.instr(x, "/") > 0) & N.contains_any(x, C.HINT_URL_WORDS),
+        "hint_keywords": lambda x: N.contains_any(F.lower(x), C.HINT_KEYWORDS),
     }
-    w = Window.partitionBy(D, "idx", "kind").orderBy("i", "pos")
-    tagged = None
-    for k, cond in kinds.items():
-        part = lits.where(cond).select(D, "idx", "i", "pos", "lit", F.lit(k).alias("kind"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    firsts = (tagged.withColumn("r", F.row_number().over(w)).where(F.col("r") <= C.HINT_LIMIT)
-              .groupBy(D, "idx").pivot("kind", list(kinds))
-              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "pos", "lit"))),
-                                            lambda x: x["lit"]), " | ")))
-    base = chunks.select(D, "idx")
-    out = base.join(firsts, [D, "idx"], "left")
-    return out.select(D, "idx", *[F.coalesce(F.col(k), F.lit("")).alias(k) for k in kinds])
+    found = chunk_documents(lines, chunks).select(D, "idx", lits.alias("lits"))
+    firsts = found.select(D, "idx", *[F.slice(F.filter("lits", cond), 1, C.HINT_LIMIT).alias(k) for k, cond in kinds.items()])
+    return chunks.select(D, "idx").join(firsts, [D, "idx"], "left")
 
 
 def chunk_index_summary(lines: DataFrame, chunks: DataFrame) -> DataFrame:

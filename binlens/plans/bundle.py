@@ -58,15 +58,11 @@ chunks AS (SELECT r.bundle_id, r.idx, printf('chunk_%03d_L%d-L%d.js', r.idx, r.s
                   CAST(r.start_i + 1 AS INTEGER) AS start_line, CAST(r.end_i AS INTEGER) AS end_line,
                   CAST(r.end_i - r.start_i AS INTEGER) AS lines, CAST(coalesce(c.chars, 0) AS INTEGER) AS chars
            FROM ranges r LEFT JOIN chars c USING (bundle_id, idx) WHERE coalesce(c.chars, 0) >= {C.CHUNK_MIN_CHARS}),
-hl AS (SELECT bundle_id, idx, i, unnest(m) AS lit, generate_subscripts(m, 1) AS pos
-       FROM (SELECT a.*, regexp_extract_all(a.text, '{_LIT}', 1) AS m FROM asg a
-             JOIN chunks k USING (bundle_id, idx)) x),
-tagged AS (SELECT *, 'hint_errors' AS kind FROM hl WHERE {_ERR}
-           UNION ALL SELECT *, 'hint_urls' FROM hl WHERE {_URL}
-           UNION ALL SELECT *, 'hint_keywords' FROM hl WHERE {_KW}),
-firsts AS (SELECT bundle_id, idx, kind, string_agg(lit, ' | ' ORDER BY i, pos) AS v
-           FROM (SELECT * FROM tagged QUALIFY row_number() OVER (PARTITION BY bundle_id, idx, kind ORDER BY i, pos) <= {C.HINT_LIMIT}) t
-           GROUP BY ALL)
+hl AS (SELECT bundle_id, idx, regexp_extract_all(string_agg(text, chr(10) ORDER BY i), '{_LIT}', 1) AS lits
+       FROM asg JOIN chunks USING (bundle_id, idx) GROUP BY ALL),
+firsts AS (SELECT bundle_id, idx, list_filter(lits, lambda lit: {_ERR})[1:{C.HINT_LIMIT}] AS hint_errors,
+                  list_filter(lits, lambda lit: {_URL})[1:{C.HINT_LIMIT}] AS hint_urls,
+                  list_filter(lits, lambda lit: {_KW})[1:{C.HINT_LIMIT}] AS hint_keywords FROM hl)
 """
 
 
@@ -135,16 +131,26 @@ def declaration_chunks(inp):
 
 @query("chunk_hints", f"""
 WITH RECURSIVE {CHUNK_CTE}
-SELECT c.bundle_id, c.idx, coalesce(e.v, '') AS hint_errors, coalesce(u.v, '') AS hint_urls,
-       coalesce(k.v, '') AS hint_keywords
-FROM chunks c
-LEFT JOIN firsts e ON e.bundle_id = c.bundle_id AND e.idx = c.idx AND e.kind = 'hint_errors'
-LEFT JOIN firsts u ON u.bundle_id = c.bundle_id AND u.idx = c.idx AND u.kind = 'hint_urls'
-LEFT JOIN firsts k ON k.bundle_id = c.bundle_id AND k.idx = c.idx AND k.kind = 'hint_keywords'
+SELECT c.bundle_id, c.idx, coalesce(array_to_string(f.hint_errors, ' | '), '') AS hint_errors,
+       coalesce(array_to_string(f.hint_urls, ' | '), '') AS hint_urls,
+       coalesce(array_to_string(f.hint_keywords, ' | '), '') AS hint_keywords
+FROM chunks c LEFT JOIN firsts f ON f.bundle_id = c.bundle_id AND f.idx = c.idx
 """)
 def chunk_hints(inp):
     lines = inp.table("fx_bundle_lines")
-    return U.chunk_hints(lines, U.declaration_chunks(lines))
+    hints = U.chunk_hints(lines, U.declaration_chunks(lines))
+    return hints.withColumns({k: F.coalesce(F.array_join(k, " | "), F.lit("")) for k in ("hint_errors", "hint_urls", "hint_keywords")})
+
+
+@query("chunk_documents", f"""
+WITH RECURSIVE {CHUNK_CTE}
+SELECT bundle_id, idx, md5(string_agg(text, chr(10) ORDER BY i)) AS content_md5 FROM asg JOIN chunks USING (bundle_id, idx)
+GROUP BY ALL
+""")
+def chunk_documents(inp):
+    """The text of every kept chunk."""
+    lines = inp.table("fx_bundle_lines")
+    return U.chunk_documents(lines, U.declaration_chunks(lines)).select("bundle_id", "idx", F.md5("content").alias("content_md5"))
 
 
 @query("chunk_index_summary", f"""

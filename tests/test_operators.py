@@ -234,3 +234,10 @@ def test_linear_patterns_match_the_plain_ones(spark):
     rows = spark.createDataFrame([(0, "a.c", i, t) for i, t in enumerate(heads)], "tree_id int, rel_path string, line_no int, text string")
     want = rows.where(F.col("text").rlike(C.C_DEFINITION_LINE)).count()
     assert X.definition_line_counts(rows).first()["definitions"] == want > 0
+
+
+def test_hint_literal_over_a_line_break(spark):
+    text = ['say("one error', 'in two lines");', 'get("https://api.example.com/x");'] + ["x" * 60] * 5
+    lines = spark.createDataFrame([(0, i + 1, t) for i, t in enumerate(text)], "bundle_id int, line_no int, text string")
+    r = U.chunk_hints(lines, U.declaration_chunks(lines)).first()
+    assert r["hint_errors"] == ["one error\nin two lines"] and r["hint_urls"] == ["https://api.example.com/x"] and r["hint_keywords"] == []
