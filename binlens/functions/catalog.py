@@ -152,6 +152,14 @@ CATEGORY_RULES = [
     ("switch_cases", ["caseD_", "switchD_"]),
 ]
 LIBC_STYLE_MAX_LEN = 30
+
+# ---- fixed values: categories of the composition document, with their descriptions ----
+CATEGORY_DESCRIPTIONS = {
+    "framework": "Mapped to framework source (already known)",
+    "framework_propagated": "Called only by framework (likely inlined/optimized framework code)",
+    "compiler_system": None,
+    "unknown": "Unclassified — to be triaged by agent into third-party vs custom",
+}
 AUTO_NAME_PREFIXES = ["FUN_", "thunk_"]
 
 # ---- fixed values: per-function corpus formats (header line, combined-file header) ----

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from binlens.functions import names as N
 from binlens.operators import compose as O
+from binlens.operators import reports as R
 from binlens.plans.registry import query
 
 # Shared oracle CTEs: the composition of fixture binary 0, written independently in SQL.
@@ -157,6 +158,37 @@ def cluster_summary_top30(inp):
     return O.top_clusters(O.cluster_summary(_comp(inp), inp.call_graph()))
 
 
+@query("composition_report", f"""
+WITH {COMP_CTE},
+n AS (SELECT binary_id, count(*) AS total_functions, count(*) FILTER (WHERE final_category = 'framework') AS fw,
+             count(*) FILTER (WHERE final_category = 'framework_propagated') AS fwp,
+             count(*) FILTER (WHERE final_category = 'compiler_system') AS cs,
+             count(*) FILTER (WHERE final_category = 'unknown') AS un FROM comp GROUP BY 1),
+sc AS (SELECT binary_id, string_agg(concat(subcategory, '=', n), ',' ORDER BY subcategory) AS subcategories
+       FROM (SELECT binary_id, subcategory, count(*) AS n FROM comp WHERE category = 'compiler_system' GROUP BY ALL) x GROUP BY 1),
+tc AS (SELECT binary_id, count(*) AS cluster_count FROM clusters GROUP BY 1),
+tp AS (SELECT binary_id, string_agg(concat(prefix, ':', function_count, ':', total_bytes, ':', framework_api_calls), ',' ORDER BY r) AS tops
+       FROM (SELECT *, row_number() OVER (PARTITION BY binary_id ORDER BY function_count DESC, first_address) AS r
+             FROM clusters QUALIFY r <= 30) x GROUP BY 1)
+SELECT n.binary_id, n.total_functions, n.fw AS framework, n.fwp AS framework_propagated, n.cs AS compiler_system, n.un AS unknown,
+       round(n.fw * 100.0 / n.total_functions, 1) AS framework_pct, sc.subcategories, tc.cluster_count, tp.tops AS top_clusters,
+       n.un AS analysis_target_count,
+       CASE WHEN n.fw > n.total_functions * 0.1 THEN 'custom_extraction' ELSE 'full_reconstruction' END AS mode
+FROM n LEFT JOIN sc USING (binary_id) LEFT JOIN tc USING (binary_id) LEFT JOIN tp USING (binary_id)
+""")
+def composition_report(inp):
+    """The nested document, flattened here for the comparison only."""
+    c = R.composition_report(_comp(inp), inp.call_graph())
+    cat = F.col("categories")
+    pairs = F.transform(F.map_entries(cat["compiler_system"]["subcategories"]), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    tops = F.transform(cat["unknown"]["top_clusters"], lambda t: F.concat_ws(
+        ":", t["prefix"], t["function_count"].cast("string"), t["total_bytes"].cast("string"), t["framework_api_calls"].cast("string")))
+    return c.select("binary_id", "total_functions", *[cat[x]["count"].alias(x) for x in (
+        "framework", "framework_propagated", "compiler_system", "unknown")], cat["framework"]["pct"].alias("framework_pct"),
+        F.array_join(pairs, ",").alias("subcategories"), cat["unknown"]["cluster_count"].alias("cluster_count"),
+        F.array_join(tops, ",").alias("top_clusters"), "analysis_target_count", "mode")
+
+
 @query("call_edges_by_name", """
 SELECT DISTINCT binary_id, caller_name, callee_name FROM in_call_graph
 """)

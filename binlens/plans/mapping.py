@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from binlens.operators import mapping as M
+from binlens.operators import reports as R
 from binlens.operators import text as X
 from binlens.plans.registry import query
 from binlens.plans.sqlparts import ALIASES_SQL, FULL_MAP_CTE, MAP_CTE
@@ -143,3 +144,24 @@ UNION ALL SELECT binary_id, 'by_language', source_language, count(*) FROM mmx GR
 """)
 def mapping_breakdown(inp):
     return M.mapping_breakdown(_all_mappings(inp))
+
+
+_COUNTER = "(SELECT binary_id, string_agg(concat({0}, '=', n), ',' ORDER BY {0}) AS v FROM (SELECT binary_id, {0}, count(*) AS n FROM mmx GROUP BY ALL) x GROUP BY 1)"
+
+
+@query("mapping_report", f"""
+WITH {FULL_MAP_CTE}
+SELECT t.binary_id, t.total_functions, m.n AS mapped_functions, a.v AS by_method, c.v AS by_confidence, l.v AS by_language
+FROM (SELECT binary_id, count(*) AS total_functions FROM fn GROUP BY 1) t
+LEFT JOIN (SELECT binary_id, count(*) AS n FROM mmx GROUP BY 1) m USING (binary_id)
+LEFT JOIN {_COUNTER.format('match_method')} a USING (binary_id)
+LEFT JOIN {_COUNTER.format('confidence')} c USING (binary_id)
+LEFT JOIN {_COUNTER.format('source_language')} l USING (binary_id)
+""")
+def mapping_report(inp):
+    """The nested record, its maps flattened here for the comparison only."""
+    r = R.mapping_report(inp.functions(), _all_mappings(inp))
+
+    def flat(name):
+        return F.array_join(F.transform(F.map_entries(name), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(name)
+    return r.select("binary_id", "total_functions", "mapped_functions", flat("by_method"), flat("by_confidence"), flat("by_language"))

@@ -115,3 +115,33 @@ def test_triage_labels_of_a_plan(spark):
         json.dump({"binaryTarget": "b", "triageResults": [{"prefix": "1032be", "classification": "custom", "reason": "r"}], "userStories": []}, f)
     rows = io.read_triage(spark, p, binary_id=5).collect()
     assert [(r["binary_id"], r["prefix"], r["label"]) for r in rows] == [(5, "1032be", "custom")]
+
+
+def test_nested_reports_round_trip(spark, inputs):
+    from binlens.operators import bundle as U
+    from binlens.operators import compose as O
+    from binlens.operators import identify as I
+    from binlens.operators import reports as R
+    from binlens.functions import catalog as C
+    d = tempfile.mkdtemp()
+    comp = O.composition(inp_functions := inputs.functions(), inputs.mapped(), inputs.call_graph())
+    maps = spark.createDataFrame([(0, "f", "high", "direct_symbol", "c", "f"), (0, "g", "low", "callgraph_iter1", "zig", "h")],
+                                 "binary_id int, name string, confidence string, match_method string, source_language string, original_name string")
+    lines = inputs.table("fx_bundle_lines")
+    reports = {
+        "composition": R.composition_report(comp, inputs.call_graph()),
+        "mapping": R.mapping_report(inp_functions, maps),
+        "chunks": R.chunk_index(lines, U.declaration_chunks(lines)),
+        "identity": I.identity(inputs.strings(), inputs.symbols(), C.software_catalog(spark)),
+    }
+    for name, df in reports.items():
+        path = os.path.join(d, name)
+        io.write_json_report(df, path, partition_by=())
+        back = spark.read.schema(df.schema).json(path)
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect())) and back.count() > 0
+    r = reports["composition"].first()
+    assert r["categories"]["unknown"]["cluster_count"] >= len(r["categories"]["unknown"]["top_clusters"]) > 0
+    assert sum(r["categories"][c]["count"] for c in C.CATEGORY_DESCRIPTIONS) == r["total_functions"]
+    assert reports["mapping"].first()["by_confidence"] == {"high": 1, "low": 1}
+    # an identity that was written can be read as one
+    assert io.read_identity(spark, os.path.join(d, "identity")).where("size(evidence) > 0").count() > 0
