@@ -241,3 +241,19 @@ def test_hint_literal_over_a_line_break(spark):
     lines = spark.createDataFrame([(0, i + 1, t) for i, t in enumerate(text)], "bundle_id int, line_no int, text string")
     r = U.chunk_hints(lines, U.declaration_chunks(lines)).first()
     assert r["hint_errors"] == ["one error\nin two lines"] and r["hint_urls"] == ["https://api.example.com/x"] and r["hint_keywords"] == []
+
+
+def test_propagation_goes_on_until_a_round_adds_nothing(spark):
+    # top calls a1, a1 calls a2, ...: each round maps one more; six rounds and one that adds nothing
+    text = [(0, "m.c", 100 * i + 1, f"void a{i:02}(void) {{") for i in range(7)]
+    text += [(0, "m.c", 100 * i + 2, f"  a{i + 1:02}();") for i in range(6)]
+    lines = spark.createDataFrame(text, "tree_id int, rel_path string, line_no int, text string")
+    names = ["a00", *[f"FUN_{i}" for i in range(1, 7)]]
+    functions = spark.createDataFrame([(0, 0, n, str(i)) for i, n in enumerate(names)],
+                                      "binary_id int, tree_id int, name string, entry_address string")
+    cg = spark.createDataFrame([(0, a, b) for a, b in zip(names, names[1:])], "binary_id int, caller_name string, callee_name string")
+    first = X.first_posting(X.source_definitions(lines))
+    direct = M.direct_matches(functions, first, None)
+    out = {r["name"]: (r["original_name"], r["match_method"]) for r in M.call_graph_propagate(direct, cg, lines, first).collect()}
+    assert out == {"a00": ("a00", "direct_symbol"), **{f"FUN_{i}": (f"a{i:02}", f"callgraph_iter{i}") for i in range(1, 7)}}
+    assert M.call_graph_propagate(direct, cg, lines, first, rounds=3).count() == 4
