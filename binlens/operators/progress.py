@@ -118,18 +118,24 @@ def uncovered_functions(functions: DataFrame, produced: DataFrame, mappings: Dat
             .join(defs, [T, "wanted"], "left_anti").select(*functions.columns))
 
 
-def task_order(function_map: DataFrame, clusters: DataFrame) -> DataFrame:
+def task_order(function_map: DataFrame, clusters: DataFrame, functions: DataFrame) -> DataFrame:
     """K6: work groups in the order tasks are planned: source files whose best mapping is
-    high, then medium, then low confidence; then custom clusters, largest first.
-    ``sort_key`` orders the rows; a global ``orderBy(sort_key)`` is a range-partitioned sort."""
+    high, then medium, then low confidence; then the functions without a mapping, by address
+    prefix; then custom clusters, largest first.  Rows come in that order per binary (a
+    range-partitioned sort on ``sort_key``)."""
     rank = F.when(F.col("confidence") == "high", 0).when(F.col("confidence") == "medium", 1).otherwise(2)
     files = (function_map.groupBy("binary_id", "source_file")
              .agg(F.min(rank).alias("tier"), F.count(F.lit(1)).alias("n_functions"))
              .select("binary_id", "tier", F.col("source_file").alias("group_key"), "n_functions"))
-    cl = clusters.select("binary_id", F.lit(3).alias("tier"), F.col("prefix").alias("group_key"),
+    mapped = function_map.select("binary_id", F.col("ghidra_address").alias("entry_address"))
+    unmapped = (functions.join(mapped, ["binary_id", "entry_address"], "left_anti")
+                .groupBy("binary_id", N.addr_cluster_key("entry_address").alias("group_key"))
+                .agg(F.count(F.lit(1)).alias("n_functions"))
+                .select("binary_id", F.lit(3).alias("tier"), "group_key", "n_functions"))
+    cl = clusters.select("binary_id", F.lit(4).alias("tier"), F.col("prefix").alias("group_key"),
                          F.col("function_count").alias("n_functions"))
-    out = files.unionByName(cl)
+    out = files.unionByName(unmapped).unionByName(cl)
     return out.withColumn("sort_key", F.format_string(
         "%d|%s|%s", F.col("tier"),
-        F.when(F.col("tier") == 3, F.lpad((F.lit(10 ** 12) - F.col("n_functions")).cast("string"), 13, "0"))
-        .otherwise(F.lit("")), F.col("group_key")))
+        F.when(F.col("tier") == 4, F.lpad((F.lit(10 ** 12) - F.col("n_functions")).cast("string"), 13, "0"))
+        .otherwise(F.lit("")), F.col("group_key"))).orderBy("binary_id", "sort_key")

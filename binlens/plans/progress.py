@@ -174,18 +174,20 @@ def resolve_callee_names(inp):
 
 @query("task_order", f"""
 WITH {FULL_MAP_CTE}, {COMP_CTE},
-fmap AS (SELECT f.binary_id, m.source_file, m.confidence FROM fn f JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name),
+fmap AS (SELECT f.binary_id, f.entry_address, m.source_file, m.confidence FROM fn f JOIN mmx m ON m.binary_id = f.binary_id AND m.name = f.name),
 tfiles AS (SELECT binary_id, min(CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END) AS tier,
                  source_file AS group_key, count(*) AS n_functions FROM fmap GROUP BY binary_id, source_file),
-cl AS (SELECT c.binary_id, 3 AS tier, c.prefix AS group_key, c.function_count AS n_functions
+unm AS (SELECT f.binary_id, 3 AS tier, substr(f.entry_address, 1, 6) AS group_key, count(*) AS n_functions FROM fn f
+        WHERE NOT EXISTS (SELECT 1 FROM fmap m WHERE m.binary_id = f.binary_id AND m.entry_address = f.entry_address) GROUP BY ALL),
+cl AS (SELECT c.binary_id, 4 AS tier, c.prefix AS group_key, c.function_count AS n_functions
        FROM clusters c LEFT JOIN in_triage t ON t.binary_id = c.binary_id AND t.prefix = c.prefix
        WHERE t.label IS NULL OR t.label = 'custom'),
-u AS (SELECT * FROM tfiles UNION ALL SELECT * FROM cl)
-SELECT *, concat(tier, '|', CASE WHEN tier = 3 THEN lpad(CAST(1000000000000 - n_functions AS VARCHAR), 13, '0') ELSE '' END,
+u AS (SELECT * FROM tfiles UNION ALL SELECT * FROM unm UNION ALL SELECT * FROM cl)
+SELECT *, concat(tier, '|', CASE WHEN tier = 4 THEN lpad(CAST(1000000000000 - n_functions AS VARCHAR), 13, '0') ELSE '' END,
                  '|', group_key) AS sort_key FROM u
 """)
 def task_order(inp):
     comp = O.composition(inp.functions(), inp.mapped(), inp.call_graph())
     clusters = O.triaged_clusters(O.cluster_summary(comp, inp.call_graph()), inp.table("in_triage"))
     maps = all_mappings(inp)
-    return P.task_order(M.function_map(inp.functions(), maps), clusters)
+    return P.task_order(M.function_map(inp.functions(), maps), clusters, inp.functions())

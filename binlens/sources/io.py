@@ -230,9 +230,14 @@ def corpus_documents(functions_text: DataFrame) -> DataFrame:
         .alias("document"))
 
 
-def write_partitioned_corpus(functions_text: DataFrame, path: str) -> None:
-    """One document per function under (binary_id, addr_prefix) folders (Parquet)."""
-    corpus_documents(functions_text).write.mode("overwrite").partitionBy("binary_id", "addr_prefix").parquet(path)
+def write_partitioned_corpus(functions_text: DataFrame, path: str, as_text: bool = False) -> None:
+    """One document per function under (binary_id, addr_prefix) folders, as Parquet rows or, on
+    request, as text, each document in a folder named after its file."""
+    docs = corpus_documents(functions_text)
+    if as_text:
+        docs.write.mode("overwrite").partitionBy("binary_id", "addr_prefix", "file_name").text(path)
+    else:
+        docs.write.mode("overwrite").partitionBy("binary_id", "addr_prefix").parquet(path)
 
 
 def write_combined_corpus(functions_text: DataFrame, names: DataFrame, path: str) -> None:

@@ -145,3 +145,11 @@ def test_nested_reports_round_trip(spark, inputs):
     assert reports["mapping"].first()["by_confidence"] == {"high": 1, "low": 1}
     # an identity that was written can be read as one
     assert io.read_identity(spark, os.path.join(d, "identity")).where("size(evidence) > 0").count() > 0
+
+
+def test_corpus_as_text(spark):
+    d = tempfile.mkdtemp()
+    rows = spark.createDataFrame([(0, "f::g", "100001000", "int f() {\n}")], "binary_id int, name string, entry_address string, code string")
+    io.write_partitioned_corpus(rows, os.path.join(d, "out"), as_text=True)
+    back = spark.read.text(os.path.join(d, "out"), wholetext=True).first()
+    assert back["value"] == "// f::g @ 100001000\nint f() {\n}\n" and back["file_name"] == "f__g_100001000.c"

@@ -257,3 +257,13 @@ def test_propagation_goes_on_until_a_round_adds_nothing(spark):
     out = {r["name"]: (r["original_name"], r["match_method"]) for r in M.call_graph_propagate(direct, cg, lines, first).collect()}
     assert out == {"a00": ("a00", "direct_symbol"), **{f"FUN_{i}": (f"a{i:02}", f"callgraph_iter{i}") for i in range(1, 7)}}
     assert M.call_graph_propagate(direct, cg, lines, first, rounds=3).count() == 4
+
+
+def test_task_order_tiers(spark):
+    from binlens.operators import progress as P
+    fmap = spark.createDataFrame([(0, "FUN_1", "a1", "z.c", "high"), (0, "FUN_2", "a2", "b.c", "medium"), (0, "FUN_3", "a3", "a.c", "low")],
+                                 "binary_id int, ghidra_function_name string, ghidra_address string, source_file string, confidence string")
+    functions = spark.createDataFrame([(0, a) for a in ("a1", "a2", "a3", "100001000", "100001010")], "binary_id int, entry_address string")
+    clusters = spark.createDataFrame([(0, "2000", 3), (0, "3000", 9)], "binary_id int, prefix string, function_count long")
+    got = [(r["tier"], r["group_key"], r["n_functions"]) for r in P.task_order(fmap, clusters, functions).collect()]
+    assert got == [(0, "z.c", 1), (1, "b.c", 1), (2, "a.c", 1), (3, "100001", 2), (4, "3000", 9), (4, "2000", 3)]
