@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, toxicity, zip_archive
 from binlens.llm.common import split_remainder, table
