@@ -20,6 +20,13 @@ def split_remainder(col: str, mod: int) -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))) % mod
 
 
+def row_key(doc_id: str | Column, text: str | Column) -> list[Column]:
+    """128 bits that stand for the id and the text of a row, in two columns; nulls have a key, too."""
+    doc_id, text = (F.col(c) if isinstance(c, str) else c for c in (doc_id, text))
+    parts = [doc_id.isNull(), doc_id.cast("long"), text.isNull(), text.cast("string")]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+
+
 def with_fields(rows: DataFrame, ddl: str) -> StructType:
     """The fields of ``rows`` but the last (the text), then those of ``ddl``."""
     return StructType([*rows.schema.fields[:-1], *StructType.fromDDL(ddl).fields])
