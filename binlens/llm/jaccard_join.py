@@ -12,8 +12,8 @@ full window sets.  Links are counted and joined to groups inside the blocks; pai
 Results per document: ``class_id`` (smallest id of the documents linked to it directly or through
 others), ``copy_id`` (smallest id with an equal window set), ``n_links`` (documents at the threshold
 or above, copies included).  Null, empty and wordless texts have no window, no link and a class of
-their own.  Rows with a null id count as documents and get their class, but a class of nothing but
-null ids is compared by equality only.  Repeated rows are copies of each other.  An empty table gives
+their own.  Rows with a null id count as documents and get their class; a class of nothing but null
+ids has a null ``class_id``.  Repeated rows are copies of each other.  An empty table gives
 an empty result.  Extra columns are ignored.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binlens.llm.common import shared_table
+from binlens.llm.common import row_key, shared_table
 from binlens.llm.words import U, mix, sub_batches, windows, words
 
 WINDOW = 5
@@ -89,13 +89,14 @@ def _signatures(depth: int):
                     for i, s, k in zip(has.tolist(), sets, found):
                         digests[i], keys[i] = digest(s), k
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["doc_id", "digest", "keys"])
+                    [*(part.column(c) for c in ("doc_id", "key_1", "key_2")), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "key_1", "key_2", "digest", "keys"])
     return run
 
 
 def _emit_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The window sets of the texts that stand for a class, once per bucket and pair of blocks."""
+    seen: set[bytes] = set()
     names = ["tree", "key", "one", "other", "block", "digest", "copies", "keys", "windows"]
     types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
     for batch in batches:
@@ -103,10 +104,9 @@ def _emit_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets, has, _ = window_sets(part.column("text"))
             wanted, copies, keys, cells = (part.column(c).to_pylist() for c in ("digest", "copies", "keys", "cells"))
             out: list[list] = [[] for _ in names]
-            seen = set()
             for i, s in zip(has.tolist(), sets):
                 d = digest(s)
-                if d != wanted[i] or d in seen:  # another text with the same id, or a repeated row
+                if d != wanted[i] or d in seen:  # a repeated row
                     continue
                 seen.add(d)
                 packed = np.array(keys[i], np.int64).tobytes()
@@ -223,15 +223,21 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
 
 
-def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", recall: float = TARGET_RECALL) -> DataFrame:
-    """doc_id, class_id, copy_id, n_links of every document."""
+def classes_of(docs: DataFrame, text: str, doc_id: str, recall: float = TARGET_RECALL) -> tuple[DataFrame, DataFrame]:
+    """Id, row key and digest of every document; copy_id, class_id, n_links and the class's first row of every digest.
+
+    The first row is the one with the smallest (id with nulls last, row key)."""
     depth = depth_for(recall)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    signed = shared_table(rows.mapInArrow(_signatures(depth), "doc_id long, digest binary, keys array<long>"), "signatures")
+    key_1, key_2 = row_key(doc_id, text)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), key_1.alias("key_1"),
+                       key_2.alias("key_2"))
+    signed = shared_table(rows.mapInArrow(
+        _signatures(depth), "doc_id long, key_1 long, key_2 long, digest binary, keys array<long>"), "signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key_1", "key_2")).alias("first")
     classes = shared_table(signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "classes")
+        first, F.count("*").alias("copies"), F.first("keys").alias("keys")).withColumn("copy_id", F.col("first.doc_id")), "classes")
 
-    cells = classes.where("copy_id IS NOT NULL").select("digest", F.posexplode("keys").alias("tree", "key"))
+    cells = classes.select("digest", F.posexplode("keys").alias("tree", "key"))
     busy = cells.groupBy("tree", "key").agg(F.count("*").alias("members")).where("members > 1")
     met = shared_table(cells.join(busy, ["tree", "key"]).groupBy("digest").agg(
         F.collect_list(F.struct("tree", "key", "members")).alias("cells")).join(classes, "digest"), "met")  # at most TREES cells each
@@ -245,28 +251,41 @@ def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", recall: fl
         F.collect_list(F.struct("tree", "key", "members")).alias("cells")).join(classes, "digest"), "wanted")
 
     group = ["tree", "key", "one", "other"]
-    texts = rows.join(wanted.withColumnRenamed("copy_id", "doc_id"), "doc_id").select("text", "digest", "copies", "keys", "cells")
+    texts = rows.join(wanted.withColumns({k: F.col(f"first.{k}") for k in ("key_1", "key_2")}), ["key_1", "key_2"]).select("text", "digest", "copies", "keys", "cells")
     found = shared_table(texts.mapInArrow(_emit_cells, CELL).repartition(*group).sortWithinPartitions(*group).mapInArrow(
         _verify_cells, "digest binary, root binary, links long"), "links")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
-    smallest = groups.join(classes.select(F.col("digest").alias("node"), "copy_id"), "node").groupBy("label").agg(
-        F.min("copy_id").alias("class_id"))
-    linked = groups.join(smallest, "label").select(F.col("node").alias("digest"), "class_id")
-    known = classes.select("digest", "copy_id", "copies").join(links, "digest", "left").join(linked, "digest", "left").select(
-        "digest", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    smallest = groups.join(classes.select(F.col("digest").alias("node"), "first"), "node").groupBy("label").agg(F.min("first").alias("least"))
+    linked = groups.join(smallest, "label").select(F.col("node").alias("digest"), "least")
+    known = classes.select("digest", "first", "copy_id", "copies").join(links, "digest", "left").join(linked, "digest", "left").select(
+        "digest", "copy_id", F.coalesce("least", "first").alias("first"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return signed.drop("keys"), known.withColumn("class_id", F.col("first.doc_id"))
+
+
+def join(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", recall: float = TARGET_RECALL) -> DataFrame:
+    """doc_id, class_id, copy_id, n_links of every document."""
+    signed, known = classes_of(docs, text, doc_id, recall)
     return signed.select("doc_id", "digest").join(known, "digest", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without those whose class has a smaller id; all their columns.  Rows that tie for the
-    smallest id are reduced to one; rows with a null id stay if no id is in their class."""
-    joined = join(docs, text, doc_id)
-    gone = shared_table(joined.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")).distinct(), "duplicates")
-    left = docs.join(gone, docs[doc_id].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
-    repeated = joined.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").isEmpty()
-    return left if repeated else left.dropDuplicates([doc_id])
-
+    """The first row of each class, by (id with nulls last, row key), with all its columns; of rows with its id and its
+    text one stays.  Rows whose text has no word stay."""
+    signed, known = classes_of(docs, text, doc_id)
+    first = (F.col("key_1") == F.col("first.key_1")) & (F.col("key_2") == F.col("first.key_2"))
+    ranked = signed.where("digest IS NOT NULL").join(known.select("digest", "first"), "digest").groupBy(
+        F.col("key_1").alias("__key_1"), F.col("key_2").alias("__key_2"), first.alias("__first")).count()
+    settled = shared_table(ranked.where("NOT __first OR count > 1"), "duplicates")
+    key_1, key_2 = row_key(docs[doc_id], docs[text])
+
+    def rows(of: DataFrame, how: str) -> DataFrame:
+        return docs.join(of, (key_1 == of["__key_1"]) & (key_2 == of["__key_2"]), how)
+
+    repeated = settled.where("__first")
+    if repeated.isEmpty():
+        return rows(settled, "left_anti")
+    return rows(settled, "left_anti").unionByName(
+        rows(repeated.drop("__first", "count"), "inner").dropDuplicates(["__key_1", "__key_2"]).select(*(docs[c] for c in docs.columns)))

@@ -107,6 +107,24 @@ def test_one_of_each(spark, odd_docs):
     assert sorted(r.doc_id for r in left.collect()) == sorted(want)
 
 
+def test_one_of_each_by_row(spark):
+    """Null ids and repeated ids in one table: rows are decided one by one."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:-1], "other"])
+    lone = [f"n{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (None, near), (1, "another text under the same id"), (2, near), (2, "unique text under an id that goes"),
+            (None, "one"), (None, "two"), (None, "two"), (None, None), (None, None), (5, ""), (5, ""),
+            (None, " ".join(lone)), (None, " ".join([*lone[:-1], "other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(map(str, map(tuple, J.one_of_each(docs).collect())))
+    of_lone = [r for r in left if "n0 n1" in r]
+    assert len(of_lone) == 1
+    assert sorted(set(left) - set(of_lone)) == sorted(map(str, {rows[k] for k in (0, 3, 5, 6, 7, 9, 11)}))
+    assert len(left) == 10 and left.count(str((None, None))) == 2 and left.count(str((5, ""))) == 2
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in J.join(docs.where("length(text) > 0")).collect()), key=str)
+    assert got == sorted(((i, c, n) for i, c, _, n in brute([r for r in rows if r[1]])), key=str)
+
+
 def test_recall_on_given_documents(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.where("doc_id >= 850").collect()]
     got = {r.doc_id: r.n_links for r in J.join(documents.where(F.col("doc_id") >= 850)).collect()}
