@@ -1,10 +1,11 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard self-join by MinHash banding with exact verification.
 
 A text is the set of its five-word windows (a text of one to four words is one window of them all).
-Texts with equal sets form a class; one text stands for each class.  Its signature has a run of
-MinHash values per tree of the forest.  Two classes are candidates if their runs in some tree share a
-prefix; the prefix starts at full depth and is shortened until a pair at the threshold is found with
-the target recall.  A class meets another only in the first tree where their prefixes match, and
+Texts with equal sets form a class; one text stands for each class.  Its signature has a band of
+MinHash values per tree.  Two classes are candidates if their bands in some tree are equal; all bands
+have the one length that finds a pair at the threshold with the target recall, fixed before a text is
+read.  This took the place of an LSH forest: no longer prefixes are computed and none is descended.
+A class meets another only in the first tree where their bands match, and
 buckets whose members all share a bucket of an earlier tree are left out, so no pair is met twice.
 Large buckets are split into blocks that meet pairwise.  Every candidate pair is verified on the
 full window sets.  Links are counted and joined to groups inside the blocks; pairs are never emitted.
