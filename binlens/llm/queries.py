@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, toxicity, zip_archive
+from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, simhash, toxicity, vector_codes, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -62,6 +62,14 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(table(spark, sf_dir, "documents"), split_remainder("doc_id", 10) == 0)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -73,5 +81,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pitman_yor": op10_pitman_yor,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_simhash": op12_simhash,
 }
-ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE}
+ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op11_vector_codes": vector_codes.oracle()}
