@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from binlens.llm import decontamination, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, simhash, toxicity, vector_codes, zip_archive
+from binlens.llm import decontamination, filter_audit, html_extraction, jaccard_join, language_id, packing, pitman_yor, quality_rules, sharding, simhash, toxicity, vector_codes, zip_archive
 from binlens.llm.common import split_remainder, table
 
 
@@ -70,6 +70,10 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -83,5 +87,7 @@ QUERIES = {
     "op10_pitman_yor": op10_pitman_yor,
     "op11_vector_codes": op11_vector_codes,
     "op12_simhash": op12_simhash,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op11_vector_codes": vector_codes.oracle()}
+ORACLES: dict[str, str] = {"op2_quality_rules": quality_rules.ORACLE, "op11_vector_codes": vector_codes.oracle(),
+                           "op13_filter_audit": filter_audit.ORACLE}

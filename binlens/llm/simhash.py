@@ -12,8 +12,8 @@ A point has one home shard and visits the shards whose boundary its ball overlap
 tree over its own points goes on in the same way to leaves that are compared in full.
 
 Pairs are never listed.  A shard keeps the components found so far: a vantage point takes in every point
-within four bits at once, a branch whose points are in one component is pruned, and a leaf compares only
-points outside its largest component.  Shards report (point, root) of linked points, which are joined to
+within four bits at once, a branch whose points are in one component is pruned, and where points are too
+close to be parted only those outside the largest component are compared.  Shards report (point, root) of linked points, which are joined to
 components over all shards.
 
 **Defined cases.**  Null, empty and wordless texts have fingerprint zero.  Rows with a null id are documents; the
@@ -230,49 +230,46 @@ def link_shard(points: np.ndarray, home: np.ndarray) -> np.ndarray:
     todo = [(np.arange(len(points)), home)]
     while todo:
         at, lives = todo.pop()
-        if not lives.any() or (links.root[at] == links.root[at[0]]).all():
-            continue
         here = np.flatnonzero(lives)
+        if not len(here) or (links.root[at] == links.root[at[0]]).all():
+            continue
         if len(here) <= LEAF:
-            _leaf(points, at, lives, links)
+            _compare(points, at[here], at, links)
             continue
-        # the vantage point is a home point outside the largest component, so dense clusters are taken in ball by ball
-        roots = links.root[at[here]]
-        values, counts = np.unique(roots, return_counts=True)
-        rest = here[roots != values[counts.argmax()]] if counts.max() > 1 else here
-        rest = rest if len(rest) else here
-        spread = rest[np.linspace(0, len(rest) - 1, min(5, len(rest))).astype(int)]
-        v, mu, splits = best_split(points[at[here]], points[at[spread]])
-        d = distances(points[at], v)
-        vantage = at[spread[int(np.flatnonzero(points[at[spread]] == v)[0])]]
-        near = at[d <= RADIUS]
-        links.merge(near, np.full(len(near), vantage))
+        spread = points[at[here[np.linspace(0, len(here) - 1, 5).astype(int)]]]
+        v, mu, splits = best_split(points[at[here]], spread)
         if not splits:
-            _leaf(points, at, lives, links)
+            _tight(points, at, lives, links)
             continue
+        d = distances(points[at], v)
+        near = at[d <= RADIUS]
+        if len(near) > 1:
+            links.merge(near, np.full(len(near), at[np.flatnonzero((d == 0) & lives)[0]]))
         inner, outer = sides(d, lives, mu)
         todo.append((at[inner], lives[inner]))
         todo.append((at[outer], (lives & (d > mu))[outer]))
     return links.root
 
 
-def _leaf(points: np.ndarray, at: np.ndarray, lives: np.ndarray, links: Links) -> None:
-    """Compare all points of a leaf that are not both in its largest component, one of each pair living here."""
-    for _ in range(64):  # a tight cluster is taken in ball by ball first
-        values, counts = np.unique(links.root[at], return_counts=True)
-        rest = np.flatnonzero(links.root[at] != values[counts.argmax()])
+def _compare(points: np.ndarray, rows: np.ndarray, columns: np.ndarray, links: Links) -> None:
+    width = max(1, (1 << 20) // max(1, len(columns)))
+    for a in range(0, len(rows), width):
+        close = np.flatnonzero(np.bitwise_count(points[rows[a:a + width]][:, None] ^ points[columns][None, :]) <= RADIUS)
+        links.merge(rows[a + close // len(columns)], columns[close % len(columns)])
+
+
+def _tight(points: np.ndarray, at: np.ndarray, lives: np.ndarray, links: Links) -> None:
+    """Points too close together to be parted: taken in ball by ball, then compared outside the largest component."""
+    for _ in range(64):
+        values, counts = np.unique(links.root[at[lives]], return_counts=True)
+        apart = links.root[at] != values[counts.argmax()]
+        rest = at[lives & apart]
         if len(rest) <= LEAF:
             break
-        v = at[rest[0]]
-        near = at[distances(points[at], points[v]) <= RADIUS]
-        links.merge(near, np.full(len(near), v))
-    width = max(1, (4 << 20) // len(at))
-    for a in range(0, len(rest), width):
-        rows = rest[a:a + width]
-        close = np.bitwise_count(points[at[rows]][:, None] ^ points[at][None, :]) <= RADIUS
-        close &= lives[rows][:, None] | lives[None, :]
-        i, j = np.nonzero(close)
-        links.merge(at[rows[i]], at[j])
+        near = at[distances(points[at], points[rest[0]]) <= RADIUS]
+        links.merge(near, np.full(len(near), rest[0]))
+    _compare(points, rest, at, links)
+    _compare(points, at[~lives & apart], at[lives & ~apart], links)
 
 
 VISIT = "shard int, fp long, home boolean"
