@@ -5,8 +5,8 @@ A text's tokens are the ids of a public byte-level tokenizer, then the end id 0.
 of about ``PIECES_PER_PARTITION``; each packs its pieces by best-fit decreasing and computes a lower
 bound on its bin count from dual feasible functions.  A partition whose bins equal the bound is
 certified and final.  The others have a gap: their full bins stay, the pieces of their other bins are
-exchanged (dealt anew among fewer partitions) and packed again, until no gap is left, one partition
-remains, or a round saves no bin.  Only counts reach the driver.
+exchanged (dealt anew among half as many partitions) and packed again, until fewer than two partitions
+have a gap or a round saves no bin.  Only counts reach the driver.
 
 Null text counts as empty and gives one piece holding the end id.  Equal and repeated rows are
 pieces of their own.  An empty table gives an empty result.  Extra columns are ignored.
@@ -15,6 +15,8 @@ pieces of their own.  An empty table gives an empty result.  Extra columns are i
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -29,25 +31,33 @@ from binlens.llm.common import shared_table
 
 CAPACITY = 2048
 PIECES_PER_PARTITION = 1 << 16
-MAX_ROUNDS = 4
 
 
 def encoder(path: str) -> Callable[[str], list[int]]:
-    """Text to ids.  ``path`` names a tokenizer file (``.json``), or the same vocabulary as ranks
-    (``.tiktoken``), which gives the same ids several times faster.  A special token's name in a text
-    is ordinary text."""
+    """Text to ids.  ``path`` names a tokenizer file (``.json``), or the same vocabulary as ranks (``.tiktoken``),
+    which gives the same ids several times faster.  The added tokens of the tokenizer file, for ranks those
+    of the file of that name beside them, are one id each wherever a text holds their name."""
     if path.endswith(".json"):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    added: dict[str, int] = {}
+    if os.path.exists(beside := os.path.splitext(path)[0] + ".json"):
+        with open(beside, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in added):
+            return encoding.encode(text, allowed_special="all", disallowed_special=())
+        return encoding.encode_ordinary(text)
+    return encode
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -144,33 +154,39 @@ PACKED = f"{PIECE}, part long, bin long, offset long, bins long, gap long, room
 
 
 def pack(pieces_table: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES_PER_PARTITION,
-         max_rounds: int = MAX_ROUNDS) -> DataFrame:
+         exchange: bool = True) -> DataFrame:
     """The pieces with sequence_id and offset.  ``pieces_table`` is read several times: pass a written one."""
     names = [c.split()[0] for c in PIECE.split(", ")]
     todo, n = pieces_table, pieces_table.count()
     done: list[DataFrame] = []
-    for r in range(max_rounds):
+    open_bins: int | None = None  # that the pieces of this round filled before it
+    r = 0
+    while True:
         parts = max(1, -(-n // per_partition))
         # a running number deals out equal rows too
         dealt = todo.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(r)), F.lit(parts)))
         packed = shared_table(dealt.groupBy("part").applyInPandas(_pack_partition(capacity), PACKED), f"packed-{r}")
         final = packed.select(*names, "offset", F.struct(F.lit(r).alias("round"), "part", "bin").alias("place"), "gap", "room")
-        # a partition's pieces outside full bins are exchanged if it has a gap and another one has one, too
-        gaps = packed.groupBy("part").agg(F.max("gap").alias("gap")).where("gap > 0").agg(
-            F.count("*").alias("parts"), F.sum("gap").alias("gap")).first()
-        if r + 1 == max_rounds or gaps["parts"] < 2:
+        by_part = packed.groupBy("part").agg(F.max("gap").alias("gap"), F.max("bins").alias("bins"))
+        total = by_part.agg(F.coalesce(F.sum((F.col("gap") > 0).cast("long")), F.lit(0)).alias("gaps"), F.coalesce(F.sum("bins"), F.lit(0)).alias("bins")).first()
+        saved_none = open_bins is not None and total["bins"] >= open_bins
+        if not exchange or saved_none or total["gaps"] < 2:
             done.append(final)
             break
+        # a partition's pieces outside full bins are exchanged if it has a gap and another one has one, too
         open_now = (F.col("gap") > 0) & (F.col("room") > 0)
         done.append(final.where(~open_now))
-        todo = packed.where(open_now).select(*names)
-        n = min(todo.count(), per_partition * (gaps["parts"] // 2))
+        todo = packed.where(open_now).select(*names, "offset")
+        left = todo.agg(F.count("*").alias("pieces"), F.sum((F.col("offset") == 0).cast("long")).alias("bins")).first()
+        open_bins, n = left["bins"] or 0, min(left["pieces"], per_partition * (total["gaps"] // 2))
+        todo = todo.drop("offset")
+        r += 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    # a round's number takes 4 bits, a bin's number within a partition 24
+    # a bin's number within a partition takes 24 bits, a round's number (partitions halve each round) 6
     place = F.col("place")
-    sequence = (place["part"] * (1 << 28) + place["round"] * (1 << 24) + place["bin"]).cast("long")
+    sequence = (place["part"] * (1 << 30) + place["round"] * (1 << 24) + place["bin"]).cast("long")
     return out.select(*names, sequence.alias("sequence_id"), "offset")
 
 

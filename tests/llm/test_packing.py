@@ -17,9 +17,11 @@ JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 def test_ids_are_those_of_the_tokenizer_file(documents):
     texts = [r.text for r in documents.limit(120).collect()] + [
-        "", "\n", " a", "a  b", "x\n\ny", "don't we'll 12\nété <|endoftext|>", "日本語 テスト　x 🙂", "a\tb\r\nc \n d", "a\0b"]
-    ranks, file = P.encoder(tokenizer_path()), P.encoder(JSON)
-    assert [ranks(t) for t in texts] == [file(t) for t in texts]
+        "", "\n", " a", "a  b", "x\n\ny", "don't we'll 12\nété <|endoftext|>", "hi <|endoftext|> there", "<|endoftext|><|endoftext|>\n<|endoftext",  "日本語 テスト　x 🙂", "a\tb\r\nc \n d", "a\0b"]
+    ranks, plain = P.encoder(tokenizer_path()), Tokenizer.from_file(JSON)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ranks(t) for t in texts] == want and [P.encoder(JSON)(t) for t in texts] == want
+    assert ranks("hi <|endoftext|> there") == [5303, 220, 50256, 612]
 
 
 @given(st.lists(st.integers(1, 12), max_size=6))
@@ -65,6 +67,7 @@ def check_layout(rows, capacity):
 
 
 def test_pieces_and_layout(spark, odd_docs):
+    odd_docs = odd_docs.unionByName(odd_docs.where("doc_id = 10").withColumn("text", F.lit("a <|endoftext|> in the text <|endoftext|>")))
     encode = Tokenizer.from_file(JSON)
     rows = P.pack_documents(odd_docs, tokenizer_path()).collect()
     check_layout(rows, P.CAPACITY)
@@ -85,7 +88,7 @@ def test_exchange_rounds(spark):
     rows = [(i, 0, 0, int(s), 0) for i, s in enumerate(rng.choice([400, 700, 1100, 1300], 900))]
     table = spark.createDataFrame(rows, P.PIECE).repartition(4)
     many = P.pack(table, per_partition=60).collect()
-    alone = P.pack(table, per_partition=60, max_rounds=1).collect()
+    alone = P.pack(table, per_partition=60, exchange=False).collect()
     assert len(many) == 900 and {r.doc_id for r in many} == set(range(900))
     assert P.lower_bound(np.array([r[3] for r in rows]), 2048) <= check_layout(many, 2048) <= check_layout(alone, 2048)
 
