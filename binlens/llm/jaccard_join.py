@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binlens.llm.common import row_key, shared_table
+from binlens.llm.membership import may_hold
 from binlens.llm.words import U, mix, sub_batches, windows, words
 
 WINDOW = 5
@@ -252,7 +253,9 @@ def classes_of(docs: DataFrame, text: str, doc_id: str, recall: float = TARGET_R
         F.collect_list(F.struct("tree", "key", "members")).alias("cells")).join(classes, "digest"), "wanted")
 
     group = ["tree", "key", "one", "other"]
-    texts = rows.join(wanted.withColumns({k: F.col(f"first.{k}") for k in ("key_1", "key_2")}), ["key_1", "key_2"]).select("text", "digest", "copies", "keys", "cells")
+    wanted = wanted.withColumns({k: F.col(f"first.{k}") for k in ("key_1", "key_2")})
+    some = may_hold(wanted, "key_1", "key_2")  # only texts that may be wanted are shuffled
+    texts = rows.where(some(F.col("key_1"), F.col("key_2"))).join(wanted, ["key_1", "key_2"]).select("text", "digest", "copies", "keys", "cells")
     found = shared_table(texts.mapInArrow(_emit_cells, CELL).repartition(*group).sortWithinPartitions(*group).mapInArrow(
         _verify_cells, "digest binary, root binary, links long"), "links")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
@@ -280,13 +283,14 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     ranked = signed.where("digest IS NOT NULL").join(known.select("digest", "first"), "digest").groupBy(
         F.col("key_1").alias("__key_1"), F.col("key_2").alias("__key_2"), first.alias("__first")).count()
     settled = shared_table(ranked.where("NOT __first OR count > 1"), "duplicates")
-    key_1, key_2 = row_key(docs[doc_id], docs[text])
-
-    def rows(of: DataFrame, how: str) -> DataFrame:
-        return docs.join(of, (key_1 == of["__key_1"]) & (key_2 == of["__key_2"]), how)
-
+    # rows that are certainly not settled stay where they are; only the others, with their texts, are shuffled
+    some = may_hold(settled, "__key_1", "__key_2")
+    key_1, key_2 = row_key(f"`{doc_id}`", f"`{text}`")
+    certain = docs.where(~some(key_1, key_2))
+    whole = docs.where(some(key_1, key_2)).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), key_1.alias("__key_1"), key_2.alias("__key_2"))
+    kept = whole.join(settled, ["__key_1", "__key_2"], "left_anti")
     repeated = settled.where("__first")
-    if repeated.isEmpty():
-        return rows(settled, "left_anti")
-    return rows(settled, "left_anti").unionByName(
-        rows(repeated.drop("__first", "count"), "inner").dropDuplicates(["__key_1", "__key_2"]).select(*(docs[c] for c in docs.columns)))
+    if not repeated.isEmpty():
+        again = whole.join(repeated.drop("__first", "count"), ["__key_1", "__key_2"]).dropDuplicates(["__key_1", "__key_2"])
+        kept = kept.unionByName(again)
+    return certain.unionByName(kept.select(*(F.col("__row").getField(c).alias(c) for c in docs.columns)))
