@@ -2,13 +2,18 @@
 
 Readers take explicit schemas (no inference) and return keyed DataFrames; a missing
 path gives an empty DataFrame, as the analysed pipeline treats a missing file as an
-empty collection.  Writers partition by ``binary_id`` so every binary's output lands in
-its own folder and is written by many tasks at once.
+empty collection.  Rows that have a place in their file get it as a number, counted over byte ranges
+of the file, so a listing of any size is read by many tasks.
+
+Writers partition by ``binary_id`` so every binary's output lands in its own folder and is written by many
+tasks at once.  A write replaces the folders of the binaries it holds rows of and no others; the
+replacement is staged and takes place when all rows are written, so an aborted write leaves the old rows.
+A binary without a row in a write keeps what it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +32,7 @@ CALL_GRAPH = T.StructType([T.StructField(c, T.StringType()) for c in
                            ("caller_name", "caller_address", "callee_name", "callee_address", "ref_type")])
 FUNCTION_MAP = T.StructType([
     T.StructField("ghidra_function_name", T.StringType()), T.StructField("ghidra_address", T.StringType()),
-    T.StructField("source_file", T.StringType()), T.StructField("source_line", T.IntegerType()),
+    T.StructField("source_file", T.StringType()), T.StructField("source_line", T.LongType()),
     T.StructField("confidence", T.StringType()), T.StructField("match_method", T.StringType()),
     T.StructField("original_name", T.StringType()), T.StructField("source_language", T.StringType())])
 IDENTITY = T.StructType([
@@ -65,6 +70,23 @@ def _with_key(df: DataFrame, key: str, value) -> DataFrame:
     return df.withColumn(key, F.lit(value).cast("int"))
 
 
+def _placed() -> list[Column]:
+    """File and first byte of the range that a scanned row comes from."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+
+
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``name``: each row's place in its file, from 0.  ``rows`` are as scanned, with ``_file`` and ``_block``.
+
+    Ids rise within a byte range; the rows of the ranges before it, one number per range, are added up."""
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    ranges = rows.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    return (rows.join(starts, ["_file", "_block"]).withColumn(name, F.col("_at") - F.col("_first") + F.col("_before"))
+            .drop("_at", "_first", "_before", "_block"))
+
+
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType, binary_id: int | None = 0) -> DataFrame:
     """S1/S2/S4 base: tab-separated with header, fixed schema; missing -> empty."""
     if not path_exists(spark, path):
@@ -75,8 +97,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType, binary_id: in
 
 
 def read_functions(spark: SparkSession, path: str, binary_id: int | None = 0) -> DataFrame:
-    """S1."""
-    return read_tsv(spark, path, FUNCTION_BOUNDARIES, binary_id)
+    """S1, with ``row_no``, the row's place in its file: of rows with one address the last one counts."""
+    rows = read_tsv(spark, path, FUNCTION_BOUNDARIES, binary_id)
+    if not path_exists(spark, path):
+        return rows.withColumn("row_no", F.lit(None).cast("long"))
+    return _numbered(rows.select("*", *_placed()), "row_no").drop("_file")
 
 
 def read_call_graph(spark: SparkSession, path: str, binary_id: int | None = 0) -> DataFrame:
@@ -97,15 +122,15 @@ def split_lines(text: Column) -> Column:
 
 # A key taken from a file's path: the first group of the pattern, as an integer.  One call then
 # reads any number of binaries or trees.
-def _key(value: int, pattern: str | None) -> Column:
+def _key(value: int, pattern: str | None, file: str = "_metadata.file_path") -> Column:
     if pattern is None:
         return F.lit(value)
-    return F.regexp_extract(_file_path(), pattern, 1).try_cast("int")
+    return F.regexp_extract(_file_path(file), pattern, 1).try_cast("int")
 
 
-def _file_path() -> Column:
+def _file_path(file: str = "_metadata.file_path") -> Column:
     """Path of the file a row comes from, without scheme and host, percent codes decoded."""
-    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    path = F.regexp_replace(F.col(file), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))  # a plus sign stands for itself in a path
 
 
@@ -115,6 +140,17 @@ def _root_path(spark: SparkSession, directory: str) -> str:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().getPath().rstrip("/") + "/"
 
 
+def _lines(spark: SparkSession, directory: str, extensions: list[str] | None) -> DataFrame | None:
+    """value, _file, _block: a row per line (CRLF, CR or LF) of the files under a directory, None if there is none."""
+    if not path_exists(spark, directory):
+        return None
+    reader = spark.read.option("recursiveFileLookup", True)
+    if extensions:
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
+    scan = reader.text(directory)
+    return scan.select("value", *_placed())
+
+
 def _whole_files(spark: SparkSession, directory: str, extensions: list[str] | None) -> DataFrame | None:
     """A row per file under a directory (None if there is no such directory); a file is at most 2 GB."""
     if not path_exists(spark, directory):
@@ -143,30 +179,36 @@ def read_source_tree(spark: SparkSession, directory: str, tree_id: int = 0, key_
     ``extensions`` keeps other files from being read; missing folder -> empty.
 
     Undecodable bytes become U+FFFD (the text source decodes with replacement)."""
-    df = _whole_files(spark, directory, extensions)
-    if df is None:
+    lines = _lines(spark, directory, extensions)
+    if lines is None:
         return spark.createDataFrame([], "tree_id int, rel_path string, line_no int, text string")
-    rel = F.substring(_file_path(), F.lit(len(_root_path(spark, directory)) + 1), F.length(_file_path()))
-    return (df.select(_key(tree_id, key_pattern).alias("tree_id"), rel.alias("rel_path"),
-                      F.posexplode(split_lines(F.col("value"))).alias("pos", "text"))
-            .select("tree_id", "rel_path", (F.col("pos") + 1).cast("int").alias("line_no"), "text"))
+    path = _file_path("_file")
+    rel = F.substring(path, F.lit(len(_root_path(spark, directory)) + 1), F.length(path))
+    return _numbered(lines, "_no").select(_key(tree_id, key_pattern, "_file").alias("tree_id"), rel.alias("rel_path"),
+                                          (F.col("_no") + 1).cast("int").alias("line_no"), F.col("value").alias("text"))
+
 
+def read_binary_strings(spark: SparkSession, path: str, min_len: int = 6, binary_id: int = 0, key_pattern: str | None = None) -> DataFrame:
+    """Printable ASCII runs (space..~ and tab) of at least ``min_len`` bytes, in file order; missing -> empty.
 
-def read_binary_strings(spark: SparkSession, path: str, min_len: int = 6) -> DataFrame:
-    """Printable ASCII runs (space..~ and tab) of at least ``min_len`` bytes, in file
-    order, with the binary's file name as key."""
-    df = spark.read.format("binaryFile").load(path)
-    runs = F.regexp_extract_all(F.decode(F.col("content"), "ISO-8859-1"), F.lit(r"([\x20-\x7E\t]{%d,})" % min_len), 1)
-    return df.select(F.col("path").alias("binary_path"), F.posexplode(runs).alias("ord", "s"))
+    The file (or every file of a folder) is read as records that end with a NUL byte, which no run holds: Spark splits it
+    into byte ranges of any number, and a record that crosses a border belongs to the range where it starts, so
+    no run is cut.  A stretch without any NUL byte has to be under 2 GB."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "binary_id int, ord long, s string")
+    scan = spark.read.option("recursiveFileLookup", True).option("lineSep", "\0").text(path)
+    records = scan.select("value", *_placed()).where(F.octet_length("value") >= min_len)
+    runs = F.regexp_extract_all(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), F.lit(r"([\x20-\x7E\t]{%d,})" % min_len), 1)
+    found = _numbered(records.select("_file", "_block", F.explode(runs).alias("s")), "ord")
+    return found.select(_key(binary_id, key_pattern, "_file").alias("binary_id"), "ord", "s")
 
 
 def read_symbols(spark: SparkSession, path: str, binary_id: int = 0, key_pattern: str | None = None) -> DataFrame:
     """One symbol per line of an exported listing (or of every listing in a folder), in order; missing -> empty."""
-    df = _whole_files(spark, path, None)
-    if df is None:
-        return spark.createDataFrame([], "binary_id int, ord int, symbol string")
-    return df.select(_key(binary_id, key_pattern).alias("binary_id"),
-                     F.posexplode(split_lines(F.col("value"))).alias("ord", "symbol"))
+    lines = _lines(spark, path, None)
+    if lines is None:
+        return spark.createDataFrame([], "binary_id int, ord long, symbol string")
+    return _numbered(lines, "ord").select(_key(binary_id, key_pattern, "_file").alias("binary_id"), "ord", F.col("value").alias("symbol"))
 
 
 def read_identity(spark: SparkSession, path: str) -> DataFrame:
@@ -187,15 +229,20 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_triage(spark: SparkSession, path: str, binary_id: int = 0) -> DataFrame:
-    """The cluster labels of a plan document, as the input of J18; missing -> empty."""
-    return _plan_documents(spark, path).select(F.lit(binary_id).alias("binary_id"), F.explode("triageResults").alias("r")).select(
-        "binary_id", "r.prefix", F.col("r.classification").alias("label"), "r.libraryGuess", "r.reason")
+    """The cluster labels of plan documents (one per cycle), as the input of J18; missing -> empty."""
+    return _plan_documents(spark, path).select(F.lit(binary_id).alias("binary_id"), "cycle", F.posexplode("triageResults").alias("pos", "r")).select(
+        "binary_id", "cycle", "pos", "r.prefix", F.col("r.classification").alias("label"), "r.libraryGuess", "r.reason")
 
 
 # ---- sinks ------------------------------------------------------------------------
 
+def _replacing(writer: DataFrameWriter, mode: str = "overwrite") -> DataFrameWriter:
+    """Replace the partitions that the write holds rows of, when it is complete; leave all others."""
+    return writer.mode(mode).option("partitionOverwriteMode", "dynamic")
+
+
 def write_tsv(df: DataFrame, path: str, partition_by=("binary_id",), mode: str = "overwrite") -> None:
-    w = df.write.mode(mode).option("sep", "\t").option("header", True).option("quote", "").option("escape", "\\")
+    w = _replacing(df.write, mode).option("sep", "\t").option("header", True).option("quote", "").option("escape", "\\")
     parts = [c for c in partition_by if c in df.columns]
     if parts:
         w = w.partitionBy(*parts)
@@ -214,7 +261,7 @@ def write_aliases(aliases: DataFrame, path: str) -> None:
 
 def write_json_report(report: DataFrame, path: str, partition_by=("binary_id",)) -> None:
     """Stats / composition / identity / chunk index as JSON lines of nested structs."""
-    w = report.write.mode("overwrite")
+    w = _replacing(report.write)
     parts = [c for c in partition_by if c in report.columns]
     if parts:
         w = w.partitionBy(*parts)
@@ -235,9 +282,22 @@ def write_partitioned_corpus(functions_text: DataFrame, path: str, as_text: bool
     request, as text, each document in a folder named after its file."""
     docs = corpus_documents(functions_text)
     if as_text:
-        docs.write.mode("overwrite").partitionBy("binary_id", "addr_prefix", "file_name").text(path)
+        _replacing(docs.write).partitionBy("binary_id", "addr_prefix", "file_name").text(path)
     else:
-        docs.write.mode("overwrite").partitionBy("binary_id", "addr_prefix").parquet(path)
+        _replacing(docs.write).partitionBy("binary_id", "addr_prefix").parquet(path)
+    _drop_stale(functions_text.sparkSession, path, docs.select("binary_id", "addr_prefix").distinct())
+
+
+def _drop_stale(spark: SparkSession, path: str, written: DataFrame) -> None:
+    """Remove the prefix folders that the written binaries had before and have no more; other binaries are not touched."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in written.groupBy("binary_id").agg(F.collect_set("addr_prefix").alias("prefixes")).toLocalIterator():
+        folder = fs_path(f"{path}/binary_id={row['binary_id']}")
+        keep = {f"addr_prefix={p}" for p in row["prefixes"]}  # hexadecimal digits; at most one per 4 KB of addresses
+        for status in fs.listStatus(folder):
+            if status.isDirectory() and status.getPath().getName().startswith("addr_prefix=") and status.getPath().getName() not in keep:
+                fs.delete(status.getPath(), True)
 
 
 def write_combined_corpus(functions_text: DataFrame, names: DataFrame, path: str) -> None:
@@ -252,9 +312,9 @@ def write_combined_corpus(functions_text: DataFrame, names: DataFrame, path: str
     body = docs.select("binary_id", "addr_prefix", "file_name", F.lit(1).alias("part"),
                        F.concat(F.col("document"), F.lit("\n")).alias("value"))
     out = header.unionByName(body)
-    (out.repartitionByRange("binary_id", "part", "addr_prefix", "file_name")
-     .sortWithinPartitions("binary_id", "part", "addr_prefix", "file_name")
-     .select("binary_id", "value").write.mode("overwrite").partitionBy("binary_id").text(path))
+    ordered = (out.repartitionByRange("binary_id", "part", "addr_prefix", "file_name")
+               .sortWithinPartitions("binary_id", "part", "addr_prefix", "file_name").select("binary_id", "value"))
+    _replacing(ordered.write).partitionBy("binary_id").text(path)
 
 
 def write_function_index(functions: DataFrame, path: str) -> None:

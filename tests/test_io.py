@@ -153,3 +153,123 @@ def test_corpus_as_text(spark):
     io.write_partitioned_corpus(rows, os.path.join(d, "out"), as_text=True)
     back = spark.read.text(os.path.join(d, "out"), wholetext=True).first()
     assert back["value"] == "// f::g @ 100001000\nint f() {\n}\n" and back["file_name"] == "f__g_100001000.c"
+
+
+def _small_ranges(spark, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    return before
+
+
+def _restore(spark, before):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_numbers_are_counted_over_byte_ranges(spark):
+    """Listings, sources and binaries in ranges of 700 bytes: the same rows and numbers as in one piece."""
+    import random
+    import re
+    d = tempfile.mkdtemp()
+    r = random.Random(3)
+    lines = [f"line {i} " + "x" * r.randint(0, 90) for i in range(400)]
+    os.makedirs(f"{d}/tree/src")
+    for name, part, end in (("a.c", lines, "\n"), ("b.c", lines[:150], "\r\n"), ("empty.c", [], "\n"), ("one.c", ["no end"], "")):
+        with open(f"{d}/tree/src/{name}", "w", newline="") as f:
+            f.write("".join(x + end for x in part))
+    pieces = [bytes(r.randint(0, 255) for _ in range(r.randint(1, 60))) + r.choice([b"\0", b"\0\0", b"", b"\n"]) + b"printable run %d" % i for i in range(300)]
+    raw = b"".join(pieces) + b"y" * 5000 + b"\0end of file"
+    os.makedirs(f"{d}/bins/7")
+    with open(f"{d}/bins/7/prog", "wb") as f:
+        f.write(raw)
+    with open(f"{d}/functions.tsv", "w") as f:
+        f.write("name\tentry_address\tend_address\tsize\tparam_count\treturn_type\tcalling_convention\tis_thunk\tis_external\n")
+        f.writelines(f"f{i}\t{i // 2:06x}\t\t{i}\t0\tint\tdefault\tfalse\tfalse\n" for i in range(500))
+    before = _small_ranges(spark, 700)
+    try:
+        tree = io.read_source_tree(spark, f"{d}/tree")
+        got = sorted((x["rel_path"], x["line_no"], x["text"]) for x in tree.collect())
+        want = [("src/a.c", i + 1, t) for i, t in enumerate(lines)] + [("src/b.c", i + 1, t) for i, t in enumerate(lines[:150])] + [("src/one.c", 1, "no end")]
+        assert got == sorted(want)
+        symbols = io.read_symbols(spark, f"{d}/tree/src/a.c")
+        assert [x["symbol"] for x in symbols.orderBy("ord").collect()] == lines
+        strings = io.read_binary_strings(spark, f"{d}/bins", key_pattern=r"/bins/(\d+)/").orderBy("ord").collect()
+        runs = [m.decode() for m in re.findall(rb"[\x20-\x7E\t]{6,}", raw)]
+        assert [(x["binary_id"], x["ord"], x["s"]) for x in strings] == [(7, i, s) for i, s in enumerate(runs)]
+        functions = io.read_functions(spark, f"{d}/functions.tsv")
+        assert [x["name"] for x in functions.orderBy("row_no").collect()] == [f"f{i}" for i in range(500)]
+        assert spark.read.text(f"{d}/tree/src/a.c").rdd.getNumPartitions() > 10
+    finally:
+        _restore(spark, before)
+
+
+def test_last_row_of_an_address_counts(spark):
+    from binlens.operators import compose as O
+    p = os.path.join(tempfile.mkdtemp(), "f.tsv")
+    with open(p, "w") as f:
+        f.write("name\tentry_address\tend_address\tsize\tparam_count\treturn_type\tcalling_convention\tis_thunk\tis_external\n")
+        f.write("zz\t10\t1f\t1\t0\tint\tdefault\tfalse\tfalse\naa\t10\t1f\t1\t0\tint\tdefault\tfalse\tfalse\n")
+    assert [r["name"] for r in O.by_address(io.read_functions(spark, p)).collect()] == ["aa"]
+
+
+def test_missing_paths_are_empty(spark):
+    assert io.read_binary_strings(spark, "/tmp/there-is-no-such-folder").columns == ["binary_id", "ord", "s"]
+    assert io.read_binary_strings(spark, "/tmp/there-is-no-such-folder").count() == 0
+    assert "row_no" in io.read_functions(spark, "/tmp/there-is-no-such-file").columns
+
+
+def _counts(spark, path, reader):
+    return {r["binary_id"]: r["count"] for r in reader(path).groupBy("binary_id").count().collect()}
+
+
+def test_a_write_replaces_its_own_binaries_only(spark):
+    d = tempfile.mkdtemp()
+
+    def rows(ddl, *values):
+        return spark.createDataFrame(list(values), ddl)
+
+    tsv = lambda p: spark.read.csv(p, sep="\t", header=True)
+    aliases = "binary_id int, ghidra_name string, original_name string"
+    chunks = "binary_id int, prefix string, function_count long"
+    functions = "binary_id int, name string, entry_address string, size long, param_count int, return_type string"
+    report = "binary_id int, total long"
+    cases = [
+        (io.write_aliases, tsv, rows(aliases, (1, "a", "x"), (1, "b", "y")), rows(aliases, (2, "c", "z")), rows(aliases, (1, "d", "w"))),
+        (io.write_module_chunks, tsv, rows(chunks, (1, "10", 1), (1, "11", 2)), rows(chunks, (2, "10", 3)), rows(chunks, (1, "12", 1))),
+        (io.write_function_index, tsv, rows(functions, (1, "f", "10", 1, 0, "i"), (1, "g", "11", 1, 0, "i")), rows(functions, (2, "f", "10", 1, 0, "i")), rows(functions, (1, "h", "12", 1, 0, "i"))),
+        (io.write_json_report, spark.read.json, rows(report, (1, 5), (1, 6)), rows(report, (2, 7)), rows(report, (1, 8))),
+    ]
+    for k, (write, read, one, two, again) in enumerate(cases):
+        path = os.path.join(d, str(k))
+        write(one, path)
+        write(two, path)
+        assert _counts(spark, path, read) == {1: 2, 2: 1}
+        write(again, path)
+        assert _counts(spark, path, read) == {1: 1, 2: 1}
+    text = "binary_id int, name string, entry_address string, code string"
+    one, two = rows(text, (1, "f", "100001000", "a"), (1, "g", "100002000", "b")), rows(text, (2, "f", "100001000", "c"))
+    names = rows("binary_id int, target_name string", (1, "t"), (2, "u"))
+    path = os.path.join(d, "corpus")
+    for part in (one, two):
+        io.write_partitioned_corpus(part, path)
+    assert _counts(spark, path, spark.read.parquet) == {1: 2, 2: 1}
+    io.write_partitioned_corpus(one.where("name = 'g'"), path)  # a prefix that is gone goes
+    assert _counts(spark, path, spark.read.parquet) == {1: 1, 2: 1}
+    path = os.path.join(d, "combined")
+    for part in (one, two):
+        io.write_combined_corpus(part, names, path)
+    assert set(_counts(spark, path, spark.read.text)) == {1, 2}
+
+
+def test_an_aborted_write_leaves_the_old_rows(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    path = os.path.join(tempfile.mkdtemp(), "al")
+    good = spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], "binary_id int, ghidra_name string, original_name string")
+    io.write_aliases(good, path)
+    bad = good.withColumn("original_name", F.when(F.col("ghidra_name") == "b", F.raise_error(F.lit("stop"))).otherwise(F.lit("new")))
+    with pytest.raises(Exception, match="stop"):
+        io.write_aliases(bad, path)
+    rows = spark.read.csv(path, sep="\t", header=True).collect()
+    assert sorted((r["ghidra_name"], r["original_name"]) for r in rows) == [("a", "x"), ("b", "y")]
