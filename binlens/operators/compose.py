@@ -214,10 +214,20 @@ def pending_functions(functions: DataFrame, corpus_files: DataFrame) -> DataFram
             .join(corpus_files.select(K, "file_name"), [K, "file_name"], "left_anti"))
 
 
+def latest_labels(triage: DataFrame) -> DataFrame:
+    """The label that holds for each prefix: that of the latest cycle, within a cycle the last one given.
+
+    Columns ``cycle`` and ``pos`` may be missing; labels that no column puts in order count by name."""
+    order = F.struct(*[F.coalesce(F.col(c).cast("long"), F.lit(-1)) for c in ("cycle", "pos") if c in triage.columns],
+                     F.when(F.col("label") == "custom", 1).otherwise(0).alias("custom"), F.col("label"))
+    return triage.where(F.col("label").isNotNull()).groupBy(K, "prefix").agg(F.max_by("label", order).alias("label"))
+
+
 def triaged_clusters(clusters: DataFrame, triage: DataFrame) -> DataFrame:
     """Keep clusters labelled custom or not labelled yet; drop third_party and
-    runtime_generated.  Labels carry across cycles: the latest label per prefix is given."""
-    return (clusters.join(triage.select(K, "prefix", "label"), [K, "prefix"], "left")
+    runtime_generated.  Labels carry across cycles: a prefix has the label of the latest cycle
+    that names it."""
+    return (clusters.join(latest_labels(triage), [K, "prefix"], "left")
             .where(F.col("label").isNull() | (F.col("label") == "custom")))
 
 

@@ -209,13 +209,23 @@ def callee_candidates(callers: DataFrame, calls: DataFrame) -> DataFrame:
     return band_join(wins, calls).drop("lo", "hi", "rel_path")
 
 
-def propagation_round(mapped: DataFrame, edges: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
-    """One round of J10; returns the new mappings only.  ``edges`` lead to FUN_ callees,
-    ``candidates`` are those of every mapped caller."""
-    open_edges = edges.join(mapped.select(B, F.col("name").alias("callee_name")), [B, "callee_name"], "left_anti")
-    used = mapped.select(B, F.col("original_name").alias("cand_name")).distinct()
+def propagation_round(fresh: DataFrame, state: DataFrame, edges: DataFrame, calls: DataFrame, n: int) -> DataFrame:
+    """One round of J10 by deltas; returns the new mappings only.
+
+    ``fresh`` are the mappings of the round before (all of them in the first), ``state`` all so far, ``edges`` lead to
+    FUN_ callees.  Only fresh callers can map anything: an older caller that still has an unused candidate
+    had one in every round since it was mapped, so all its callees are mapped, and one that has none
+    gets none, since used names only grow.  A round therefore joins the edges and the candidates of fresh callers,
+    and of ``state`` only the names that these two mention."""
+    reached = cut_lineage(edges.join(fresh.select(B, F.col("name").alias("caller_name")).distinct(), [B, "caller_name"], "left_semi"))
+    found = callee_candidates(fresh.join(reached.select(B, F.col("caller_name").alias("name")).distinct(), [B, "name"], "left_semi"), calls)
+    known, used = state.select(B, F.col("name").alias("callee_name")), state.select(B, F.col("original_name").alias("cand_name"))
+    if n > 1:
+        found = cut_lineage(found)  # read twice
+        known, used = _mentioned(known, reached), _mentioned(used, found)
+    open_edges = reached.join(known, [B, "callee_name"], "left_anti")
     # each caller offers its first unused candidate to all its unmapped FUN_ callees
-    offer = (candidates.join(used, [B, "cand_name"], "left_anti").groupBy(B, T, "caller_name", "caller_key")
+    offer = (found.join(used.distinct(), [B, "cand_name"], "left_anti").groupBy(B, T, "caller_name", "caller_key")
              .agg(F.min_by(F.struct("cand_name", "def_file", "def_line", "def_lang"),
                            F.struct("line_no", "pos")).alias("o")))
     # each callee takes the offer of the first mapped caller (in mapping order)
@@ -229,24 +239,25 @@ def propagation_round(mapped: DataFrame, edges: DataFrame, candidates: DataFrame
         F.concat(F.lit(f"2{n:06d}"), F.col("b.caller_key"), F.lit("\x02"), F.col("callee_name")).alias("order_key"))
 
 
+def _mentioned(names: DataFrame, rows: DataFrame) -> DataFrame:
+    """The names (columns of ``names``) that occur in ``rows``: few names are sent to many, never the many shuffled."""
+    return names.join(rows.select(*names.columns).distinct(), names.columns, "left_semi")
+
+
 def call_graph_propagate(mapped: DataFrame, call_graph: DataFrame, lines: DataFrame, first: DataFrame,
                          rounds: int | None = None) -> DataFrame:
     """Rounds until one adds nothing (``rounds`` stops earlier; the analysed pipeline uses 3).
 
-    The calls are found once, and a caller's candidates once, when it is mapped; a round joins
-    small tables.  Each round's state is written to the session's checkpoint folder, so lineage
+    The calls are found once, and a caller's edges and candidates are looked up once, in the round after it is
+    mapped.  Each round's new mappings are written to the session's checkpoint folder, so lineage
     stays short and a lost executor only costs the current round."""
     edges = cut_lineage(call_graph.where(F.col("callee_name").startswith("FUN_")).select(B, "caller_name", "callee_name").distinct())
     calls = cut_lineage(known_calls(lines, first))
-    callers = edges.select(B, F.col("caller_name").alias("name")).distinct()
     state = fresh = cut_lineage(mapped.select(*MAP_COLS).withColumn("source_line", F.col("source_line").cast("bigint")))
-    candidates = None
     n = 0
     while rounds is None or n < rounds:
         n += 1
-        more = cut_lineage(callee_candidates(fresh.join(callers, [B, "name"], "left_semi"), calls))
-        candidates = more if candidates is None else candidates.unionByName(more)
-        fresh = cut_lineage(propagation_round(state, edges, candidates, n).select(*MAP_COLS))
+        fresh = cut_lineage(propagation_round(fresh, state, edges, calls, n).select(*MAP_COLS))
         if fresh.isEmpty():
             break
         state = state.unionByName(fresh)

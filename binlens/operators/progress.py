@@ -57,8 +57,9 @@ def plan_progress(tasks: DataFrame) -> DataFrame:
 
 
 def auto_complete_tasks(tasks: DataFrame, files: DataFrame) -> DataFrame:
-    """An unpassed task whose target file exists with more than 100 bytes passes."""
-    f = files.select(F.col("path").alias("target_file"), "size")
+    """An unpassed task whose target file exists with more than 100 bytes passes.  Of several rows of a
+    path the largest counts; a task stays one row."""
+    f = files.groupBy(F.col("path").alias("target_file")).agg(F.max("size").alias("size"))
     return (tasks.join(f, ["target_file"], "left")
             .select("plan_id", "task_id", "passes",
                     (F.coalesce("passes", F.lit(False)) | (F.coalesce("size", F.lit(0)) > 100)).alias("passes_after")))

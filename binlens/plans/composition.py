@@ -241,6 +241,24 @@ def triaged_clusters(inp):
     return O.triaged_clusters(clusters, inp.table("in_triage"))
 
 
+@query("triaged_clusters_over_cycles", f"""
+WITH {COMP_CTE},
+labels AS (SELECT binary_id, prefix, label, 1 AS cycle FROM in_triage
+  UNION ALL SELECT binary_id, prefix, CASE WHEN label = 'custom' THEN 'third_party' ELSE 'custom' END, 3 FROM in_triage WHERE length(prefix) > 0 AND right(prefix, 1) < '8'
+  UNION ALL SELECT binary_id, prefix, 'custom', 2 FROM in_triage),
+latest AS (SELECT binary_id, prefix, arg_max(label, cycle) AS label FROM labels GROUP BY binary_id, prefix)
+SELECT c.*, t.label FROM clusters c LEFT JOIN latest t ON t.binary_id = c.binary_id AND t.prefix = c.prefix
+WHERE t.label IS NULL OR t.label = 'custom'
+""")
+def triaged_clusters_over_cycles(inp):
+    """J18 with three cycles of labels, of which the second names every prefix and the third some."""
+    first = inp.table("in_triage").select("binary_id", "prefix", "label")
+    again = first.where(F.expr("right(prefix, 1) < '8'")).withColumn("label", F.when(F.col("label") == "custom", "third_party").otherwise("custom"))
+    labels = (first.withColumn("cycle", F.lit(1)).unionByName(again.withColumn("cycle", F.lit(3)))
+              .unionByName(first.withColumns({"label": F.lit("custom"), "cycle": F.lit(2)})))
+    return O.triaged_clusters(O.cluster_summary(_comp(inp), inp.call_graph()), labels)
+
+
 @query("function_index", """
 SELECT binary_id, name, entry_address AS address, size, param_count AS params, return_type FROM in_functions
 """)

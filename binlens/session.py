@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,7 +74,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of the executors that computed ``df``."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
+    Survives the loss of the executors that computed it; later reads take only the columns they need, and
+    the planner knows the size."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

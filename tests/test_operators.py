@@ -267,3 +267,69 @@ def test_task_order_tiers(spark):
     clusters = spark.createDataFrame([(0, "2000", 3), (0, "3000", 9)], "binary_id int, prefix string, function_count long")
     got = [(r["tier"], r["group_key"], r["n_functions"]) for r in P.task_order(fmap, clusters, functions).collect()]
     assert got == [(0, "z.c", 1), (1, "b.c", 1), (2, "a.c", 1), (3, "100001", 2), (4, "3000", 9), (4, "2000", 3)]
+
+
+def test_labels_of_the_latest_cycle_hold(spark):
+    from binlens.operators import compose as O
+    clusters = spark.createDataFrame([(0, p, 1) for p in ("10", "11", "12", "13", "14")], "binary_id int, prefix string, n long")
+    labels = spark.createDataFrame([(0, "10", "custom", 1, 0), (0, "10", "third_party", 2, 0), (0, "11", "third_party", 1, 0), (0, "11", "custom", 3, 0),
+                                    (0, "12", "custom", 1, 0), (0, "12", "custom", 2, 5), (0, "13", "custom", 2, 0), (0, "13", "third_party", 2, 1),
+                                    (0, "13", None, 3, 0), (1, "14", "third_party", 1, 0)], "binary_id int, prefix string, label string, cycle int, pos int")
+    kept = O.triaged_clusters(clusters, labels).collect()
+    assert sorted((r["prefix"], r["label"]) for r in kept) == [("11", "custom"), ("12", "custom"), ("14", None)]
+    assert O.triaged_clusters(clusters, labels.drop("cycle", "pos")).count() == 5  # one row per cluster
+
+
+def test_two_rows_of_a_file_give_one_task(spark):
+    from binlens.operators import progress as P
+    tasks = spark.createDataFrame([("p", "t1", False, "a.c"), ("p", "t2", False, "b.c")], "plan_id string, task_id string, passes boolean, target_file string")
+    files = spark.createDataFrame([("a.c", 50), ("a.c", 500), ("b.c", 10), ("b.c", 20)], "path string, size long")
+    assert sorted((r["task_id"], r["passes_after"]) for r in P.auto_complete_tasks(tasks, files).collect()) == [("t1", True), ("t2", False)]
+
+
+def _plain_propagation(mapped, edges, candidates, rounds=None):
+    """mapped: name -> (original, key); candidates: name -> its calls in order; every mapped caller takes part in each round."""
+    mapped, n = dict(mapped), 0
+    while rounds is None or n < rounds:
+        n += 1
+        used = {o for o, _ in mapped.values()}
+        offers = {c: next((x for x in candidates.get(o, []) if x not in used), None) for c, (o, _) in mapped.items()}
+        new = {}
+        for callee in {b for _, b in edges} - set(mapped):
+            first = min(((mapped[a][1], a) for a, b in edges if b == callee and a in mapped and offers[a]), default=None)
+            if first:
+                new[callee] = (offers[first[1]], f"2{n:06d}{first[0]}\x02{callee}")
+        if not new:
+            break
+        mapped.update(new)
+    return {k: v[0] for k, v in mapped.items()}
+
+
+def test_propagation_by_deltas_equals_rounds_over_everything(spark):
+    import random
+    r = random.Random(17)
+    n = 60
+    calls = {i: r.sample(range(n), r.randint(0, 6)) for i in range(n)}
+    text = []
+    for i in range(n):
+        text.append((0, f"s{i % 4}.c", 100 * i + 1, f"void d{i:02}(void) {{"))
+        text += [(0, f"s{i % 4}.c", 100 * i + 2 + k, f"  d{c:02}();") for k, c in enumerate(calls[i])]
+    lines = spark.createDataFrame(text, "tree_id int, rel_path string, line_no int, text string")
+    # a call's line also follows the definition line, whose own name is a candidate as it is for the library
+    candidates = {f"d{i:02}": [f"d{i:02}", *(f"d{c:02}" for c in calls[i])] for i in range(n)}
+    named = [f"d{i:02}" for i in r.sample(range(n), 8)]
+    hidden = [f"FUN_{i:02}" for i in range(40)]
+    edges = {(r.choice(named + hidden), r.choice(hidden)) for _ in range(150)}
+    functions = spark.createDataFrame([(b, 0, x, f"{i:04}") for b in (1, 2) for i, x in enumerate(named + hidden)],
+                                      "binary_id int, tree_id int, name string, entry_address string")
+    graph = spark.createDataFrame([(1, a, b) for a, b in edges] + [(2, a, b) for a, b in sorted(edges, reverse=True)[:70]],
+                                  "binary_id int, caller_name string, callee_name string")
+    first = X.first_posting(X.source_definitions(lines))
+    direct = M.direct_matches(functions, first, None)
+    start = {x["name"]: (x["original_name"], x["order_key"]) for x in direct.where("binary_id = 1").collect()}
+    for rounds in (None, 2):
+        out = M.call_graph_propagate(direct, graph, lines, first, rounds).collect()
+        for b, part in ((1, edges), (2, set(sorted(edges, reverse=True)[:70]))):
+            want = _plain_propagation(start, part, candidates, rounds)
+            assert {x["name"]: x["original_name"] for x in out if x["binary_id"] == b} == want
+            assert rounds or len(want) > 10
