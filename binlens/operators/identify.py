@@ -142,9 +142,22 @@ def first_version(mentions: DataFrame, software: DataFrame) -> DataFrame:
 
 # ---- X9: build paths ----------------------------------------------------------------
 
+def src_paths(text: Column) -> Column:
+    """All matches of the second build-path pattern, in linear time.
+
+    Matches lie within runs of path characters.  From a run's first ``src/`` the pattern takes as much as ends
+    with a dot and word characters; behind that no such dot is left, so a run has one match at most."""
+    def match(run: Column) -> Column:
+        rest = F.substring(run, F.instr(run, "src/") + 4, F.length(run))
+        return F.when((F.instr(run, "src/") > 0) & rest.rlike(r"[\w/.+-]\.\w"), F.concat(F.lit("src/"), F.regexp_extract(rest, r"^([\w/.+-]+\.\w+)", 1)))
+
+    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"([\w/.+-]++)"), 1), match), lambda x: x.isNotNull())
+
+
 def build_paths(strings: DataFrame) -> DataFrame:
     """Distinct path-like strings per binary with the extension of their last part."""
-    found = F.array_distinct(F.concat(*[F.regexp_extract_all("s", F.lit(p), 1) for p in C.BUILD_PATH_PATTERNS_LINEAR]))
+    users, _, nested = (F.regexp_extract_all("s", F.lit(p), 1) for p in C.BUILD_PATH_PATTERNS_LINEAR)
+    found = F.array_distinct(F.concat(users, src_paths(F.col("s")), nested))
     paths = strings.where(F.col("s").contains("/")).select(B, F.explode(found).alias("path")).distinct()
     last = F.regexp_extract(F.regexp_replace("path", r"(/\.?)+$", ""), r"([^/]*)$", 1)
     return paths.withColumn("ext", F.regexp_extract(last, r"^.+(\.[^.]+)$", 1))

@@ -153,10 +153,7 @@ def enclosing_name(ext, text):
     """Name the 'function at line' patterns capture ('' if none): the zig pattern anywhere
     in .zig files, the anchored C-like pattern in every other file; no name filter."""
     zig = F.regexp_extract(text, C.ENCLOSING_PATTERN_ZIG, 1)
-    other = F.when(F.instr(text, "(") > 0,
-                   F.regexp_extract(F.concat(F.substring_index(text, "(", 1), F.lit("(")),
-                                    C.ENCLOSING_PATTERN_OTHER, 1)).otherwise("")
-    return F.when(ext == ".zig", zig).otherwise(other)
+    return F.when(ext == ".zig", zig).otherwise(X.anchored_definition(text, C.ENCLOSING_PATTERN_OTHER))
 
 
 def enclosing_definition(anchors: DataFrame, lines: DataFrame) -> DataFrame:

@@ -20,14 +20,23 @@ def with_ext(lines: DataFrame) -> DataFrame:
     return lines.withColumn("ext", N.path_ext("rel_path"))
 
 
-def _head_to_first_paren(text: Column) -> Column:
-    """The line up to and including its first '('.
+ANCHORED_START, ANCHORED_END = "^[a-zA-Z_]", r"*\s+(\w+)\s*\("
+_TRAILING_BLANKS = r"(?<!\s)\s++$"
 
-    An anchored C-family definition pattern can only match inside this head: its
-    character classes exclude '(' and the match ends at a '('.  Matching the head gives
-    the same result as matching the whole line and bounds the regex work on long lines.
-    """
-    return F.concat(F.substring_index(text, "(", 1), F.lit("("))
+
+def anchored_definition(text: Column, pattern: str) -> Column:
+    """Group 1 of an anchored C-family definition pattern, '' when it does not match, in linear time.
+
+    None of its parts holds a '(', so a match ends at the line's first one.  Before that '(' and blanks stands the name,
+    the last run of word characters; before the name stand blanks; what is left has to be characters of
+    the pattern's class.  Runs are entered at their start only and never given back."""
+    allowed = pattern.removeprefix(ANCHORED_START).removesuffix(ANCHORED_END)
+    head = F.regexp_replace(F.substring_index(text, "(", 1), _TRAILING_BLANKS, "")
+    name = F.regexp_extract(head, r"(?<!\w)(\w++)$", 1)
+    before = F.substring(head, F.lit(1), F.length(head) - F.length(name))
+    kind = F.regexp_replace(before, _TRAILING_BLANKS, "")
+    fits = (F.instr(text, "(") > 0) & (F.length(name) > 0) & (F.length(kind) < F.length(before)) & kind.rlike(ANCHORED_START + allowed + "*+$")
+    return F.when(fits, name).otherwise("")
 
 
 def definition_name(ext: Column, text: Column, patterns=C.DEFINITION_PATTERNS) -> Column:
@@ -35,7 +44,7 @@ def definition_name(ext: Column, text: Column, patterns=C.DEFINITION_PATTERNS) -
     expr = None
     for x, pat in patterns.items():
         if pat.startswith("^["):
-            val = F.when(F.instr(text, "(") > 0, F.regexp_extract(_head_to_first_paren(text), pat, 1))
+            val = anchored_definition(text, pat)
         else:
             val = F.regexp_extract(text, pat, 1)
         expr = F.when(ext == x, val) if expr is None else expr.when(ext == x, val)

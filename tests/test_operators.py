@@ -209,12 +209,14 @@ def test_metadata_reads_every_app_segment(spark):
 
 def test_patterns_take_linear_time(spark):
     import time
-    long = ["a" * 100_000, "a" * 100_000 + "(", "a.b" * 30_000, "static " + "a " * 50_000 + "(", "x/src/" + "a" * 100_000]
+    long = ["a" * 100_000, "a" * 100_000 + "(", "a.b" * 30_000, "static " + "a " * 50_000 + "(", "x/src/" + "a" * 100_000,
+            "int" + " " * 100_000 + ";(", "int" + " \t" * 50_000 + ";(", "src/" * 30_000, "src/" * 20_000 + "a.c" + "/src" * 20_000]
     lines = spark.createDataFrame([(0, f"f{i}.c", 1, t) for i, t in enumerate(long)], "tree_id int, rel_path string, line_no int, text string")
     strings = lines.selectExpr("0 as binary_id", "1 as ord", "text as s")
     functions = lines.selectExpr("0 as binary_id", "rel_path as func_name", "'1' as entry_address", "text")
     jobs = [X.definition_line_counts(lines), X.call_sites(lines), X.source_definitions(lines), X.function_literals(functions),
-            I.version_mentions(strings), I.build_paths(strings), I.repo_mentions(strings)]
+            I.version_mentions(strings), I.build_paths(strings), I.repo_mentions(strings),
+            lines.select(M.enclosing_name(F.lit(".c"), F.col("text")))]
     for job in jobs:
         start = time.time()
         job.write.format("noop").mode("overwrite").save()
@@ -230,6 +232,17 @@ def test_linear_patterns_match_the_plain_ones(spark):
     for plain, linear in pairs:
         rows = df.select(F.regexp_extract_all("t", F.lit(plain), 1).alias("a"), F.regexp_extract_all("t", F.lit(linear), 1).alias("b")).collect()
         assert [r["a"] for r in rows] == [r["b"] for r in rows]
+    plain = C.BUILD_PATH_PATTERNS[1]
+    paths = texts + ["src/a.c", "xsrc/b.h+c", "src/.c src/x..y/z", "src/a.b/src/c.d.", "src/src/a", "é src/ü.c/src/k.l", "src/a.c/src/b", "src/-.+", "src/a. src/b.1"]
+    rows = spark.createDataFrame([(t,) for t in paths], "t string").select(
+        F.regexp_extract_all("t", F.lit(plain), 1).alias("a"), I.src_paths(F.col("t")).alias("b")).collect()
+    assert [r["a"] for r in rows] == [r["b"] for r in rows] and sum(len(r["a"]) for r in rows) > 6
+    lines = ["int f(", "int  f (int a) {", "int *f(", "int * f\t(x", "int\tf(", "a\tb f(", "f(", " int f(", "int f\u00a0(", "std::vector<int> g(", "int é f(",
+             "unsigned  \t long\t(a)", "x  (", "return (a)", "int f;", "", "(", "9a b(", "_a b(c(d", "T & h(", "T &h(", "a  b  c  (", "if (x) foo bar(", "int f() {\r"]
+    for pattern in (C.DEFINITION_PATTERNS[".c"], C.DEFINITION_PATTERNS[".cpp"], C.ENCLOSING_PATTERN_OTHER):
+        rows = spark.createDataFrame([(t,) for t in lines], "t string").select(
+            F.regexp_extract("t", pattern, 1).alias("a"), X.anchored_definition(F.col("t"), pattern).alias("b"), "t").collect()
+        assert [(r["t"], r["a"]) for r in rows] == [(r["t"], r["b"]) for r in rows]
     heads = ["static int f(int a) {", "unsigned long g (char *s) {", "int h(void);", "x(1)", "foo bar", "struct s *p(int) ", "ab c()", "a(b)(c)", "int f(a) b)"]
     rows = spark.createDataFrame([(0, "a.c", i, t) for i, t in enumerate(heads)], "tree_id int, rel_path string, line_no int, text string")
     want = rows.where(F.col("text").rlike(C.C_DEFINITION_LINE)).count()
