@@ -113,6 +113,9 @@ BUILD_PATH_PATTERNS = [
 # The same matches in linear time for Java's engine: a run of word or path characters is
 # entered at its start only (or where the match before ended) and never given back.
 CALL_SITE_LINEAR = r"(?<!\w)(\w++)\s*+\("
+# the two halves of a call with line breaks between them
+TRAILING_WORD = r"(?<!\w)(\w++)\s*+\z"
+CALL_OPENING = r"^\s*+\("
 PATH_LINE_REF_LINEAR = r"(?:\G|(?<![\w./+-]))([\w./+-]++(?<=[\w./+-]\.\w{1,4}):\d+)"
 VERSION_PATTERNS_LINEAR = [
     VERSION_PATTERNS[0],

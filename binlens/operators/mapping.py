@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from binlens.functions import catalog as C
 from binlens.functions import names as N
 from binlens.operators import text as X
+from binlens.operators.joins import join_unique
 from binlens.session import cut_lineage
 
 B, T = "binary_id", "tree_id"
@@ -107,8 +108,10 @@ def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame,
 
     Each row: (binary_id, tree_id, func_name, entry_address, seq, file, line, overwrite).
     ``seq`` orders rows as the reference visits them: by literal position, a path ref
-    before the literal match of the same string.
+    before the literal match of the same string.  The literals are written first: they are read twice, and
+    one that a third of all functions share does not go to one task.
     """
+    cands = cut_lineage(cands)
     files = lines.select(T, "rel_path").distinct()
     by_base = (files.groupBy(T, N.path_basename("rel_path").alias("base"))
                .agg(F.min("rel_path").alias("alt_path")))
@@ -123,7 +126,7 @@ def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame,
                .select(B, T, "func_name", "entry_address",
                        F.struct(F.col("pos"), F.lit(0).alias("k"), F.lit(0).alias("r")).alias("seq"),
                        "file", F.col("ref_line").alias("line"), F.lit(True).alias("overwrite")))
-    lit_ev = (cands.join(first_literal_postings(source_lits, max_postings), [T, "literal"])
+    lit_ev = (join_unique(cands, first_literal_postings(source_lits, max_postings), [T, "literal"])
               .select(B, T, "func_name", "entry_address",
                       F.struct(F.col("pos"), F.lit(1).alias("k"), F.lit(1).alias("r")).alias("seq"),
                       F.col("rel_path").alias("file"), F.col("line_no").cast("bigint").alias("line"),
@@ -193,17 +196,20 @@ def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: Da
 
 def known_calls(lines: DataFrame, first: DataFrame) -> DataFrame:
     """Every call in the source that names a known definition, with that definition's first
-    posting: (tree_id, rel_path, line_no, pos, cand_name, def_*), without text."""
-    calls = X.call_sites(lines.select(T, "rel_path", "line_no", "text")).withColumnRenamed("callee_name", "cand_name")
-    return calls.join(first.withColumnRenamed("name", "cand_name"), [T, "cand_name"])
+    posting: (tree_id, rel_path, line_no, end_line, pos, cand_name, def_*), without text.
+
+    The calls are written first; a name that is called everywhere does not go to one task."""
+    calls = cut_lineage(X.call_sites(lines.select(T, "rel_path", "line_no", "text")).withColumnRenamed("callee_name", "cand_name"))
+    return join_unique(calls, first.withColumnRenamed("name", "cand_name"), [T, "cand_name"])
 
 
 def callee_candidates(callers: DataFrame, calls: DataFrame) -> DataFrame:
-    """The known calls in lines [L-4, L+50] of each caller's mapped file, ordered by (line, pos)."""
+    """The known calls in lines [L-4, L+50] of each caller's mapped file, ordered by (line, pos); both the name
+    and the parenthesis have to stand there."""
     lo, hi = window_around("source_line", 4, 50)
     wins = callers.select(B, T, F.col("name").alias("caller_name"), F.col("order_key").alias("caller_key"),
                           F.col("source_file").alias("rel_path"), lo, hi).where(F.col("hi").isNotNull())
-    return band_join(wins, calls).drop("lo", "hi", "rel_path")
+    return band_join(wins, calls).where(F.col("end_line") <= F.col("hi")).drop("lo", "hi", "rel_path", "end_line")
 
 
 def propagation_round(fresh: DataFrame, state: DataFrame, edges: DataFrame, calls: DataFrame, n: int) -> DataFrame:

@@ -6,7 +6,7 @@ followed by ``posexplode``: no Python in the hot path, one pass over the lines.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlens.functions import catalog as C
@@ -95,11 +95,42 @@ def literal_postings(lits: DataFrame) -> DataFrame:
     return lits.join(n, [T, "literal"])
 
 
+BLOCK = 1024  # lines per block of the search for a line's next line that is not blank
+
+
 def call_sites(lines: DataFrame) -> DataFrame:
-    """Every ``word(`` in a line, in order."""
-    return (lines.where(F.instr("text", "(") > 0)
-            .select(*[c for c in lines.columns if c != "text"],
-                    F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE_LINEAR), 1)).alias("pos", "callee_name")))
+    """Every ``word(`` in order, also when line breaks stand between the word and its parenthesis.
+
+    Output (tree_id, rel_path, line_no, end_line, pos, callee_name): ``line_no`` is the line of the word, ``end_line`` that of
+    the parenthesis.  Calls within a line are found in the scan alone."""
+    whole = (lines.where(F.instr("text", "(") > 0)
+             .select(T, "rel_path", "line_no", F.col("line_no").alias("end_line"),
+                     F.posexplode(F.regexp_extract_all("text", F.lit(C.CALL_SITE_LINEAR), 1)).alias("pos", "callee_name")))
+    return whole.unionByName(split_call_sites(lines))
+
+
+def split_call_sites(lines: DataFrame) -> DataFrame:
+    """Calls whose word ends one line and whose parenthesis begins the next line that is not blank.
+
+    Only files in which some line begins with a parenthesis are looked at, and what moves is the last word of a line, never
+    its text.  A line finds its next one within a block of ``BLOCK`` lines; the last line of a block finds it
+    among the first lines of the blocks, one row per block that is not blank."""
+    opens = F.col("text").rlike(C.CALL_OPENING)
+    files = lines.where(opens).select(T, "rel_path").distinct()
+    seen = (lines.where(F.col("text").rlike(r"\S"))
+            .select(T, "rel_path", "line_no", F.expr(f"line_no div {BLOCK}").alias("_b"), opens.alias("opens"),
+                    F.regexp_extract("text", C.TRAILING_WORD, 1).alias("callee_name"),
+                    F.size(F.regexp_extract_all("text", F.lit(C.CALL_SITE_LINEAR), 1)).alias("pos"))
+            .join(files, [T, "rel_path"], "left_semi"))
+    block = Window.partitionBy(T, "rel_path", "_b").orderBy("line_no")
+    file = Window.partitionBy(T, "rel_path").orderBy("_b")
+    heads = (seen.groupBy(T, "rel_path", "_b").agg(F.min_by(F.struct("line_no", "opens"), F.col("line_no")).alias("head"))
+             .select(T, "rel_path", "_b", F.lead("head").over(file).alias("beyond")))
+    inside = seen.withColumn("after", F.lead(F.struct("line_no", "opens")).over(block)).where(F.length("callee_name") > 0)
+    here = inside.where(F.col("after.opens"))
+    across = (inside.where(F.col("after").isNull()).drop("after")
+              .join(heads.where(F.col("beyond.opens")).withColumnRenamed("beyond", "after"), [T, "rel_path", "_b"]))
+    return here.unionByName(across).select(T, "rel_path", "line_no", F.col("after.line_no").alias("end_line"), "pos", "callee_name")
 
 
 def function_literals(decompiled: DataFrame) -> DataFrame:

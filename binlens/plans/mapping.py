@@ -85,7 +85,7 @@ WITH {MAP_CTE}
 SELECT c.binary_id, c.tree_id, c.name AS caller_name, k.line_no, k.pos, k.cname AS cand_name,
        f.def_file, f.def_line, f.def_lang
 FROM mm0 c JOIN calls k ON k.tree_id = c.tree_id AND k.rel_path = c.source_file
- AND k.line_no BETWEEN greatest(1, c.source_line - 4) AND c.source_line + 50
+ AND k.line_no BETWEEN greatest(1, c.source_line - 4) AND c.source_line + 50 AND k.end_line <= c.source_line + 50
 JOIN first_def f ON f.tree_id = c.tree_id AND f.name = k.cname
 """)
 def callee_candidates(inp):

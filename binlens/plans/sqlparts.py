@@ -54,8 +54,15 @@ slit AS (SELECT tree_id, rel_path, line_no, ext, unnest(m) AS literal,
          FROM (SELECT *, regexp_extract_all(text, '{C.SOURCE_LITERAL}', 1) AS m FROM src
                WHERE ext IN ({_in(C.LITERAL_EXTENSIONS)})
                  AND NOT {_excluded('rel_path', C.EXCLUDED_FRAGMENTS_LITERALS)}) s),
-calls AS (SELECT tree_id, rel_path, line_no, unnest(m) AS cname, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos
-          FROM (SELECT *, regexp_extract_all(text, '{C.CALL_SITE}', 1) AS m FROM src) s),
+nonblank AS (SELECT tree_id, rel_path, line_no, text, lead(text) OVER w AS next_text, lead(line_no) OVER w AS next_line
+             FROM src WHERE regexp_matches(text, '\\S') WINDOW w AS (PARTITION BY tree_id, rel_path ORDER BY line_no)),
+calls AS (SELECT tree_id, rel_path, line_no, line_no AS end_line, unnest(m) AS cname,
+                 CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos
+          FROM (SELECT *, regexp_extract_all(text, '{C.CALL_SITE}', 1) AS m FROM src) s
+          UNION ALL
+          SELECT tree_id, rel_path, line_no, next_line, regexp_extract(text, '(\\w+)\\s*$', 1),
+                 CAST(len(regexp_extract_all(text, '{C.CALL_SITE}', 1)) AS INTEGER)
+          FROM nonblank WHERE regexp_matches(text, '\\w\\s*$') AND regexp_matches(next_text, '^\\s*\\(')),
 flit AS (SELECT binary_id, func_name, entry_address, unnest(lits) AS literal,
                 CAST(generate_subscripts(lits, 1) - 1 AS INTEGER) AS pos
          FROM (SELECT binary_id, func_name, entry_address,
@@ -147,6 +154,7 @@ def round_cte(n: int, prev: str, out: str) -> str:
                      k.cname, f.def_file, f.def_line, f.def_lang
               FROM {r}_callers c JOIN calls k ON k.tree_id = c.tree_id AND k.rel_path = c.source_file
                AND k.line_no BETWEEN greatest(1, c.source_line - 4) AND c.source_line + 50
+               AND k.end_line <= c.source_line + 50
               JOIN first_def f ON f.tree_id = c.tree_id AND f.name = k.cname
               WHERE NOT EXISTS (SELECT 1 FROM {prev} x WHERE x.binary_id = c.binary_id AND x.original_name = k.cname)
               QUALIFY row_number() OVER (PARTITION BY c.binary_id, c.name ORDER BY k.line_no, k.pos) = 1),

@@ -51,7 +51,7 @@ def literal_postings(inp):
 
 @query("call_sites", f"""
 WITH {TEXT_CTE}
-SELECT tree_id, rel_path, line_no, pos, cname AS callee_name FROM calls
+SELECT tree_id, rel_path, line_no, end_line, pos, cname AS callee_name FROM calls
 """)
 def call_sites(inp):
     return X.call_sites(inp.source_lines())

@@ -72,6 +72,12 @@ SELECT d.rel_path, d.line_no + 3, concat('    ', JOIN_SORTED(concat(t.ident, '(x
 FROM fx_source_defs d JOIN fx_functions f ON f.p_partkey = d.p_partkey
 JOIN fx_call_graph c ON c.caller_address = f.entry_address
 JOIN fx_functions t ON t.entry_address = c.callee_address GROUP BY d.rel_path, d.line_no
+UNION ALL
+SELECT rel_path, line_no + 4, concat('    check(a); return ', ident) FROM fx_source_defs WHERE p_partkey % 3 = 0
+UNION ALL
+SELECT rel_path, line_no + 5, '  ' FROM fx_source_defs WHERE p_partkey % 6 = 0
+UNION ALL
+SELECT rel_path, line_no + 6, '        (x);' FROM fx_source_defs WHERE p_partkey % 3 = 0
 ) u
 """
 

@@ -346,3 +346,56 @@ def test_propagation_by_deltas_equals_rounds_over_everything(spark):
             want = _plain_propagation(start, part, candidates, rounds)
             assert {x["name"]: x["original_name"] for x in out if x["binary_id"] == b} == want
             assert rounds or len(want) > 10
+
+
+def test_calls_over_line_breaks(spark):
+    rows = [("a.c", 1, "  x = helper"), ("a.c", 2, "   (1); other(2); tail "), ("a.c", 4, "\t"), ("a.c", 5, " (3) word"),
+            ("a.c", 6, "stop;"), ("a.c", 7, "(cast) last"),
+            # from one block to the next, and over blocks without any line
+            ("b.c", X.BLOCK - 1, "edge"), ("b.c", X.BLOCK, "(1); far"), ("b.c", 5 * X.BLOCK + 3, "("),
+            ("c.c", 1, "no(1) parenthesis"), ("c.c", 2, "here")]
+    lines = spark.createDataFrame([(0, *r) for r in rows], "tree_id int, rel_path string, line_no int, text string")
+    got = sorted(tuple(r) for r in X.call_sites(lines).select("rel_path", "line_no", "end_line", "pos", "callee_name").collect())
+    assert got == [("a.c", 1, 2, 0, "helper"), ("a.c", 2, 2, 0, "other"), ("a.c", 2, 5, 1, "tail"),
+                   ("b.c", X.BLOCK - 1, X.BLOCK, 0, "edge"), ("b.c", X.BLOCK, 5 * X.BLOCK + 3, 0, "far"), ("c.c", 1, 1, 0, "no")]
+    # the same calls as the plain pattern finds in the joined text
+    import re
+    for path in ("a.c", "b.c", "c.c"):
+        text = {n: t for p, n, t in rows if p == path}
+        joined = "\n".join(text.get(i, "") for i in range(1, max(text) + 1))
+        names = [g[4] for g in sorted(g for g in got if g[0] == path)]
+        assert re.findall(C.CALL_SITE, joined, re.A) == names
+
+
+def test_callee_window_holds_name_and_parenthesis(spark):
+    lines = spark.createDataFrame([(0, "m.c", 10, "void alpha(void) {"), (0, "m.c", 60, "  alpha"), (0, "m.c", 62, "(1);")],
+                                  "tree_id int, rel_path string, line_no int, text string")
+    first = X.first_posting(X.source_definitions(lines))
+    callers = spark.createDataFrame([(0, 0, f"f{n}", f"0{n}", "m.c", n) for n in (11, 12)],
+                                    "binary_id int, tree_id int, name string, order_key string, source_file string, source_line long")
+    got = [(r["caller_name"], r["line_no"]) for r in M.callee_candidates(callers, M.known_calls(lines, first)).collect() if r["line_no"] == 60]
+    assert got == [("f12", 60)]
+
+
+def test_hot_key_stays_where_it_is_read(spark):
+    from binlens.operators.joins import join_unique
+    from binlens.session import cut_lineage
+    n = 30_000
+    rows = cut_lineage(spark.range(0, n, 1, 8).selectExpr("0 as tree_id", "if(id % 3 = 0, 'malloc', concat('f', id)) as name", "id")
+                       .unionByName(spark.createDataFrame([(0, None, -1)], "tree_id int, name string, id long")))
+    lookup = spark.range(n).selectExpr("0 as tree_id", "concat('f', id) as name", "id as line").unionByName(
+        spark.createDataFrame([(0, "malloc", -7)], "tree_id int, name string, line long"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = join_unique(rows, lookup, ["tree_id", "name"], hot_rows=1000)
+        plain = rows.join(lookup, ["tree_id", "name"])
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] < 3 * sizes[len(sizes) // 2]
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, plain.collect()))
+        assert max(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()) >= n // 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
