@@ -17,7 +17,10 @@ def join_unique(rows: DataFrame, lookup: DataFrame, on: list[str], hot_rows: int
     One partial aggregate finds the hot keys.  Their lookup rows (fewer than ``HOT_SHARE``) are broadcast, so the rows
     of a hot key stay where they were read; all other rows are shuffled by key as usual.  The result is that of the plain
     join; rows with a null key find nothing."""
-    bar = max(hot_rows, rows.count() // HOT_SHARE)
+    total = rows.count()  # from the files' footers
+    if total <= hot_rows:
+        return rows.join(lookup, on)
+    bar = max(hot_rows, total // HOT_SHARE)
     hot = cut_lineage(rows.groupBy(*on).count().where(F.col("count") > bar).select(*on))
     if hot.isEmpty():
         return rows.join(lookup, on)

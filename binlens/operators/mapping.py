@@ -108,10 +108,9 @@ def anchor_evidence(cands: DataFrame, lines: DataFrame, source_lits: DataFrame,
 
     Each row: (binary_id, tree_id, func_name, entry_address, seq, file, line, overwrite).
     ``seq`` orders rows as the reference visits them: by literal position, a path ref
-    before the literal match of the same string.  The literals are written first: they are read twice, and
-    one that a third of all functions share does not go to one task.
+    before the literal match of the same string.  ``cands`` is a written table, read for both;
+    a literal that a third of all functions share does not go to one task.
     """
-    cands = cut_lineage(cands)
     files = lines.select(T, "rel_path").distinct()
     by_base = (files.groupBy(T, N.path_basename("rel_path").alias("base"))
                .agg(F.min("rel_path").alias("alt_path")))
@@ -176,8 +175,8 @@ def string_anchor_matches(functions: DataFrame, decompiled: DataFrame, lines: Da
                           direct: DataFrame) -> DataFrame:
     """J3-J6 for every function with literals that stage 1 did not map."""
     lits = X.function_literals(decompiled)
-    cands = (lits.join(direct.select(B, F.col("name").alias("func_name")), [B, "func_name"], "left_anti")
-             .join(binary_trees(functions), [B]))
+    cands = cut_lineage(lits.join(direct.select(B, F.col("name").alias("func_name")), [B, "func_name"], "left_anti")
+                        .join(binary_trees(functions), [B]))
     source_lits = X.source_literals(lines)
     anchors = arbitrate(anchor_evidence(cands, lines, source_lits))
     encl = enclosing_definition(anchors, lines)

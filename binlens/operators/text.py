@@ -6,6 +6,10 @@ followed by ``posexplode``: no Python in the hot path, one pass over the lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,30 +28,46 @@ ANCHORED_START, ANCHORED_END = "^[a-zA-Z_]", r"*\s+(\w+)\s*\("
 _TRAILING_BLANKS = r"(?<!\s)\s++$"
 
 
-def anchored_definition(text: Column, pattern: str) -> Column:
-    """Group 1 of an anchored C-family definition pattern, '' when it does not match, in linear time.
+def _anchored(text: Column, fits: Callable[[Column], Column]) -> Column:
+    """The name before the first '(', '' when it does not match, in linear time.
 
     None of its parts holds a '(', so a match ends at the line's first one.  Before that '(' and blanks stands the name,
     the last run of word characters; before the name stand blanks; what is left has to be characters of
-    the pattern's class.  Runs are entered at their start only and never given back."""
-    allowed = pattern.removeprefix(ANCHORED_START).removesuffix(ANCHORED_END)
+    the pattern's class, which ``fits`` tests.  Runs are entered at their start only and never given back."""
     head = F.regexp_replace(F.substring_index(text, "(", 1), _TRAILING_BLANKS, "")
     name = F.regexp_extract(head, r"(?<!\w)(\w++)$", 1)
     before = F.substring(head, F.lit(1), F.length(head) - F.length(name))
     kind = F.regexp_replace(before, _TRAILING_BLANKS, "")
-    fits = (F.instr(text, "(") > 0) & (F.length(name) > 0) & (F.length(kind) < F.length(before)) & kind.rlike(ANCHORED_START + allowed + "*+$")
-    return F.when(fits, name).otherwise("")
+    found = (F.instr(text, "(") > 0) & (F.length(name) > 0) & (F.length(kind) < F.length(before)) & fits(kind)
+    return F.when(found, name).otherwise("")
+
+
+def anchored_definition(text: Column, pattern: str) -> Column:
+    """Group 1 of an anchored C-family definition pattern, '' when it does not match, in linear time."""
+    return _anchored(text, lambda kind: _of_class(kind, pattern))
+
+
+def _of_class(kind: Column, pattern: str) -> Column:
+    """Whether ``kind`` consists of the characters that an anchored pattern allows before the name."""
+    allowed = pattern.removeprefix(ANCHORED_START).removesuffix(ANCHORED_END)
+    return kind.rlike(ANCHORED_START + allowed + "*+$")
 
 
 def definition_name(ext: Column, text: Column, patterns=C.DEFINITION_PATTERNS) -> Column:
-    """Group 1 of the extension's definition pattern, '' when it does not match."""
-    expr = None
+    """Group 1 of the extension's definition pattern, '' when it does not match.
+
+    The anchored patterns differ in one class only, so their other parts stand once in the expression."""
+    anchored = {x: p for x, p in patterns.items() if p.startswith("^[")}
+    expr = F.when(F.lit(False), F.lit(""))
     for x, pat in patterns.items():
-        if pat.startswith("^["):
-            val = anchored_definition(text, pat)
-        else:
-            val = F.regexp_extract(text, pat, 1)
-        expr = F.when(ext == x, val) if expr is None else expr.when(ext == x, val)
+        if x not in anchored:
+            expr = expr.when(ext == x, F.regexp_extract(text, pat, 1))
+    if anchored:
+        by_class = [ext.isin([x for x in anchored if anchored[x] == p]) for p in dict.fromkeys(anchored.values())]
+
+        def fits(kind: Column) -> Column:
+            return reduce(or_, (at & _of_class(kind, p) for at, p in zip(by_class, dict.fromkeys(anchored.values()))))
+        expr = expr.when(ext.isin(list(anchored)), _anchored(text, fits))
     return F.coalesce(expr, F.lit(""))
 
 

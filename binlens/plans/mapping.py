@@ -9,6 +9,7 @@ from binlens.operators import reports as R
 from binlens.operators import text as X
 from binlens.plans.registry import query
 from binlens.plans.sqlparts import ALIASES_SQL, FULL_MAP_CTE, MAP_CTE
+from binlens.session import cut_lineage
 
 
 def _first(inp):
@@ -20,10 +21,12 @@ def _direct(inp):
 
 
 def _cands(inp):
-    lits = X.function_literals(inp.decompiled())
-    return (lits.join(_direct(inp).select("binary_id", F.col("name").alias("func_name")),
-                      ["binary_id", "func_name"], "left_anti")
-            .join(M.binary_trees(inp.functions()), ["binary_id"]))
+    def find():
+        lits = X.function_literals(inp.decompiled())
+        return cut_lineage(lits.join(_direct(inp).select("binary_id", F.col("name").alias("func_name")),
+                                     ["binary_id", "func_name"], "left_anti")
+                           .join(M.binary_trees(inp.functions()), ["binary_id"]))
+    return inp.derived("anchor_candidates", find)
 
 
 def _evidence(inp):
