@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from random import Random
@@ -63,7 +64,7 @@ _GROUP_OF = {w: g for g, words in GROUPS.items() for w in words.split()}
 
 @dataclass
 class Block:
-    path: tuple      # ancestor tags and groups of class words
+    path: tuple      # ancestors' tags and groups of class words, once each; the last tag
     text: str
     link_chars: int
 
@@ -71,7 +72,8 @@ class Block:
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[str] = []
-    paths: list[tuple] = [()]
+    opened: Counter[str] = Counter()
+    paths: list[tuple] = [((), None)]  # an element that adds no feature shares its parent's tuple
     buffer: list[str] = []
     links = linked = 0
 
@@ -81,11 +83,12 @@ def blocks(page: str) -> list[Block]:
             text = "".join(buffer)
             buffer.clear()
             text = " ".join((html.unescape(text) if "&" in text else text).split())
-            if text and "head" not in stack:
+            if text and not opened["head"]:
                 out.append(Block(paths[-1], text, linked))
             linked = 0
 
     def pop(n: int) -> None:
+        opened.subtract(stack[n:])
         del stack[n:], paths[n + 1:]
 
     for m in _TOKEN.finditer(page):
@@ -107,8 +110,8 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if m["end"]:
-            if tag in stack:
-                pop(len(stack) - 1 - stack[::-1].index(tag))
+            if opened[tag]:
+                pop(next(i for i in range(len(stack) - 1, -1, -1) if stack[i] == tag))
             if tag in ("li", "p", "div", "ul"):
                 links = 0
             continue
@@ -116,7 +119,7 @@ def blocks(page: str) -> list[Block]:
             pop(len(stack) - 1)
         if tag in _CLOSES:
             closed, stops = _CLOSES[tag]
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(opened[x] for x in closed) else ():
                 if stack[i] in stops:
                     break
                 if stack[i] in closed:
@@ -134,7 +137,10 @@ def blocks(page: str) -> list[Block]:
                         if g := _GROUP_OF.get(w):
                             found.append(f"g={g}")
         stack.append(tag)
-        paths.append((*paths[-1], *(f for f in found if f not in paths[-1]), f"o={tag}"))
+        opened[tag] += 1
+        above = paths[-1][0]
+        new = [f for f in found if f not in above]
+        paths.append(((*above, *new) if new else above, f"o={tag}"))
     flush()
     return out
 
@@ -145,7 +151,7 @@ _ENDS = (".", "!", "?", "…", ".\"", ".”", ".»", "。", ":")
 def text_features(b: Block) -> list[str]:
     n = b.text.count(" ") + 1
     share = b.link_chars / max(1, len(b.text))
-    low = b.text[:400].lower()
+    low = b.text.lower()
     return [f"n={'1' if n < 4 else '4' if n < 10 else '10' if n < 25 else '25'}",
             f"l={'0' if share < 0.05 else '1' if share < 0.5 else '2'}",
             f"e={b.text.endswith(_ENDS)}",
@@ -155,8 +161,8 @@ def text_features(b: Block) -> list[str]:
 
 def path_features(path: tuple) -> list[str]:
     """Ancestors' features once each, and the last tag as the own one."""
-    own = [f for f in path if f.startswith("o=")][-1:]
-    return [*(f for f in path if not f.startswith("o=")), *own]
+    above, own = path
+    return [*above, own] if own else [*above]
 
 
 # ---- labelled pages -------------------------------------------------------------------------------------------

@@ -87,3 +87,24 @@ def test_training_gains(field):
     flat = H.Field({}, 0.0, np.zeros((2, 2)), np.zeros(2))
     right = [sum(a == b for f, y in pages for a, b in zip(m.decode(f, {}), y)) for m in (flat, field)]
     assert right[1] > right[0]
+
+
+def test_deep_pages_take_linear_memory_and_time():
+    import time
+    import tracemalloc
+    from binlens.llm import html_extraction as H
+    page = "<div class='nav'>" * 60_000 + "<p>end of the line.</p>" + "</div>" * 60_000 + "<p>after</p>"
+    tracemalloc.start()
+    start = time.time()
+    found = H.blocks(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [b.text for b in found] == ["end of the line.", "after"]
+    assert found[0].path == (("t=div", "g=nav", "t=p"), "o=p") and found[1].path == (("t=p",), "o=p")
+    assert peak < 64 << 20 and time.time() - start < 20
+
+
+def test_words_anywhere_in_a_block_are_seen():
+    from binlens.llm import html_extraction as H
+    far = H.Block(((), None), "word " * 2_000 + "all rights reserved", 0)
+    assert "x=rights" in H.text_features(far)
