@@ -47,8 +47,8 @@ def sample_rows(docs: DataFrame, labels: DataFrame, text: str, label: str, key:
     marked = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).distinct()
     chosen = shared_table(hashed_sample_by_class(marked, "label", "key", texts), "labelled-sample")
     # a few thousand ids, so within what Spark broadcasts
-    return docs.where(F.length(text) <= LONG_TEXT).join(chosen, docs[key] == chosen["key"]).select(
-        "label", F.col(text).cast("string").alias("text")).limit(8 * texts)
+    texts_of = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))  # no other column can clash
+    return texts_of.where(F.length("text") <= LONG_TEXT).join(chosen, "key").select("label", "text").limit(8 * texts)
 
 
 @dataclass

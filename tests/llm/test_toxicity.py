@@ -51,3 +51,14 @@ def test_odd_rows(spark, odd_docs, model):
     labels = odd_docs.select("doc_id", F.lit(0).alias("toxic"), F.lit("x").alias("label"))
     assert T.fit(odd_docs, labels) is None  # one class only
     assert {r.score for r in T.score(odd_docs, None).collect()} == {0.0}
+
+
+def test_columns_that_clash_with_the_operators_own(spark):
+    rows = [(i, t, "x", 0, "k") for i, t in enumerate([*ORDINARY, *TOXIC])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, toxic int, key string")
+    labels = spark.createDataFrame([(i, int(i >= len(ORDINARY))) for i in range(len(rows))], "doc_id long, toxic int")
+    found = T.sample_rows(docs, labels, "text", "toxic", "doc_id").collect()
+    assert len(found) == len(rows) and sum(r["label"] for r in found) == len(TOXIC)
+    plain = docs.select("doc_id", "text")
+    a, b = (T.score(d, T.fit(d, labels)).orderBy("doc_id").collect() for d in (docs, plain))
+    assert [r["predicted"] for r in a] == [r["predicted"] for r in b] == [0] * len(ORDINARY) + [1] * len(TOXIC)
