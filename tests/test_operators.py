@@ -1,7 +1,9 @@
 """Hand-computed expectations for the quirks of SURVEY §8 and brute-force checks."""
 
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from binlens.functions import catalog as C
@@ -256,6 +258,82 @@ def test_hint_literal_over_a_line_break(spark):
     assert r["hint_errors"] == ["one error\nin two lines"] and r["hint_urls"] == ["https://api.example.com/x"] and r["hint_keywords"] == []
 
 
+def scan_by_hand(lines):
+    """The greedy scan and the hints of one document, line by line."""
+    breaks = [0]
+    for i, t in enumerate(lines):
+        if i > 0 and re.match(C.CHUNK_BREAK_PATTERN, t.lstrip()) and i - breaks[-1] >= 350:
+            breaks.append(i)
+    out = {}
+    for idx, (a, b) in enumerate(zip(breaks, [*breaks[1:], len(lines)])):
+        content = "\n".join(lines[a:b])
+        if len(content.strip()) >= 100:
+            lits = re.findall(C.SOURCE_LITERAL, content)
+            out[idx] = (a + 1, b, len(content.strip()),
+                        [x for x in lits if any(w in x.lower() for w in C.HINT_ERROR_WORDS)][:5],
+                        [x for x in lits if "/" in x and any(w in x for w in C.HINT_URL_WORDS)][:5],
+                        [x for x in lits if any(w in x.lower() for w in C.HINT_KEYWORDS)][:5])
+    return out
+
+
+@pytest.mark.parametrize("fan, block", [(2, 128), (256, 1024)])
+def test_chunks_and_hints_against_the_line_by_line_scan(spark, monkeypatch, fan, block):
+    # small fans make several levels and small blocks many borders; documents without declarations, with runs of
+    # fitting texts over many lines, without any quote, of blanks only and of one line
+    monkeypatch.setattr(U, "FAN", fan)
+    monkeypatch.setattr(U, "HINT_BLOCK", block)
+    rng = random.Random(fan)
+    words = ["error", "api/x", "http/", "config", "server", '"', '"', '"', "a b", "long enough text", " ", "invalid", "x" * 70, "é/oauth"]
+    docs = []
+    for d in range(6):
+        rate = (0, 0.02, 0.3, 1, 0.002, 0.01)[d]
+        docs.append([("  " * (i % 2) + "function " if rng.random() < rate else "")
+                     + "".join(rng.choice(words) for _ in range(rng.choice((0, 0, 1, 3, 5, 9)))) for i in range(rng.choice((1500, 4000)))])
+    docs.append(['"fails ten'] * 3000)  # each line's quote ends a literal and the next begins one
+    docs.append(['say("an error here"); '] * 400 + [""] * 200 + ['"open'] + ["y" * 200] + ['", "model car"'] + ["  "] * 900)
+    docs += [["  "] * 800, ["one"], ["const a = 1;"] * 1100, ["z" * 99], ["z" * 100]]
+    rows = [(d, i + 1, t) for d, ls in enumerate(docs) for i, t in enumerate(ls)]
+    rng.shuffle(rows)
+    lines = spark.createDataFrame(rows, "bundle_id int, line_no int, text string")
+    chunks = U.declaration_chunks(lines)
+    got = {}
+    for r in chunks.join(U.chunk_hints(lines, chunks), ["bundle_id", "idx"]).collect():
+        got.setdefault(r["bundle_id"], {})[r["idx"]] = (r["start_line"], r["end_line"], r["chars"], r["hint_errors"],
+                                                       r["hint_urls"], r["hint_keywords"])
+    want = {d: scan_by_hand(ls) for d, ls in enumerate(docs)}
+    assert got == {d: c for d, c in want.items() if c}
+    assert sum(len(c) for c in want.values()) > 20 and any("\n" in x for c in want.values() for v in c.values() for x in v[3])
+
+
+def test_a_bundle_without_lines_has_no_chunks(spark):
+    lines = spark.createDataFrame([], "bundle_id int, line_no int, text string")
+    chunks = U.declaration_chunks(lines)
+    assert chunks.count() == 0 and U.chunk_hints(lines, chunks).count() == 0
+    assert U.chunk_document_lines(lines, chunks).count() == 0
+
+
+def test_chunk_document_lines_start_with_a_header(spark):
+    text = ["const a = 1;"] * 400
+    lines = spark.createDataFrame([(7, i + 1, t) for i, t in enumerate(text)], "bundle_id int, line_no int, text string")
+    rows = U.chunk_document_lines(lines, U.declaration_chunks(lines)).orderBy("idx", "pos").collect()
+    by_file = {}
+    for r in rows:
+        assert r["pos"] == len(by_file.setdefault(r["file"], []))
+        by_file[r["file"]].append(r["text"])
+    assert by_file == {"chunk_000_L1-L350.js": ["// Chunk 0: lines 1-350 of app_beautified.js", *text[:350]],
+                       "chunk_001_L351-L400.js": ["// Chunk 1: lines 351-400 of app_beautified.js", *text[350:]]}
+
+
+def test_a_bundle_of_a_million_lines_without_declarations(spark):
+    # one chunk holds all lines; nothing puts them together
+    lines = spark.range(0, 1_000_000, 1, 16).select(
+        F.lit(0).alias("bundle_id"), (F.col("id") + 1).cast("int").alias("line_no"),
+        F.when(F.col("id") % 9 == 0, F.concat(F.lit('  say("error number '), F.col("id"), F.lit('");'))).otherwise("}").alias("text"))
+    chunks = U.cut_lineage(U.declaration_chunks(lines))
+    assert [(r["start_line"], r["end_line"]) for r in chunks.collect()] == [(1, 1_000_000)]
+    assert U.chunk_hints(lines, chunks).first()["hint_errors"] == [f"error number {9 * i}" for i in range(5)]
+
+
 def test_propagation_goes_on_until_a_round_adds_nothing(spark):
     # top calls a1, a1 calls a2, ...: each round maps one more; six rounds and one that adds nothing
     text = [(0, "m.c", 100 * i + 1, f"void a{i:02}(void) {{") for i in range(7)]
