@@ -129,17 +129,43 @@ def declaration_chunks(inp):
     return U.declaration_chunks(inp.table("fx_bundle_lines"))
 
 
-@query("chunk_hints", f"""
+HINTS_SQL = f"""
 WITH RECURSIVE {CHUNK_CTE}
 SELECT c.bundle_id, c.idx, coalesce(array_to_string(f.hint_errors, ' | '), '') AS hint_errors,
        coalesce(array_to_string(f.hint_urls, ' | '), '') AS hint_urls,
        coalesce(array_to_string(f.hint_keywords, ' | '), '') AS hint_keywords
 FROM chunks c LEFT JOIN firsts f ON f.bundle_id = c.bundle_id AND f.idx = c.idx
-""")
+"""
+
+
+def _hints(lines):
+    hints = U.chunk_hints(lines, U.declaration_chunks(lines))
+    return hints.withColumns({k: F.coalesce(F.array_join(k, " | "), F.lit("")) for k in U.HINT_KINDS})
+
+
+@query("chunk_hints", HINTS_SQL)
 def chunk_hints(inp):
+    return _hints(inp.table("fx_bundle_lines"))
+
+
+@query("chunk_hints_over_lines", HINTS_SQL.replace("fx_bundle_lines", "fx_bundle_cut_lines"))
+def chunk_hints_over_lines(inp):
+    """X16 where literals run over line breaks."""
+    return _hints(inp.table("fx_bundle_cut_lines"))
+
+
+@query("chunk_document_lines", f"""
+WITH RECURSIVE {CHUNK_CTE}
+SELECT bundle_id, idx, file, CAST(0 AS BIGINT) AS pos,
+       printf('// Chunk %d: lines %d-%d of app_beautified.js', idx, start_line, end_line) AS text FROM chunks
+UNION ALL
+SELECT a.bundle_id, a.idx, c.file, CAST(a.i - a.start_i + 1 AS BIGINT) AS pos, a.text
+FROM asg a JOIN chunks c ON a.bundle_id = c.bundle_id AND a.idx = c.idx
+""")
+def chunk_document_lines(inp):
+    """The documents of the kept chunks, line by line under their header."""
     lines = inp.table("fx_bundle_lines")
-    hints = U.chunk_hints(lines, U.declaration_chunks(lines))
-    return hints.withColumns({k: F.coalesce(F.array_join(k, " | "), F.lit("")) for k in ("hint_errors", "hint_urls", "hint_keywords")})
+    return U.chunk_document_lines(lines, U.cut_lineage(U.declaration_chunks(lines)))
 
 
 @query("chunk_documents", f"""

@@ -121,6 +121,12 @@ FROM (SELECT CAST(p_partkey % 3 AS INT) AS bundle_id, concat(replace(p_name, ' '
 CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3) t
 """
 
+# the bundles with every line cut in two after 20 characters, so that literals run over a line break
+FIXTURE_SQL["fx_bundle_cut_lines"] = """
+SELECT bundle_id, CAST(line_no * 2 - 2 + h AS INT) AS line_no, CASE h WHEN 1 THEN substr(text, 1, 20) ELSE substr(text, 21) END AS text
+FROM fx_bundle_lines CROSS JOIN (SELECT 1 AS h UNION ALL SELECT 2) t
+"""
+
 FIXTURE_SQL["fx_tasks"] = """
 SELECT CAST(o_custkey AS BIGINT) AS plan_id, concat('US-', o_orderkey) AS task_id,
        CAST(substr(o_orderpriority, 1, 1) AS INT) AS priority,

@@ -285,21 +285,35 @@ def write_partitioned_corpus(functions_text: DataFrame, path: str, as_text: bool
         _replacing(docs.write).partitionBy("binary_id", "addr_prefix", "file_name").text(path)
     else:
         _replacing(docs.write).partitionBy("binary_id", "addr_prefix").parquet(path)
+    # hexadecimal digits; at most one prefix per 4 KB of addresses
     _drop_stale(functions_text.sparkSession, path, docs.select("binary_id", "addr_prefix").distinct())
 
 
 def _drop_stale(spark: SparkSession, path: str, written: DataFrame) -> None:
-    """Remove the prefix folders that the written binaries had before and have no more; other binaries are not touched."""
+    """Remove the folders of the second column that the written keys of the first had before and have no more; other keys are
+    not touched.  ``written`` has one row per folder."""
+    key, part = written.columns
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in written.groupBy("binary_id").agg(F.collect_set("addr_prefix").alias("prefixes")).toLocalIterator():
-        folder = fs_path(f"{path}/binary_id={row['binary_id']}")
-        keep = {f"addr_prefix={p}" for p in row["prefixes"]}  # hexadecimal digits; at most one per 4 KB of addresses
+    for row in written.groupBy(key).agg(F.collect_set(part).alias("parts")).toLocalIterator():
+        folder = fs_path(f"{path}/{key}={row[key]}")
+        keep = {f"{part}={p}" for p in row["parts"]}
         for status in fs.listStatus(folder):
-            if status.isDirectory() and status.getPath().getName().startswith("addr_prefix=") and status.getPath().getName() not in keep:
+            if status.isDirectory() and status.getPath().getName().startswith(f"{part}=") and status.getPath().getName() not in keep:
                 fs.delete(status.getPath(), True)
 
 
+def write_chunk_documents(document_lines: DataFrame, path: str) -> None:
+    """Each chunk's document (``chunk_document_lines``) as text in a folder named after its file, under its bundle.
+
+    Lines are dealt by range, so a long chunk is written by many tasks; its part files in name order are the document.
+    A bundle that is written replaces its earlier chunks."""
+    ordered = (document_lines.repartitionByRange("bundle_id", "file", "pos").sortWithinPartitions("bundle_id", "file", "pos")
+               .select("bundle_id", "file", F.col("text").alias("value")))
+    _replacing(ordered.write).partitionBy("bundle_id", "file").text(path)
+    _drop_stale(document_lines.sparkSession, path, document_lines.where("pos = 0").select("bundle_id", "file"))
+
+
 def write_combined_corpus(functions_text: DataFrame, names: DataFrame, path: str) -> None:
     """Per binary a header (target name, function count) then every document followed
     by a blank line, ordered by (prefix, file name).  Range partitioning keeps the order

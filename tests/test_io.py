@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+from binlens.operators import bundle as U
 from binlens.sources import io
 
 
@@ -273,3 +274,28 @@ def test_an_aborted_write_leaves_the_old_rows(spark):
         io.write_aliases(bad, path)
     rows = spark.read.csv(path, sep="\t", header=True).collect()
     assert sorted((r["ghidra_name"], r["original_name"]) for r in rows) == [("a", "x"), ("b", "y")]
+
+
+def test_chunk_documents_replace_those_of_their_bundle(spark):
+    d = os.path.join(tempfile.mkdtemp(), "chunks")
+
+    def write(bundle, n):
+        text = [f"const a{i} = 1;" for i in range(n)]
+        lines = spark.createDataFrame([(bundle, i + 1, t) for i, t in enumerate(text)], "bundle_id int, line_no int, text string")
+        io.write_chunk_documents(U.chunk_document_lines(lines, U.declaration_chunks(lines)), d)
+        return text
+
+    def read(bundle, file):
+        folder = os.path.join(d, f"bundle_id={bundle}", f"file={file}")
+        out = []
+        for part in sorted(p for p in os.listdir(folder) if p.startswith("part-")):
+            with open(os.path.join(folder, part)) as f:
+                out += f.read().splitlines()
+        return out
+
+    one, _, two = write(1, 400), write(2, 900), write(2, 300)
+    assert sorted(os.listdir(os.path.join(d, "bundle_id=1"))) == ["file=chunk_000_L1-L350.js", "file=chunk_001_L351-L400.js"]
+    assert os.listdir(os.path.join(d, "bundle_id=2")) == ["file=chunk_000_L1-L300.js"]
+    assert read(1, "chunk_000_L1-L350.js") == ["// Chunk 0: lines 1-350 of app_beautified.js", *one[:350]]
+    assert read(1, "chunk_001_L351-L400.js") == ["// Chunk 1: lines 351-400 of app_beautified.js", *one[350:]]
+    assert read(2, "chunk_000_L1-L300.js") == ["// Chunk 0: lines 1-300 of app_beautified.js", *two]
