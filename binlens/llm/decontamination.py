@@ -5,7 +5,7 @@ Words are runs of letters, digits and bytes over 127, A-Z lower-cased.  Texts ar
 segment on, so that any placement of an item lies within a passage.  A passage's vector is its TF-IDF
 over the words of the benchmark (frequencies: in all texts, by segment; very frequent words have no
 weight), projected on the leading right singular vectors of TF-IDF segments.  They come from a randomised SVD: products of the segment
-matrix of a bounded sample of texts with a random test matrix are summed across tasks, the benchmark's
+matrix of all texts with a random test matrix are summed across tasks, the benchmark's
 own segments are added, and the sum's left singular vectors are the basis.  Every passage of every
 text is compared with every item by cosine, and by how much of the item's own TF-IDF weight it holds.
 The latter is not projected, so other words in the passage never lower it and a whole copy has 1 at
@@ -32,10 +32,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binlens.llm.common import hashed_sample, row_key, shared_table
+from binlens.llm.common import row_key, shared_table
 from binlens.llm.packed import pack, unpack
 from binlens.llm.words import MARKS, Words, sub_batches, words
 
@@ -44,7 +45,7 @@ ITEM_WORDS = 64
 BLOCK = 256
 DIMENSIONS = 128
 OVERSAMPLED = 16
-SAMPLE_TEXTS = 2_000
+SLICE = 16  # words of the vocabulary whose sums are added up together
 COSINE = 0.6
 LEAST_HELD = 0.1
 # words seen in over one of twelve segments have no weight, except in items with fewer others than that
@@ -208,50 +209,53 @@ def frequencies(read: DataFrame, words_: int) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def basis(docs: DataFrame, items: list[Item], vocabulary: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Leading right singular vectors of the TF-IDF segments, a row per word of the vocabulary."""
-    k = min(DIMENSIONS + OVERSAMPLED, len(vocabulary))
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weight))
+def basis(read: DataFrame, items: list[Item], weight: np.ndarray) -> np.ndarray:
+    """Leading right singular vectors of the TF-IDF segments of all texts, a row per word of the vocabulary."""
+    k = min(DIMENSIONS + OVERSAMPLED, len(weight))
+    shared = read.sparkSession.sparkContext.broadcast(weight)  # words of one block
 
-    def product(texts: pa.Array) -> np.ndarray:
+    def product(s: Segments, weight: np.ndarray, test: np.ndarray) -> np.ndarray:
         """Transposed segment matrix times segment matrix times test matrix."""
-        vocabulary, weight = shared.value
-        test = np.random.default_rng(SEED).standard_normal((len(vocabulary), k)).astype(np.float32) * weight[:, None]
-        s = segments(texts, vocabulary)
-        y = segment_vectors(s.word, s.segment, int(s.ptr[-1]), test)
-        order = np.argsort(s.word, kind="stable")
-        out = np.zeros((len(vocabulary), k))
-        if len(order):
-            w = s.word[order]
-            first = np.concatenate([[0], np.flatnonzero(np.diff(w)) + 1])
-            out[w[first]] = np.add.reduceat(y[s.segment[order]], first, axis=0)
-        return out * weight[:, None]
+        content = weight[s.word] > 0
+        word, segment = s.word[content], s.segment[content]
+        out = np.zeros(test.shape)
+        if len(word):
+            y = segment_vectors(word, segment, int(s.ptr[-1]), test)
+            order = np.argsort(word, kind="stable")
+            first = np.concatenate([[0], np.flatnonzero(np.diff(word[order])) + 1])
+            out[word[order][first]] = np.add.reduceat(y[segment[order]], first, axis=0, dtype=float)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: np.ndarray | None = None
+        weight = shared.value
+        test = np.random.default_rng(SEED).standard_normal((len(weight), k)).astype(np.float32) * weight[:, None]
+        total = np.zeros(test.shape)
         for batch in batches:
-            for part in sub_batches(batch, "text", 1 << 19):
-                p = product(part.column("text"))
-                total = p if total is None else total + p
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())],
-                                             names=["one", "product"])
+            for raw in batch.column("texts").to_pylist():
+                total += product(unpack_texts(raw)[3], weight, test)
+        total = (total * weight[:, None]).astype(np.float32)
+        first = [a for a in range(0, len(weight), SLICE) if total[a:a + SLICE].any()]
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array([task] * len(first), pa.int64()),
+                                          pa.array([total[a:a + SLICE].tobytes() for a in first], pa.binary())],
+                                         names=["first", "task", "product"])
 
     def add_up(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(b, np.float32).astype(float) for b in frame["product"])
-        return pd.DataFrame({"product": [total.astype(np.float32).tobytes()]})
-
-    # a bounded sample: about SAMPLE_TEXTS texts by a hash of the id
-    sample = shared_table(hashed_sample(docs, "doc_id", SAMPLE_TEXTS).select("text"), "lsa-sample")
-    parts = sample.repartition(8).mapInArrow(run, "one long, product binary")  # at most 8 products
-    summed = parts.groupBy("one").applyInPandas(add_up, "product binary").collect()
-    total = np.frombuffer(summed[0]["product"], np.float32).reshape(-1, k).astype(float) if summed else np.zeros((len(vocabulary), k))
-    # the benchmark's own passages weigh as much as the sample at least
-    own = np.zeros((len(items), len(vocabulary)), np.float32)
+        ordered = frame.sort_values("task")  # the same sum in every run
+        total = sum(np.frombuffer(b, np.float32).astype(float) for b in ordered["product"])
+        return pd.DataFrame({"first": [ordered["first"].iloc[0]], "product": [total.astype(np.float32).tobytes()]})
+
+    # every task sums over its texts; the sums are added up by slices of the vocabulary, a few kB a task
+    parts = read.where("texts IS NOT NULL").select("texts").mapInArrow(run, "first long, task long, product binary")
+    total = np.zeros((len(weight), k))
+    for row in parts.groupBy("first").applyInPandas(add_up, "first long, product binary").collect():  # a block's vocabulary
+        total[row["first"]:row["first"] + SLICE] = np.frombuffer(row["product"], np.float32).reshape(-1, k)
+    # the benchmark's own passages weigh as much as the texts at least
+    own = np.zeros((len(items), len(weight)), np.float32)
     for i, item in enumerate(items):
         np.add.at(own[i], item.words, 1)
     own *= weight
-    test = np.random.default_rng(SEED).standard_normal((len(vocabulary), k)).astype(np.float32)
+    test = np.random.default_rng(SEED).standard_normal((len(weight), k)).astype(np.float32)
     mine = own.T @ (own @ test)
     scale = np.linalg.norm(total) / max(np.linalg.norm(mine), 1e-9)
     left, _, _ = np.linalg.svd(total + mine * max(scale, 1.0), full_matrices=False)
@@ -277,7 +281,7 @@ def build_index(docs: DataFrame, read: DataFrame, items: list[Item], vocabulary:
         if content[item.words].sum() < LEAST_CONTENT:  # hardly more than frequent words: they all count
             content[item.words] = True
     weight = np.where(content, idf, 0).astype(np.float32)
-    rows = weight[:, None] * basis(docs, items, vocabulary, weight)
+    rows = weight[:, None] * basis(read, items, weight)
     vectors = np.stack([rows[i.words].sum(axis=0) for i in items])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     size = np.array([i.segments for i in items])

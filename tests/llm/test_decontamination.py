@@ -75,6 +75,31 @@ def test_candidate_search_against_brute_force(planted):
     assert len(exact) > 100 and len(exact & by_cosine) >= 0.9 * len(exact) and exact <= found
 
 
+def test_basis_is_learned_from_all_texts(spark):
+    """The vectors are those of a plain sum over the segments of 6,000 texts, none of which is left out."""
+    r = random.Random(3)
+    pool = [f"w{k}" for k in range(400)]
+    items = D.read_items([(k, " ".join(r.sample(pool, 40))) for k in range(30)])
+    vocabulary = D.number_words(items)
+    texts = [" ".join(r.choice(pool[k % 50 * 8:][:16]) for _ in range(20)) for k in range(6000)]
+    docs = D.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7))
+    index = D.build_index(docs, D.read_texts(docs, vocabulary), items, vocabulary)
+    s = D.segments(pa.array(texts), vocabulary)
+    n, size = int(s.ptr[-1]), len(vocabulary)
+    idf = np.maximum(np.log((1 + n) / (1 + np.bincount(s.word, minlength=size))), 0.1).astype(np.float32)
+    weight = np.where(index.content, idf, 0)
+    matrix, own = np.zeros((n, size)), np.zeros((len(items), size))
+    np.add.at(matrix, (s.segment, s.word), weight[s.word])
+    for row, item in zip(own, items):
+        np.add.at(row, item.words, weight[item.words])
+    test = np.random.default_rng(D.SEED).standard_normal((size, D.DIMENSIONS + D.OVERSAMPLED)).astype(np.float32)
+    total, mine = matrix.T @ (matrix @ test), own.T @ (own @ test)
+    left = np.linalg.svd(total + mine * max(np.linalg.norm(total) / np.linalg.norm(mine), 1.0), full_matrices=False)[0][:, :D.DIMENSIONS]
+    got = index.rows[:, :index.dimensions]
+    want = weight[:, None] * left
+    assert np.abs(got @ got.T - want @ want.T).max() < 0.01 * np.abs(want @ want.T).max()
+
+
 def test_whole_items_between_other_items(spark):
     """As in a dump of the benchmark, and short items in a sentence: every placement is found."""
     r = random.Random(7)
