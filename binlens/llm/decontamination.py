@@ -45,6 +45,7 @@ ITEM_WORDS = 64
 BLOCK = 256
 DIMENSIONS = 128
 OVERSAMPLED = 16
+PRODUCT_WORDS = 1 << 14  # words whose rows are held at a time
 SLICE = 16  # words of the vocabulary whose sums are added up together
 COSINE = 0.6
 LEAST_HELD = 0.1
@@ -222,8 +223,10 @@ def basis(read: DataFrame, items: list[Item], weight: np.ndarray) -> np.ndarray:
         if len(word):
             y = segment_vectors(word, segment, int(s.ptr[-1]), test)
             order = np.argsort(word, kind="stable")
-            first = np.concatenate([[0], np.flatnonzero(np.diff(word[order])) + 1])
-            out[word[order][first]] = np.add.reduceat(y[segment[order]], first, axis=0, dtype=float)
+            for a in range(0, len(order), PRODUCT_WORDS):
+                at = order[a:a + PRODUCT_WORDS]
+                first = np.concatenate([[0], np.flatnonzero(np.diff(word[at])) + 1])
+                out[word[at][first]] += np.add.reduceat(y[segment[at]], first, axis=0)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,6 +32,8 @@ UNKNOWN = "und"
 SAMPLE_TEXTS = 64
 SAMPLE_LETTERS = 40_000
 LONG_TEXT = 20_000
+# bytes of text parsed at a time: the arrays of a part take many times its bytes
+PARSED_BYTES = 1 << 19
 # a longer word is parsed in parts of so many letters
 PART = 48
 # how often a letter's worth of normalised cost halves the odds of another language
@@ -173,7 +175,7 @@ def identify(docs: DataFrame, models: dict[str, Automaton], text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
         for batch in batches:
-            for part in sub_batches(batch, "__text"):
+            for part in sub_batches(batch, "__text", PARSED_BYTES):
                 rows = part.num_rows
                 lang, score, rate = [UNKNOWN] * rows, np.zeros(rows), np.zeros(rows)
                 if parser is not None:
