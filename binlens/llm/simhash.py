@@ -4,12 +4,15 @@
 one blank, repeats included (one to three words: all of them).  A bit is 1 if it is set in over half of the
 shingles' XXH64 values (seed 42).  A text without words has fingerprint zero, linked like any other.
 
-**Search.**  Equal fingerprints are one point.  A vantage-point tree, built on a sample of 64 points per shard,
-parts the points by their Hamming distance to a vantage point: inner (at most the radius) or outer.  By the
-triangle inequality a pair within four bits that lies on both sides has its inner point within four
-bits of the radius, so only such inner points also visit the outer side, as queries; all other branches are pruned.
-A point has one home shard and visits the shards whose boundary its ball overlaps.  Within a shard a
-tree over its own points goes on in the same way to leaves that are compared in full.
+**Shards.**  Equal fingerprints are one point.  The 64 bits are cut into five parts; two points within four bits
+have at least one part in common.  A point is dealt five times, by the value of each part, so rows grow as the points
+do.  Values are hashed to shards of about 16,384 rows.  Points of a value that has more rows than
+that are cut anew by the bits they do not share, up to three times: at most 5, 25 or 125 rows for such a point.
+
+**Search.**  Within a shard a vantage-point tree parts the points by their Hamming distance to a vantage point: inner
+(at most the radius) or outer.  By the triangle inequality a pair within four bits that lies on both sides has its
+inner point within four bits of the radius, so only such inner points also visit the outer side, as queries; all
+other branches are pruned.  Leaves are compared in full.
 
 Pairs are never listed.  A shard keeps the components found so far: a vantage point takes in every point
 within four bits at once, a branch whose points are in one component is pruned, and where points are too
@@ -32,15 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binlens.llm.common import hashed_sample, shared_table
+from binlens.llm.common import shared_table
 from binlens.llm.skew import components, look_up
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-SHARD = 16_384       # points that live in a shard, about
-SAMPLE = 64          # sampled points per shard that the tree over shards is built on
-MAX_SHARDS = 16_384  # so the sample is at most 1,048,576 points; shards grow beyond
+SHARD = 16_384       # rows of a shard, about
+MAX_TASKS = 16_384   # beyond, a task links several shards, one after the other
+CUTS = 3             # times that points are cut; those of a value that is still too large have 31 bits in common
 LEAF = 256
 PIECE = 1 << 20      # bytes of a text that are taken apart at a time
 U = np.uint64
@@ -149,7 +152,9 @@ def best_split(points: np.ndarray, candidates: np.ndarray) -> tuple[np.uint64, i
 
 
 class ShardTree:
-    """A vantage-point tree whose leaves are shards; nodes are (vantage, radius, inner child, outer child)."""
+    """A vantage-point tree whose leaves are shards; nodes are (vantage, radius, inner child, outer child).
+
+    For few shards: each level sends over a third of random points to both sides, so ``links`` does not deal by it."""
 
     def __init__(self, sample: np.ndarray, shards: int):
         self.vantage: list[int] = []
@@ -272,57 +277,78 @@ def _tight(points: np.ndarray, at: np.ndarray, lives: np.ndarray, links: Links)
     _compare(points, at[~lives & apart], at[lives & ~apart], links)
 
 
-VISIT = "shard int, fp long, home boolean"
+def cut(shared: int) -> list[int]:
+    """Bit masks: ``shared`` with each of ``RADIUS`` + 1 parts of the other bits; a pair within the radius agrees in one of them."""
+    other = [i for i in range(64) if not shared >> i & 1]
+    return [shared | sum(1 << i for i in other[j::RADIUS + 1]) for j in range(RADIUS + 1)]
 
 
-def _visits(tree: ShardTree):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = batch.column("fp").to_numpy().view(U)
-            if len(points):
-                at, shard, home = tree.route(points)
-                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(points[at].view(np.int64)), pa.array(home)],
-                                                 names=["shard", "fp", "home"])
-    return run
+def _signed(mask: int) -> int:
+    return mask - (mask >> 63 << 64)
 
 
 def _link_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows arrive sorted by shard; one shard is held at a time, at nine bytes a point."""
-    current, points, home = None, [], []
+    """Rows arrive sorted by shard; one shard is held at a time, at eight bytes a row."""
+    current, points = None, []
 
     def found() -> pa.RecordBatch:
-        p, h = np.concatenate(points), np.concatenate(home)
-        order = np.argsort(p, kind="stable")  # the root is the smallest fingerprint, whatever the order of arrival
-        p, h = p[order], h[order]
-        root = link_shard(p, h)
+        p = np.unique(np.concatenate(points))  # the root is the smallest fingerprint, whatever the order of arrival
+        root = link_shard(p, np.ones(len(p), bool))
         linked = np.flatnonzero(root != np.arange(len(p)))
         return pa.RecordBatch.from_arrays([pa.array(p[linked].view(np.int64)), pa.array(p[root[linked]].view(np.int64))], names=["a", "b"])
 
     for batch in batches:
-        shard = batch.column("shard").to_numpy()
-        p, h = batch.column("fp").to_numpy().view(U), batch.column("home").to_numpy(zero_copy_only=False)
+        shard, p = batch.column("shard").to_numpy(), batch.column("fp").to_numpy().view(U)
         cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
         for a, b in zip(cuts, cuts[1:]):
             if a == b:
                 continue
             if current is not None and shard[a] != current:
                 yield found()
-                points, home = [], []
+                points = []
             current = shard[a]
             points.append(p[a:b])
-            home.append(h[a:b])
     if points:
         yield found()
 
 
+def deal(points: DataFrame, shard: int = SHARD) -> tuple[DataFrame, int]:
+    """(shard, fp) of every point, once per part of its bits, and the number of shards; near points meet in one.
+
+    Points of a value with more than ``shard`` rows are cut anew instead, all of them."""
+    spark, rows, n = points.sparkSession, points.select(F.lit(0).cast("long").alias("mask"), "fp"), points.count()
+    if n <= shard:
+        return rows.select(F.lit(0).alias("shard"), "fp"), 1
+    kept, total, masks = [], 0, [0]
+    for left in reversed(range(CUTS)):
+        parts = {m: cut(m) for m in masks}
+        masks = [c for m in masks for c in parts[m]]
+        table = spark.createDataFrame([(_signed(m), _signed(c)) for m in parts for c in parts[m]], "mask long, part long")
+        dealt = rows.join(F.broadcast(table), "mask").select(F.col("part").alias("mask"), "fp", F.col("fp").bitwiseAND(F.col("part")).alias("value"))
+        total += n * (RADIUS + 1)
+        if not left:
+            kept.append(dealt)
+            break
+        large = shared_table(dealt.groupBy("mask", "value").count().where(F.col("count") > shard), "large")
+        n = large.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        if not n:
+            kept.append(dealt)
+            break
+        large = F.broadcast(large.select("mask", "value"))
+        kept.append(dealt.join(large, ["mask", "value"], "left_anti"))
+        rows = shared_table(dealt.join(large, ["mask", "value"], "left_semi").select("mask", "fp"), "rows")
+        total -= n
+    shards = -(-total // shard)
+    all_kept = kept[0]
+    for more in kept[1:]:
+        all_kept = all_kept.unionByName(more)
+    return all_kept.select(F.pmod(F.xxhash64("mask", "value"), F.lit(shards)).cast("int").alias("shard"), "fp"), shards
+
+
 def links(points: DataFrame, shard: int = SHARD) -> DataFrame:
     """(a, b) fingerprints, b the root of a's component in some shard; ``points`` has distinct fingerprints ``fp``."""
-    n = points.count()
-    shards = min(MAX_SHARDS, -(-n // shard))
-    sample = hashed_sample(points.select("fp"), "fp", SAMPLE * shards, n).collect() if shards > 1 else []
-    tree = ShardTree(np.array([r["fp"] for r in sample], np.int64).view(U), shards)
-    visits = points.select("fp").mapInArrow(_visits(tree), VISIT)
-    return visits.repartition(max(1, tree.leaves), "shard").sortWithinPartitions("shard").mapInArrow(_link_shards, "a long, b long")
+    dealt, shards = deal(points, shard)
+    return dealt.repartition(min(MAX_TASKS, shards), "shard").sortWithinPartitions("shard").mapInArrow(_link_shards, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -96,6 +96,51 @@ def test_points_over_shards(spark, monkeypatch):
         assert {got[x] for x in members} == {min(members)}
 
 
+def test_rows_over_shards_grow_with_the_points(spark, monkeypatch):
+    """Eight times the points make eight times the rows over shards, five a point, whatever the number of shards."""
+    taken = []
+    rng = np.random.default_rng(13)
+    frames = [spark.createDataFrame([(int(x),) for x in rng.integers(-1 << 63, 1 << 63, n, dtype=np.int64)], "fp long") for n in (1000, 8000)]
+    cls = type(frames[0])
+    plain = cls.mapInArrow
+
+    def counting(self, func, schema, *rest, **named):
+        if schema == "a long, b long":
+            taken.append(self.count())
+        return plain(self, func, schema, *rest, **named)
+
+    monkeypatch.setattr(cls, "mapInArrow", counting)
+    for df in frames:
+        S.links(df, shard=200).collect()
+    assert len(taken) == 2 and taken[0] <= 5 * 1000 and taken[1] <= 5 * 8000
+
+
+@pytest.mark.parametrize("shared", [0, 0x7, 0x0123456789ABCDEF, (1 << 59) - 1])
+def test_a_near_pair_has_a_part_in_common(shared):
+    masks = S.cut(shared)
+    other = [m & ~shared for m in masks]
+    assert len(masks) == 5 and sum(other) == ~shared & (1 << 64) - 1 and all(m & shared == shared for m in masks)
+    assert sum(x.bit_count() for x in other) == 64 - shared.bit_count()  # the parts are disjoint, so four bits spare one
+
+
+def test_values_with_many_points_are_cut_anew(spark, monkeypatch):
+    """Points that share most of their bits: values stay too large through every cut, and no link is lost."""
+    monkeypatch.setattr(S, "MAX_TASKS", 6, raising=False)
+    rng = np.random.default_rng(17)
+    low = rng.integers(0, 1 << 24, 1200, dtype=np.int64).astype(U)
+    ball = [0x123456789ABCDEF0 ^ (1 << i) ^ (1 << j) for i in range(40) for j in range(i)]
+    points = np.unique(np.concatenate([low | U(0xABCDEF0000000000), np.array(ball, U), clustered(rng, 1000)]))
+    df = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long").repartition(4)
+    want = plain_components(points)
+    dealt, shards = S.deal(df, 30)
+    assert shards > 1 and dealt.count() > 10 * len(points)  # some were cut anew, more than once
+    got = {r["node"]: r["label"] for r in components(S.links(df, shard=30)).collect()}
+    least = {}
+    for x, r in zip(points.view(np.int64).tolist(), want):
+        least[r] = min(x, least.get(r, x))
+    assert [got.get(x, x) for x in points.view(np.int64).tolist()] == [least[r] for r in want]
+
+
 def test_documents_against_plain_fingerprints_and_all_pairs(spark, documents):
     rows = documents.select("doc_id", "text").collect()
     got = {r["doc_id"]: r for r in S.near_duplicates(documents).collect()}
