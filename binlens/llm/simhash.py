@@ -43,7 +43,7 @@ SEED = 42
 RADIUS = 4
 SHARD = 16_384       # rows of a shard, about
 MAX_TASKS = 16_384   # beyond, a task links several shards, one after the other
-CUTS = 3             # times that points are cut; those of a value that is still too large have 31 bits in common
+CUTS = 3             # times that points are cut; those of a value that is still too large share 30 bits or more
 LEAF = 256
 PIECE = 1 << 20      # bytes of a text that are taken apart at a time
 U = np.uint64
