@@ -110,3 +110,12 @@ def test_open_names_are_those_that_some_binary_has_left(spark):
     mapped = spark.createDataFrame([(1, 0, "a"), (2, 0, "a"), (2, 0, "b"), (1, 1, "c")], "binary_id int, tree_id int, original_name string")
     # of tree 0 both binaries have used a, binary 2 alone has used b, binary 1 alone c (in tree 1); tree 1 has binary 1 only
     assert sorted(map(tuple, M.open_names(first, mapped).collect())) == [(0, "b"), (0, "c"), (1, "b")]
+
+
+def test_produced_lines_are_written_after_the_mapping(spark, tmp_path, monkeypatch):
+    asked = []
+    for name in ("table", "derived"):
+        plain = getattr(FX.Inputs, name)
+        monkeypatch.setattr(FX.Inputs, name, lambda self, view, *a, plain=plain: (asked.append(view), plain(self, view, *a))[1])
+    load_all()["uncovered_functions"].plan(FX.Inputs(spark, "/root/testdata/sf0.001", cache_dir=str(tmp_path)))
+    assert asked.index("all_mappings") < asked.index("in_produced_lines")
