@@ -112,6 +112,16 @@ def test_open_names_are_those_that_some_binary_has_left(spark):
     assert sorted(map(tuple, M.open_names(first, mapped).collect())) == [(0, "b"), (0, "c"), (1, "b")]
 
 
+def test_calls_move_no_names_when_callees_are_resolved(spark, inputs):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        carried = _exchanged(load_all()["resolve_callee_names"].plan(inputs))
+        assert carried and not any("prefix#" in c and "callee_name#" in c for c in carried), carried
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_produced_lines_are_written_after_the_mapping(spark, tmp_path, monkeypatch):
     asked = []
     for name in ("table", "derived"):
